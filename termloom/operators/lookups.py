@@ -74,5 +74,5 @@ def attach(df: DataFrame, stats: DataFrame, by: Sequence[str] = (), published: b
     if by:
         return lookup_join(df, stats, by, "inner", published)
     names = stats.columns
-    one_row = stats.select(F.struct(*names).alias("_s")).scalar()
-    return df.withColumn("_s", one_row).select(*df.columns, *[F.col(f"_s.{n}").alias(n) for n in names])
+    one_row = stats.select(F.struct(*names).alias("_stats")).scalar()
+    return df.withColumn("_stats", one_row).select(*df.columns, *[F.col(f"_stats.{n}").alias(n) for n in names])
