@@ -46,13 +46,18 @@ def vectors(frame: SparseFrame) -> Vectors:
     The written struct has the layout of Spark's vector type, so reading it back
     with that type needs no Python. Rows without cells have no vector.
     """
-    spark = frame.spark
     named = publish(frame.with_columns().columns, "columns")
     used = publish(frame.cells.select("term").distinct(), "used")
     numbered = dense_rank_of_index(named.join(used, "term", "left_semi"), "idx", "_n")
     columns = publish(numbered.select("term", (F.col("_n") - 1).cast("int").alias("idx")), "dense")
+    return Vectors(pack_vectors(frame.cells, columns), columns)
+
+
+def pack_vectors(cells: DataFrame, columns: DataFrame) -> DataFrame:
+    """Cells as vectors over a written dictionary (term, idx from 0)."""
+    spark = cells.sparkSession
     size = columns.count()
-    indexed = lookup_join(frame.cells, columns, ["term"], published=True)
+    indexed = lookup_join(cells, columns, ["term"], published=True)
     packed = indexed.groupBy("row_id", "target").agg(
         F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_c")
     )
@@ -64,7 +69,7 @@ def vectors(frame: SparseFrame) -> Vectors:
     )
     path = new_folder(spark, "vectors")
     packed.select("row_id", "target", layout.alias("features")).write.parquet(path)
-    return Vectors(spark.read.schema(VECTOR_SCHEMA).parquet(path), columns)
+    return spark.read.schema(VECTOR_SCHEMA).parquet(path)
 
 
 def kmeans_fit(data: Vectors, k: int, iterations: int = 50, init_steps: int = 10, seed: int = 1) -> KMeansModel:

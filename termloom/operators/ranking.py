@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.operators.lookups import attach, lookup_join
-from termloom.scratch import publish
 
 # A sketch of this accuracy misplaces a rank by at most n / ACCURACY. The
 # bracket is ten times wider, and groups up to SMALL_GROUP take no bracket.
@@ -122,8 +121,3 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n:
     """The first ``n`` rows of each group; Spark limits each group before the shuffle."""
     window = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(out, F.row_number().over(window).cast("long")).where(F.col(out) <= n)
-
-
-def publish_groups(df: DataFrame, label: str = "groups") -> DataFrame:
-    """Write an aggregated table that several of these functions will read."""
-    return publish(df, label)

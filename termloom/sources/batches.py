@@ -35,6 +35,10 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("modified"), "length")
 
 
+def age_ms(now: Column, then: Column) -> Column:
+    return F.unix_millis(now.cast("timestamp")) - F.unix_millis(then.cast("timestamp"))
+
+
 def discover_batches(files: DataFrame, now: Column, min_age_ms: int) -> DataFrame:
     """Batch folders of a listing (path, modified) whose files are all old enough."""
     usable = files
@@ -42,7 +46,7 @@ def discover_batches(files: DataFrame, now: Column, min_age_ms: int) -> DataFram
         usable = usable.where(~F.col("path").contains(part))
     folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
     last = usable.groupBy(folder.alias("folder")).agg(F.max("modified").alias("modified"), F.count("*").alias("n_files"))
-    aged = last.where((F.unix_millis(now) - F.unix_millis("modified")) > min_age_ms)
+    aged = last.where(age_ms(now, F.col("modified")) > min_age_ms)
     return aged.select(
         "folder", "n_files", store_of(F.col("folder")).alias("store"), uuid_of(F.col("folder")).alias("batch_uuid")
     )

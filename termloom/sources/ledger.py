@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.text import error_code
+from termloom.sources.batches import age_ms
 
 LEDGER_SCHEMA = "batch_id string, status string, error string, error_code string, ts timestamp"
 
@@ -49,5 +50,5 @@ def pending(batches: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def stragglers(batches: DataFrame, ledger: DataFrame, now: Column, max_age_ms: int) -> DataFrame:
     """Batches still without an entry after the given age, as failed entries."""
-    late = pending(batches, ledger).where(F.unix_millis(now) - F.unix_millis("modified") > max_age_ms)
+    late = pending(batches, ledger).where(age_ms(now, F.col("modified")) > max_age_ms)
     return with_code(late.select("batch_id", F.lit("failed").alias("status"), F.lit("not processed").alias("error")))

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.frame import COLUMNS_SCHEMA, TARGETS_SCHEMA, SparseFrame
-from termloom.functions.text import clean_name, decimal_text, id_or_new, value_at
+from termloom.functions.text import clean_name, id_or_new, value_at
 from termloom.operators.lookups import lookup_join
 from termloom.operators.ranking import rank_by_hash
-from termloom.operators.rows import row_hashes, rows_with_terms
+from termloom.operators.rows import row_hashes
 from termloom.scratch import publish
 from termloom.sources.tables import check_unique_names, clean_column_names
 
@@ -366,11 +366,3 @@ def store_row_count(store: Store) -> int:
 def approximate_row_count(df: DataFrame, timeout_ms: int = 1000, confidence: float = 0.95) -> int:
     """A count that may stop early, with Spark's own confidence bound."""
     return df.rdd.countApprox(timeout_ms, confidence)
-
-
-def rows_matching(frame: SparseFrame, terms: list[str], target: str | None = None) -> DataFrame:
-    return rows_with_terms(frame.cells, terms, target)
-
-
-def stored_value_text(value: Column) -> Column:
-    return decimal_text(value)

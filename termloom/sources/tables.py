@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.text import clean_name
-from termloom.operators.lookups import lookup_join
-from termloom.operators.ranking import top_per_group
+from termloom.operators.lookups import attach, lookup_join
 
 
 def read_header_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -132,22 +131,13 @@ def supplement_by_label(supplement: DataFrame, labels: DataFrame) -> DataFrame:
     """
     names = labels.select(F.regexp_replace("target", "#", "").alias("label")).distinct()
     present = supplement.select("aa_label").distinct()
-    longest = names.agg(F.max(F.length("label")).alias("m")).scalar()
-    prefixes = present.select(
-        "aa_label",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length("aa_label"), longest))),
-                lambda i: F.substring(F.col("aa_label"), F.lit(1), i),
-            )
-        ).alias("label"),
+    longest = names.agg(F.max(F.length("label")).alias("_m"))
+    sized = attach(present, longest).withColumn(
+        "_n", F.greatest(F.lit(1), F.least(F.length("aa_label"), F.col("_m")))
     )
-    return lookup_join_many(supplement, prefixes.join(names, "label").distinct(), "aa_label")
-
-
-def lookup_join_many(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
-    """Inner join to a small table that may hold several rows per key."""
-    return lookup_join(big, small, [key], "inner")
+    lengths = sized.select("aa_label", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
+    prefixes = lengths.select("aa_label", F.expr("substring(aa_label, 1, _i)").alias("label"))
+    return lookup_join(supplement, prefixes.join(names, "label").distinct(), ["aa_label"])
 
 
 def write_by_label(df: DataFrame, path: str, label: str = "label") -> None:
@@ -189,15 +179,7 @@ def training_set_from_codes(coded: DataFrame) -> DataFrame:
     return words.unionByName(label)
 
 
-def first_lines(df: DataFrame, key: str, order: Column, n: int) -> DataFrame:
-    return top_per_group(df, [key], [order], n).drop("rank")
-
-
 def word_count(texts: DataFrame, column: str, separator: str = " ") -> DataFrame:
     """Token frequency over a column of texts."""
     words = texts.select(F.explode(F.split(F.col(column), separator)).alias("word")).where("word <> ''")
     return words.groupBy("word").agg(F.count("*").alias("n"))
-
-
-def ordered_position(df: DataFrame, by: str, order: str) -> DataFrame:
-    return df.withColumn("position", F.row_number().over(Window.partitionBy(by).orderBy(order)))

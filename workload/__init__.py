@@ -1,6 +1,6 @@
 """The registered queries, by subject."""
 
-from workload import columns, rows  # noqa: F401
+from workload import assessment, columns, models, rows, store, streams, text  # noqa: F401
 from workload.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
