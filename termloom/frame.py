@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from termloom.functions.text import tokens
 from termloom.operators.lookups import lookup_join
-from termloom.operators.ranking import rank_by_hash
-from termloom.scratch import publish
+from termloom.operators.ranking import number_by_hash
+from termloom.scratch import publish, write_table
 
 ROWS_SCHEMA = "row_id string, target string, batch_id string, ts timestamp"
 CELLS_SCHEMA = "row_id string, target string, term string, value double"
@@ -58,13 +58,11 @@ class SparseFrame:
 
 
 def number_terms(cells: DataFrame) -> DataFrame:
-    terms = publish(cells.select("term").distinct(), "terms")
-    return rank_by_hash(terms, F.col("term"), out="idx").select("term", F.col("idx").cast("int").alias("idx"))
+    return number_by_hash(cells.select("term").distinct(), "term").select("term", F.col("idx").cast("int").alias("idx"))
 
 
 def number_targets(rows: DataFrame) -> DataFrame:
-    labels = publish(rows.select("target").distinct(), "labels")
-    return rank_by_hash(labels, F.col("target"), out="idx").select(
+    return number_by_hash(rows.select("target").distinct(), "target").select(
         "target", F.col("idx").cast("double").alias("idx")
     )
 
@@ -109,21 +107,22 @@ def document_frame(spark: SparkSession, sf_dir: str, target: str = "source") ->
 
 
 def order_frame(spark: SparkSession, sf_dir: str) -> SparseFrame:
-    """Orders as rows, priorities as labels, brands as terms, quantities as values.
+    """Orders with lines as rows, priorities as labels, brands as terms, quantities as values.
 
     Lines meet their part first and are summed per (order, brand), which the
-    map side already combines; only those sums meet the orders.
+    map side already combines; only those sums meet the orders. That last join
+    is on the row id itself, so the cells stay co-located by row.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("term"))
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("target")
+        F.col("o_orderkey").cast("string").alias("row_id"), F.col("o_orderpriority").alias("target")
     )
     sums = lines.join(parts, "l_partkey").groupBy("l_orderkey", "term").agg(F.sum("l_quantity").alias("value"))
-    cells = sums.join(orders, "l_orderkey").select(
-        F.col("l_orderkey").cast("string").alias("row_id"), "target", "term", "value"
-    )
-    return SparseFrame(cells.select("row_id", "target").distinct(), cells.where("value <> 0"))
+    keyed = sums.select(F.col("l_orderkey").cast("string").alias("row_id"), "term", "value")
+    cells = keyed.join(orders, "row_id").select("row_id", "target", "term", "value")
+    rows = orders.join(lines.select(F.col("l_orderkey").cast("string").alias("row_id")).distinct(), "row_id", "left_semi")
+    return SparseFrame(rows, cells.where("value <> 0"))
 
 
 def restrict_cells(frame: SparseFrame, rows: DataFrame, how: str) -> SparseFrame:
@@ -137,10 +136,9 @@ def restrict_cells(frame: SparseFrame, rows: DataFrame, how: str) -> SparseFrame
 
 
 def restrict_targets(frame: SparseFrame, targets: DataFrame, how: str) -> SparseFrame:
-    keys = publish(targets.select("target").distinct(), "labels")
+    keys = write_table(targets.select("target").distinct(), "labels")
     return frame.with_rows(
-        lookup_join(frame.rows, keys, ["target"], how, published=True),
-        lookup_join(frame.cells, keys, ["target"], how, published=True),
+        lookup_join(frame.rows, keys, ["target"], how), lookup_join(frame.cells, keys, ["target"], how)
     )
 
 

@@ -7,13 +7,14 @@ row per (respondent, item), so that every score is one group-by.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import select_by_name
 from termloom.operators.lookups import lookup_join
-from termloom.scratch import publish
+from termloom.scratch import publish, write_table
 
 # Column names, marks and prefixes of the answer table.
 ROW_ID = "A_RowId"
@@ -85,11 +86,11 @@ def coalesce_column_pairs(df: DataFrame, shift: str = SHIFT_PREFIX, keep: str =
 
 def code_lookup(df: DataFrame, options: DataFrame, key: str = ROW_ID) -> DataFrame:
     """Replace option ids (option_id, code) by their code in every column but the key."""
-    table = publish(options, "options")
+    table = write_table(options, "options")
     for name in [c for c in df.columns if c != key]:
-        one = table.select(F.col("option_id").alias(name), F.col("code").alias("_code"))
+        one = replace(table, table=table.table.select(F.col("option_id").alias(name), F.col("code").alias("_code")))
         unknown = F.concat(F.col(name), F.lit("_unknown"))
-        joined = lookup_join(df, one, [name], "left", published=True)
+        joined = lookup_join(df, one, [name], "left")
         df = joined.withColumn(name, F.coalesce("_code", unknown)).select(*df.columns)
     return df
 

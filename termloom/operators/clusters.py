@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.frame import SparseFrame, subset_rows_cells
+from termloom.frame import SparseFrame, number_terms, subset_rows_cells
 from termloom.operators.columns import keep_columns, remove_columns, remove_stop_words, term_table
 from termloom.operators.lookups import lookup_join
 from termloom.operators.ranking import dense_rank_of_index, upper_median
 from termloom.operators.scale import tfidf
-from termloom.scratch import new_folder, publish
+from termloom.scratch import Written, new_folder, publish, write_table
 
 CLUSTER_SCHEMA = "cluster string, rank int, idx int, value double"
 DESCRIBED_TERMS = 60
@@ -46,18 +46,20 @@ def vectors(frame: SparseFrame) -> Vectors:
     The written struct has the layout of Spark's vector type, so reading it back
     with that type needs no Python. Rows without cells have no vector.
     """
-    named = publish(frame.with_columns().columns, "columns")
-    used = publish(frame.cells.select("term").distinct(), "used")
-    numbered = dense_rank_of_index(named.join(used, "term", "left_semi"), "idx", "_n")
-    columns = publish(numbered.select("term", (F.col("_n") - 1).cast("int").alias("idx")), "dense")
-    return Vectors(pack_vectors(frame.cells, columns), columns)
+    if frame.columns is None:
+        numbered = number_terms(frame.cells).withColumnRenamed("idx", "_n")
+    else:
+        used = publish(frame.cells.select("term").distinct(), "used")
+        numbered = dense_rank_of_index(publish(frame.columns.join(used, "term", "left_semi"), "columns"), "idx", "_n")
+    columns = write_table(numbered.select("term", (F.col("_n") - 1).cast("int").alias("idx")), "dense")
+    return Vectors(pack_vectors(frame.cells, columns), columns.table)
 
 
-def pack_vectors(cells: DataFrame, columns: DataFrame) -> DataFrame:
+def pack_vectors(cells: DataFrame, columns: Written) -> DataFrame:
     """Cells as vectors over a written dictionary (term, idx from 0)."""
     spark = cells.sparkSession
-    size = columns.count()
-    indexed = lookup_join(cells, columns, ["term"], published=True)
+    size = columns.rows
+    indexed = lookup_join(cells, columns, ["term"])
     packed = indexed.groupBy("row_id", "target").agg(
         F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_c")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from termloom.frame import SparseFrame
 from termloom.operators.lookups import attach, lookup_join
 from termloom.operators.ranking import dense_rank_of_index, percentile_legacy, upper_median
-from termloom.scratch import publish
+from termloom.scratch import publish, write_table
 
 LOW_PROPORTION = 0.005
 
@@ -59,11 +59,11 @@ def term_table(spark: SparkSession, terms: Sequence[str]) -> DataFrame:
 
 
 def _restrict_terms(frame: SparseFrame, terms: DataFrame, how: str, by: Sequence[str]) -> SparseFrame:
-    keys = publish(terms.select(*by, "term").distinct(), "terms")
-    out = frame.with_cells(lookup_join(frame.cells, keys, [*by, "term"], how, published=True))
+    keys = write_table(terms.select(*by, "term").distinct(), "terms")
+    out = frame.with_cells(lookup_join(frame.cells, keys, [*by, "term"], how))
     if frame.columns is None or by:
         return out
-    columns = frame.columns.join(keys, "term", how)
+    columns = frame.columns.join(keys.table, "term", how)
     return SparseFrame(out.rows, out.cells, columns, out.targets)
 
 

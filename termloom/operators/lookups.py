@@ -11,33 +11,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from termloom.scratch import publish
+from termloom.scratch import Written, width_in_bytes, write_table
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
-def width_in_bytes(df: DataFrame) -> Column:
-    """Approximate bytes of one row: text by length, anything else as 16."""
-    parts = [
-        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(16)
-        for f in df.schema.fields
-    ]
-    total = F.lit(0).cast("long")
-    for part in parts:
-        total = total + part
-    return total
+def measured(df: DataFrame) -> Written:
+    """A table that is already stored, with its size from one aggregate over it."""
+    size = df.agg(F.count("*").alias("n"), F.sum(width_in_bytes(df)).alias("b")).first()
+    return Written(df, size["n"], size["b"] or 0)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Measure a published table against the broadcast limits."""
-    size = df.agg(F.count("*").alias("n"), F.sum(width_in_bytes(df)).alias("b")).first()
-    return size["n"] <= BROADCAST_ROWS and (size["b"] or 0) <= BROADCAST_BYTES
+def fits_broadcast(written: Written) -> bool:
+    return written.rows <= BROADCAST_ROWS and written.width <= BROADCAST_BYTES
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
@@ -50,10 +41,9 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
 
 def lookup_join(
     big: DataFrame,
-    small: DataFrame,
+    small: DataFrame | Written,
     keys: Sequence[str],
     how: str = "inner",
-    published: bool = False,
 ) -> DataFrame:
     """Join ``big`` to ``small`` (one row per key) by a measured strategy.
 
@@ -61,18 +51,18 @@ def lookup_join(
     the left, the side that Spark streams when it broadcasts the other.
     """
     keys = list(keys)
-    table = small.select(*keys).distinct() if how in ("left_semi", "left_anti") else small
-    if not published:
-        table = publish(table, "lookup")
-    if fits_broadcast(table):
-        return big.join(F.broadcast(table), keys, how)
-    return salted_join(big, table, keys, how)
+    if not isinstance(small, Written):
+        only_keys = how in ("left_semi", "left_anti")
+        small = write_table(small.select(*keys).distinct() if only_keys else small, "lookup")
+    if fits_broadcast(small):
+        return big.join(F.broadcast(small.table), keys, how)
+    return salted_join(big, small.table, keys, how)
 
 
-def attach(df: DataFrame, stats: DataFrame, by: Sequence[str] = (), published: bool = False) -> DataFrame:
+def attach(df: DataFrame, stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Add the statistics of a row's group, or the single global row, as columns."""
     if by:
-        return lookup_join(df, stats, by, "inner", published)
+        return lookup_join(df, stats, by)
     names = stats.columns
     one_row = stats.select(F.struct(*names).alias("_stats")).scalar()
     return df.withColumn("_stats", one_row).select(*df.columns, *[F.col(f"_stats.{n}").alias(n) for n in names])

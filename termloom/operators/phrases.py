@@ -9,7 +9,7 @@ from termloom.frame import SparseFrame
 from termloom.functions.text import label_without_dash
 from termloom.operators.lookups import attach, lookup_join
 from termloom.operators.ranking import top_per_group
-from termloom.scratch import publish
+from termloom.scratch import publish, write_table
 
 ALL_TARGETS = "ALL"
 LONG_RUN = 8
@@ -44,10 +44,10 @@ def term_pair_sentences(cells: DataFrame, pairs: DataFrame) -> DataFrame:
     Pairs are a report-sized table. A row meets its pairs by the first term, and
     the second term is then looked up among that row's own cells.
     """
-    pairs = publish(pairs, "pairs")
-    wanted = pairs.select(F.col("term1").alias("term")).union(pairs.select("term2"))
+    found = write_table(pairs, "pairs")
+    wanted = found.table.select(F.col("term1").alias("term")).union(found.table.select("term2"))
     hits = lookup_join(cells.select("row_id", "target", "term"), wanted, ["term"], "left_semi")
-    opened = lookup_join(hits.withColumnRenamed("term", "term1"), pairs, ["term1"], published=True)
+    opened = lookup_join(hits.withColumnRenamed("term", "term1"), found, ["term1"])
     labelled = opened.where((F.col("cluster_target") == ALL_TARGETS) | (F.col("cluster_target") == F.col("target")))
     closing = hits.select("row_id", F.col("term").alias("term2"))
     return labelled.join(closing, ["row_id", "term2"]).select(

@@ -13,12 +13,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.operators.lookups import attach, lookup_join
+from termloom.scratch import write_table
+
+# Up to this many distinct values, one task sorts a group's counted values.
+SMALL_GROUP = 500_000
 
 # A sketch of this accuracy misplaces a rank by at most n / ACCURACY. The
-# bracket is ten times wider, and groups up to SMALL_GROUP take no bracket.
+# bracket is ten times wider, so in a larger group it holds every wanted rank.
 ACCURACY = 100_000
 BRACKET = 1e-4
-SMALL_GROUP = 50_000
 
 # Buckets by the leading hex digits of an md5 are even by construction.
 HASH_DIGITS = 3
@@ -28,32 +31,42 @@ INDEX_BUCKET = 65_536
 def _value_at_ranks(df: DataFrame, value: str, by: list[str], share: float, ranks: list[Column]) -> DataFrame:
     """Exact values at the given 1-based ranks, all close to ``share`` of ``n``.
 
-    A quantile sketch brackets the wanted ranks; values under the bracket are
-    only counted, values inside it are pre-aggregated and ranked. The rank
-    expressions may use the column ``n``.
+    Values are counted first. Where some group has too many distinct values for
+    one task, a quantile sketch brackets the wanted ranks: values under the
+    bracket are only counted, values inside it are ranked. The rank expressions
+    may use the column ``n``.
     """
-    low, high = max(share - BRACKET, 0.0), min(share + BRACKET, 1.0)
     data = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    sketch = data.groupBy(*by).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("_v", [low, high], ACCURACY).alias("_edges"),
-    )
-    marked = attach(data, sketch, by)
-    small = F.col("n") <= SMALL_GROUP
-    inside = small | (F.col("_v") >= F.col("_edges")[0])
-    counted = (
-        marked.where(small | (F.col("_v") <= F.col("_edges")[1]))
-        .groupBy(*by, "n", F.when(inside, F.col("_v")).alias("_v"))
-        .agg(F.count("*").alias("_c"))
-    )
+    counted = write_table(data.groupBy(*by, "_v").agg(F.count("*").alias("_c")), "values").table
+    sizes = counted.groupBy(*by).agg(F.sum("_c").alias("n"), F.count("*").alias("_d"))
+    biggest = sizes.agg(F.max("_d")).first()[0] or 0
+    if biggest > SMALL_GROUP:
+        counted = _bracketed(data, counted, by, share)
     upto = (
         Window.partitionBy(*by)
         .orderBy(F.col("_v").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = counted.withColumn("_upto", F.sum("_c").over(upto))
+    sized = attach(placed, sizes.select(*by, "n"), by)
     picks = [F.min(F.when(F.col("_upto") >= rank, F.col("_v"))).alias(f"_r{i}") for i, rank in enumerate(ranks)]
-    return placed.groupBy(*by).agg(F.max("n").alias("n"), *picks)
+    return sized.groupBy(*by).agg(F.max("n").alias("n"), *picks)
+
+
+def _bracketed(data: DataFrame, counted: DataFrame, by: list[str], share: float) -> DataFrame:
+    """Counted values with all those under the bracket as one null value, none above it.
+
+    Groups too small to need a bracket pass whole.
+    """
+    low, high = max(share - BRACKET, 0.0), min(share + BRACKET, 1.0)
+    sketch = data.groupBy(*by).agg(
+        F.count("*").alias("_n"), F.percentile_approx("_v", [low, high], ACCURACY).alias("_edges")
+    )
+    marked = attach(counted, sketch, by)
+    small = F.col("_n") <= SMALL_GROUP
+    inside = small | (F.col("_v") >= F.col("_edges")[0])
+    kept = marked.where(small | (F.col("_v") <= F.col("_edges")[1]))
+    return kept.groupBy(*by, F.when(inside, F.col("_v")).alias("_v")).agg(F.sum("_c").alias("_c"))
 
 
 def upper_median(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "median") -> DataFrame:
@@ -103,6 +116,19 @@ def rank_by_hash(df: DataFrame, key: Column, by: Sequence[str] = (), out: str =
     return _rank_in_buckets(df, list(by), F.substring(digest, 1, HASH_DIGITS), [digest, key], out)
 
 
+def number_by_hash(names: DataFrame, key: str, out: str = "idx") -> DataFrame:
+    """Number distinct names 1, 2, 3, … in hash order.
+
+    A dictionary of bounded size is numbered by one window, a larger one in
+    buckets; both give the same numbers.
+    """
+    written = write_table(names, "names")
+    if written.rows > SMALL_GROUP:
+        return rank_by_hash(written.table, F.col(key), out=out)
+    order = Window.orderBy(F.md5(F.col(key)), F.col(key))
+    return written.table.withColumn(out, F.row_number().over(order).cast("long"))
+
+
 def dense_rank_of_index(df: DataFrame, index: str, out: str = "new_idx") -> DataFrame:
     """Number rows 1, 2, 3, … in the order of a unique integer index."""
     bucket = F.floor(F.col(index) / INDEX_BUCKET)

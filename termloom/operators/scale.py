@@ -25,8 +25,8 @@ def cell_op_rows(frame: SparseFrame, constant: Callable[[Column], Column], op: C
     shuffled again, and one row is at most a vocabulary long.
     """
     whole = Window.partitionBy("row_id")
-    value = op(F.col("value"), constant(F.col("value")).over(whole))
-    return frame.with_cells(frame.cells.withColumn("value", value))
+    joined = frame.cells.withColumn("_constant", constant(F.col("value")).over(whole))
+    return frame.with_cells(joined.withColumn("value", op(F.col("value"), F.col("_constant"))))
 
 
 def cell_op_columns(

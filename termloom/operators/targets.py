@@ -11,7 +11,7 @@ from termloom.frame import SparseFrame, restrict_cells, restrict_targets
 from termloom.functions.text import any_of
 from termloom.operators.lookups import attach, lookup_join
 from termloom.operators.ranking import first_by_hash, upper_median
-from termloom.scratch import publish
+from termloom.scratch import publish, write_table
 
 
 def count_by_target(rows: DataFrame) -> DataFrame:
@@ -83,17 +83,17 @@ def merge_targets(frame: SparseFrame, merge_map: DataFrame) -> SparseFrame:
 
 def relabel(frame: SparseFrame, pairs: DataFrame) -> SparseFrame:
     """Apply pairs of known labels (target, _new); one pair per old label."""
-    known = frame.rows.select("target").distinct()
+    known = publish(frame.rows.select("target").distinct(), "labels")
     usable = (
         pairs.join(known, "target", "left_semi")
         .join(known.withColumnRenamed("target", "_new"), "_new", "left_semi")
         .groupBy("target")
         .agg(F.min("_new").alias("_new"))
     )
-    table = publish(usable, "merge")
+    table = write_table(usable, "merge")
 
     def renamed(df: DataFrame) -> DataFrame:
-        joined = lookup_join(df, table, ["target"], "left", published=True)
+        joined = lookup_join(df, table, ["target"], "left")
         return joined.withColumn("target", F.coalesce("_new", "target")).select(*df.columns)
 
     return frame.with_rows(renamed(frame.rows), renamed(frame.cells))

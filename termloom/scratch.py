@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -37,12 +40,38 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/termloom/{label}-{uuid.uuid4().hex}"
 
 
-def publish(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to a fresh table in the shared folder and read it back."""
+@dataclass(frozen=True)
+class Written:
+    """A written table whose size was measured while it was written."""
+
+    table: DataFrame
+    rows: int
+    width: int
+
+
+def width_in_bytes(df: DataFrame) -> Column:
+    """Approximate bytes of one row: text by length, anything else as 16."""
+    total = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        is_text = isinstance(field.dataType, T.StringType)
+        total = total + (F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) if is_text else F.lit(16))
+    return total
+
+
+def write_table(df: DataFrame, label: str, partition_by: list[str] | None = None) -> Written:
+    """Write ``df`` to a fresh table in the shared folder; size comes with the write."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    writer = df.write
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(width_in_bytes(df)).alias("b"))
+    writer = observed.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    size = seen.get
+    return Written(spark.read.schema(df.schema).parquet(path), size["n"], size["b"] or 0)
+
+
+def publish(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to a fresh table in the shared folder and read it back."""
+    return write_table(df, label, partition_by).table

@@ -6,7 +6,7 @@ a batch touch that batch's folder only.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 
 from termloom.frame import COLUMNS_SCHEMA, TARGETS_SCHEMA, SparseFrame
 from termloom.functions.text import clean_name, id_or_new, value_at
-from termloom.operators.lookups import lookup_join
-from termloom.operators.ranking import rank_by_hash
+from termloom.operators.lookups import lookup_join, measured
+from termloom.operators.ranking import number_by_hash
 from termloom.operators.rows import row_hashes
-from termloom.scratch import publish
+from termloom.scratch import Written, publish, write_table
 from termloom.sources.tables import check_unique_names, clean_column_names
 
 DATA_SCHEMA = (
@@ -143,7 +143,7 @@ def scan_store(store: Store) -> SparseFrame:
     data = repair_rows(scan(store, "data"))
     long = data.select("row_id", "target", F.inline(F.arrays_zip(F.col("indices").alias("idx"), F.col("values").alias("value"))))
     columns = scan_columns(store)
-    cells = lookup_join(long, columns, ["idx"], published=True).select("row_id", "target", "term", "value")
+    cells = lookup_join(long, measured(columns), ["idx"]).select("row_id", "target", "term", "value")
     return SparseFrame(data.select("row_id", "target", "batch_id", "ts"), cells, columns, scan_targets(store))
 
 
@@ -170,9 +170,8 @@ def new_terms(incoming: DataFrame, known: DataFrame, key: str = "term") -> DataF
 
 def append_dictionary(incoming: DataFrame, known: DataFrame, key: str, kind: str) -> DataFrame:
     """Number the unseen names from the highest known index + 1, in hash order."""
-    unseen = publish(new_terms(incoming, known, key), "unseen")
+    ranked = number_by_hash(new_terms(incoming, known, key), key, "_rank")
     top = known.agg(F.coalesce(F.max("idx"), F.lit(0)).alias("m")).scalar()
-    ranked = rank_by_hash(unseen, F.col(key), (), "_rank")
     return ranked.select(key, (F.col("_rank") + top).cast(kind).alias("idx"))
 
 
@@ -182,24 +181,29 @@ def replace_columns(store: Store, columns: DataFrame, batch_id: str) -> None:
     fresh.write.mode("overwrite").parquet(store.path("columns"))
 
 
-def realign(frame: SparseFrame, columns: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _by_lower_name(dictionary: DataFrame | Written, key: str) -> DataFrame | Written:
+    """A dictionary under its lower-cased names; a written one stays measured."""
+    table = dictionary.table if isinstance(dictionary, Written) else dictionary
+    renamed = table.select(F.lower(key).alias(f"_{key}"), F.col("idx").alias(f"{key}_idx"))
+    return replace(dictionary, table=renamed) if isinstance(dictionary, Written) else renamed
+
+
+def realign(frame: SparseFrame, columns: DataFrame | Written, targets: DataFrame | Written) -> tuple[DataFrame, DataFrame]:
     """Cells and rows in the store's numbering, by lower-cased name.
 
     Returns (cells with idx and label idx, ids of rows that lost a cell or whose
     label is unknown). Names are matched once per distinct name.
     """
-    dictionary = columns.select(F.lower("term").alias("_term"), F.col("idx").alias("term_idx"))
-    labels = targets.select(F.lower("target").alias("_target"), F.col("idx").alias("target_idx"))
     cells = frame.cells.withColumn("_term", F.lower("term")).withColumn("_target", F.lower("target"))
-    with_terms = lookup_join(cells, dictionary, ["_term"], "left")
-    matched = lookup_join(with_terms, labels, ["_target"], "left").drop("_term", "_target")
+    with_terms = lookup_join(cells, _by_lower_name(columns, "term"), ["_term"], "left")
+    matched = lookup_join(with_terms, _by_lower_name(targets, "target"), ["_target"], "left").drop("_term", "_target")
     lost = matched.groupBy("row_id").agg(
         F.count(F.when(F.col("term_idx").isNull() | F.col("target_idx").isNull(), 1)).alias("_lost")
     )
     return matched, lost.where("_lost > 0").select("row_id")
 
 
-def realign_to_store(frame: SparseFrame, columns: DataFrame, targets: DataFrame) -> DataFrame:
+def realign_to_store(frame: SparseFrame, columns: DataFrame | Written, targets: DataFrame | Written) -> DataFrame:
     """Only whole rows: (row_id, target_idx, term_idx, value)."""
     matched, lost = realign(frame, columns, targets)
     good = matched.join(lost, "row_id", "left_anti")
@@ -249,13 +253,19 @@ def duplicate_gate(incoming_hashes: DataFrame, stored_hashes: DataFrame, permitt
     return duplicate_share(incoming_hashes, stored_hashes).first()["share"] <= permitted
 
 
-def store_rows(frame: SparseFrame, columns: DataFrame, targets: DataFrame, now: Column, batch_id: str) -> DataFrame:
+def store_rows(
+    frame: SparseFrame,
+    columns: DataFrame | Written,
+    targets: DataFrame | Written,
+    hashes: DataFrame,
+    now: Column,
+    batch_id: str,
+) -> DataFrame:
     """Rows in stored form: index and value arrays, hash, time and batch."""
     aligned = realign_to_store(frame, columns, targets)
     arrays = aligned.groupBy("row_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("term_idx").alias("idx"), "value"))).alias("_c")
     )
-    hashes = row_hashes(frame)
     return arrays.join(hashes, "row_id").select(
         "row_id",
         F.lower("target").alias("target"),
@@ -267,10 +277,10 @@ def store_rows(frame: SparseFrame, columns: DataFrame, targets: DataFrame, now:
     )
 
 
-def inverted_index(data: DataFrame, columns: DataFrame) -> DataFrame:
+def inverted_index(data: DataFrame, columns: DataFrame | Written) -> DataFrame:
     """(term, row, batch) from stored rows."""
     exploded = data.select(F.explode("indices").alias("idx"), "row_id", "ts", "batch_id")
-    return lookup_join(exploded, columns, ["idx"], published=True).select("term", "row_id", "ts", "batch_id")
+    return lookup_join(exploded, columns, ["idx"]).select("term", "row_id", "ts", "batch_id")
 
 
 def id_map_rows(data: DataFrame, uid_index: Column) -> DataFrame:
@@ -310,19 +320,18 @@ def append_batch(store: Store, frame: SparseFrame, batch_id: str, now: Column) -
     known_columns, known_targets = scan_columns(store), scan_targets(store)
     columns = publish(append_dictionary(cleaned.cells, known_columns, "term", "int"), "columns")
     targets = publish(append_dictionary(cleaned.rows, known_targets, "target", "double"), "targets")
-    data = publish(
-        store_rows(cleaned, known_columns.unionByName(columns), known_targets.unionByName(targets), now, batch_id),
-        "data",
-    )
-    index = inverted_index(data, known_columns.unionByName(columns))
+    all_columns = write_table(known_columns.unionByName(columns), "columns")
+    all_targets = write_table(known_targets.unionByName(targets), "targets")
     tag = F.lit(batch_id).alias("batch_id")
     _write_batch(columns.select("term", "idx", tag), store, "columns")
     _write_batch(targets.select("target", "idx", tag), store, "targets")
-    _write_batch(index, store, "index")
-    _write_batch(data, store, "data")
-    uid = known_columns.unionByName(columns).where(F.col("term") == store.config.uid_column)
-    if uid.limit(1).count():
-        place = uid.agg(F.min("idx").alias("i")).scalar()
+    _write_batch(store_rows(cleaned, all_columns, all_targets, hashes, now, batch_id), store, "data")
+    data = scan(store, "data").where(F.col("batch_id") == batch_id)
+    _write_batch(inverted_index(data, all_columns), store, "index")
+    uid = all_columns.table.where(F.col("term") == store.config.uid_column)
+    place = uid.agg(F.min("idx").alias("i"))
+    if place.first()["i"] is not None:
+        place = place.scalar()
         _write_batch(id_map_rows(data, place), store, "id_map")
     return {"status": "persisted", "error": ""}
 

@@ -140,22 +140,22 @@ TFIDF_T = """tf AS (SELECT row_id, target, term, value / sum(value) OVER (PARTIT
 @query("inverse_document_frequency", f"""WITH {ORDERS}, {TFIDF}
 SELECT row_id, target, c.term, round(c.value * w, 6) AS value FROM cells c JOIN idf ON c.term = idf.term""")
 def _(spark, d):
-    return cells_out(S.inverse_document_frequency(order_frame(spark, d)))
+    return cells_out(S.inverse_document_frequency(order_frame(spark, d).materialise()))
 
 
 @query("tfidf", f"WITH {ORDERS}, {TFIDF} SELECT {CELLS_OUT} FROM tfidf")
 def _(spark, d):
-    return cells_out(S.tfidf(order_frame(spark, d)))
+    return cells_out(S.tfidf(order_frame(spark, d).materialise()))
 
 
 @query("tfidf_documents", f"WITH {DOCS}, {TFIDF} {TOTALS.format(src='tfidf')}")
 def _(spark, d):
-    return rounded_totals(S.tfidf(document_frame(spark, d)).cells)
+    return rounded_totals(S.tfidf(document_frame(spark, d).materialise()).cells)
 
 
 @query("tfidf_by_target", f"WITH {ORDERS}, {TFIDF_T} SELECT {CELLS_OUT} FROM tfidf")
 def _(spark, d):
-    return cells_out(S.tfidf(order_frame(spark, d), ["target"]))
+    return cells_out(S.tfidf(order_frame(spark, d).materialise(), ["target"]))
 
 
 @query("normalize_rows", f"WITH {ORDERS} SELECT row_id, target, term, round(value / sum(value) OVER (PARTITION BY row_id), 6) AS value FROM cells")
@@ -167,7 +167,7 @@ def _(spark, d):
 nr AS (SELECT row_id, target, term, value / sum(value) OVER (PARTITION BY row_id) AS value FROM cells)
 SELECT row_id, target, term, round(value / sum(value) OVER (PARTITION BY term), 6) AS value FROM nr""")
 def _(spark, d):
-    return cells_out(S.normalize_rows_then_columns(order_frame(spark, d)))
+    return cells_out(S.normalize_rows_then_columns(order_frame(spark, d).materialise()))
 
 
 @query("normalize_and_proportionalize", f"""WITH {DOCS},
@@ -186,7 +186,7 @@ def _(spark, d):
 @query("cell_op_constant", f"""WITH {ORDERS}
 SELECT row_id, target, c.term, round(value - m, 6) AS value FROM cells c JOIN (SELECT term, avg(value) AS m FROM cells GROUP BY term) t ON c.term = t.term""")
 def _(spark, d):
-    frame = order_frame(spark, d)
+    frame = order_frame(spark, d).materialise()
     means = frame.cells.groupBy("term").agg(F.avg("value").alias("total"))
     return cells_out(S.cell_op_columns(frame, means, lambda cell, mean: cell - mean))
 

@@ -8,6 +8,7 @@ from termloom.frame import SparseFrame, document_frame, order_frame, table
 from termloom.operators import classify as M
 from termloom.operators import clusters as K
 from termloom.operators.columns import keep_columns, remove_by_proportion
+from termloom.operators.lookups import measured
 from termloom.operators.phrases import last_iteration_terms, row_names, term_pair_sentences, term_pairs, top_terms_per_cluster
 from workload.fixtures import cluster_report, once
 from workload.registry import query
@@ -122,7 +123,7 @@ def _(spark, d):
     model = M.mlp_fit(train, data.columns.count(), labels.count(), 30)
     cells = M.page_tokens(table(spark, d, "pages")).withColumn("target", F.lit("page"))
     known = keep_columns(SparseFrame(cells.select("row_id", "target").distinct(), cells), data.columns)
-    pages = K.pack_vectors(known.cells, data.columns)
+    pages = K.pack_vectors(known.cells, measured(data.columns))
     scored = model.transform(pages).select("row_id", F.col("prediction").alias("label"))
     return scored.join(F.broadcast(labels), "label").select(F.col("row_id").alias("page_id"), F.col("target").alias("lang"))
 

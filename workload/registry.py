@@ -41,7 +41,7 @@ ORDERS = """
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
               GROUP BY ALL HAVING sum(l_quantity) <> 0),
     rws AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS row_id, o_orderpriority AS target
-            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 DOCS = doc_ctes()
 

@@ -140,7 +140,7 @@ DUPES = """dup AS (SELECT target, row_hash, count(*) AS copies FROM hashes GROUP
 @query("distinct_rows", f"""WITH {LANG}, {HASHES}, f AS (SELECT min(row_id) AS row_id FROM hashes GROUP BY target, row_hash)
 SELECT {CELLS_OUT} FROM cells WHERE row_id IN (SELECT row_id FROM f)""")
 def _(spark, d):
-    return cells_out(R.distinct_rows(document_frame(spark, d, "lang")))
+    return cells_out(R.distinct_rows(document_frame(spark, d, "lang").materialise()))
 
 
 @query("analyze_duplicates", f"""WITH {LANG}, {HASHES}, {DUPES}

@@ -202,7 +202,7 @@ PAIRS = """pairs AS (SELECT a.target AS cluster_target, a.cluster, a.term AS ter
 @query("term_pair_sentences", f"WITH {ORDERS}, {CLUSTERS}, {LAST}, {PAIRS} SELECT * FROM hits")
 def _(spark, d):
     top = phrases.top_terms_per_cluster(phrases.last_iteration_terms(cluster_report(spark, d)), 3)
-    return phrases.term_pair_sentences(order_frame(spark, d).cells, phrases.term_pairs(top))
+    return phrases.term_pair_sentences(order_frame(spark, d).materialise().cells, phrases.term_pairs(top))
 
 
 PHRASES = f"{ORDERS}, {CLUSTERS}, {LAST}, {PAIRS}, {ORDER_SUPPLEMENT}"
@@ -219,12 +219,12 @@ def _(spark, d):
 
 @query("phrase_analysis", f"WITH {PHRASES} SELECT {PHRASE_COLUMNS} FROM hits JOIN sup ON hits.row_id = sup.row_id")
 def _(spark, d):
-    return phrases.phrase_analysis(order_frame(spark, d), cluster_report(spark, d), order_supplement(spark, d), 3)
+    return phrases.phrase_analysis(order_frame(spark, d).materialise(), cluster_report(spark, d), order_supplement(spark, d), 3)
 
 
 @query("phrase_analysis_by_target", f"WITH {PHRASES} SELECT {PHRASE_COLUMNS} FROM hits JOIN sup ON hits.row_id = sup.row_id WHERE cluster_target <> 'ALL'")
 def _(spark, d):
-    return phrases.phrase_analysis_by_target(order_frame(spark, d), cluster_report(spark, d), order_supplement(spark, d), 3)
+    return phrases.phrase_analysis_by_target(order_frame(spark, d).materialise(), cluster_report(spark, d), order_supplement(spark, d), 3)
 
 
 @query("write_phrases", f"WITH {PHRASES} SELECT row_id, cluster, term1, term2, false AS ran_second_tier FROM hits")
