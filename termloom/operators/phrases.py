@@ -29,6 +29,7 @@ def top_terms_per_cluster(clusters: DataFrame, n: int) -> DataFrame:
 
 def term_pairs(top: DataFrame) -> DataFrame:
     """Pairs of a cluster's top terms, the heavier first: n(n-1)/2 per cluster."""
+    top = publish(top, "top")
     keys = ["target", "cluster"]
     first = top.select(*keys, F.col("rank").alias("_r1"), F.col("term").alias("term1"), F.col("value").alias("value1"))
     second = top.select(*keys, F.col("rank").alias("_r2"), F.col("term").alias("term2"), F.col("value").alias("value2"))
@@ -83,7 +84,7 @@ def union_sentences(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def phrase_analysis(frame: SparseFrame, clusters: DataFrame, supplement: DataFrame, top_terms: int = 5) -> DataFrame:
     """Cluster report → last iterations → top terms → sentences → supplement."""
-    top = publish(top_terms_per_cluster(last_iteration_terms(clusters), top_terms), "top")
+    top = top_terms_per_cluster(last_iteration_terms(clusters), top_terms)
     return attach_supplement(term_pair_sentences(frame.cells, term_pairs(top)), supplement)
 
 

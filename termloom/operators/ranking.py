@@ -135,6 +135,25 @@ def dense_rank_of_index(df: DataFrame, index: str, out: str = "new_idx") -> Data
     return _rank_in_buckets(df, [], bucket, [F.col(index)], out)
 
 
+def running_before(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
+    """For each row the sum of ``value`` over all rows with a smaller, unique ``order``.
+
+    Rows are written in range partitions of bounded size, each row with the
+    number of its part: once written, the parts are data and cannot shift.
+    """
+    parts = write_table(df, "unordered")
+    n_parts = parts.rows // SMALL_GROUP + 1
+    ranged = parts.table.repartitionByRange(n_parts, order).withColumn("_part", F.spark_partition_id())
+    placed = write_table(ranged, "ordered").table
+    below = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(below), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    joined = lookup_join(summed, offsets, ["_part"])
+    return joined.withColumn(out, F.col("_before") + F.col("_inside")).select(*df.columns, out)
+
+
 def first_by_hash(
     df: DataFrame, key: Column, quota: Column, by: Sequence[str] = (), seed: str = ""
 ) -> DataFrame:

@@ -349,10 +349,17 @@ def evolve_schema(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def attach_uuid(supplement: DataFrame, id_map: DataFrame, uid_column: str) -> DataFrame:
-    """Row ids for supplement rows by their old id, else a fresh ``…-x`` one."""
+    """Row ids for supplement rows by their old id, else a fresh ``…-x`` one.
+
+    Rows without a readable id skip the join: their null key would be one group.
+    """
+    fresh = F.concat(F.uuid(), F.lit("-x"))
     keyed = supplement.withColumn("old_id", F.col(uid_column).try_cast("double"))
-    joined = keyed.join(id_map.select("old_id", F.col("row_id").alias("_found")), "old_id", "left")
-    return joined.withColumn("uuid", F.coalesce("_found", F.concat(F.uuid(), F.lit("-x")))).drop("_found", "old_id")
+    known = keyed.where("old_id is not null").join(
+        id_map.select("old_id", F.col("row_id").alias("_found")), "old_id", "left"
+    )
+    named = known.withColumn("uuid", F.coalesce("_found", fresh)).drop("_found", "old_id")
+    return named.unionByName(keyed.where("old_id is null").drop("old_id").withColumn("uuid", fresh))
 
 
 def filter_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from termloom.frame import document_frame, order_frame, number_terms, table
 from termloom.functions.text import clean_name
 from termloom.operators import columns as C
 from termloom.operators import scale as S
+from termloom.operators.lookups import lookup_join
 from termloom.operators.ranking import percentile_legacy, upper_median
 from workload.registry import CELLS_OUT, DOCS, ORDERS, doc_ctes, legacy_cut, median_cut, query
 
@@ -282,7 +283,7 @@ def _(spark, d):
     )
     frame = S.dense_to_sparse(wide, "row_id", "target", D2S)
     labels = frame.targets.withColumnRenamed("idx", "label")
-    return frame.cells.join(F.broadcast(labels), "target").select("row_id", "target", "label", "term", "value")
+    return lookup_join(frame.cells, labels, ["target"]).select("row_id", "target", "label", "term", "value")
 
 
 @query("group_sum_wide", """SELECT l_returnflag, round(sum(l_quantity), 2) AS l_quantity, round(sum(l_extendedprice), 2) AS l_extendedprice,

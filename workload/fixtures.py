@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.frame import SparseFrame, order_frame, table
-from termloom.scratch import new_folder
+from termloom.scratch import new_folder, publish
 from termloom.sources.store import BATCH_TABLES, Store, StoreConfig, append_batch, append_supplement, create_store, create_supplement, scan
 
 NOW = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -102,20 +102,22 @@ def cluster_report(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", (F.year("o_orderdate") - 1990).alias("iteration")
     )
-    per = (
+    sums = (
         lines.join(parts, "l_partkey")
         .join(orders, "l_orderkey")
         .groupBy("o_orderpriority", "iteration", "term")
         .agg(F.sum("l_quantity").alias("value"))
     )
+    per = publish(sums, "sums")
     each = per.select(F.col("o_orderpriority").alias("target"), "iteration", "term", "value")
     whole = per.groupBy("iteration", "term").agg(F.sum("value").alias("value")).select(
         F.lit("ALL").alias("target"), "iteration", "term", "value"
     )
     number = F.substring("term", 7, 2).cast("int")
-    return each.unionByName(whole).select(
+    report = each.unionByName(whole).select(
         "target", "iteration", F.concat(F.lit("c_"), (number % 3).cast("string")).alias("cluster"), "term", "value"
     )
+    return publish(report, "report")
 
 
 CLUSTERS = """per AS (SELECT o_orderpriority, CAST(year(o_orderdate) - 1990 AS INTEGER) AS iteration, p_brand AS term, sum(l_quantity) AS value

@@ -8,7 +8,7 @@ from termloom.frame import SparseFrame, document_frame, order_frame, table
 from termloom.operators import classify as M
 from termloom.operators import clusters as K
 from termloom.operators.columns import keep_columns, remove_by_proportion
-from termloom.operators.lookups import measured
+from termloom.operators.lookups import lookup_join, measured
 from termloom.operators.phrases import last_iteration_terms, row_names, term_pair_sentences, term_pairs, top_terms_per_cluster
 from workload.fixtures import cluster_report, once
 from workload.registry import query
@@ -125,7 +125,7 @@ def _(spark, d):
     known = keep_columns(SparseFrame(cells.select("row_id", "target").distinct(), cells), data.columns)
     pages = K.pack_vectors(known.cells, measured(data.columns))
     scored = model.transform(pages).select("row_id", F.col("prediction").alias("label"))
-    return scored.join(F.broadcast(labels), "label").select(F.col("row_id").alias("page_id"), F.col("target").alias("lang"))
+    return lookup_join(scored, labels, ["label"]).select(F.col("row_id").alias("page_id"), F.col("target").alias("lang"))
 
 
 @query("mlp_fit")
@@ -150,7 +150,7 @@ def _(spark, d):
     rows, labels = M.labelled(document_vectors(spark, d))
     train, test = M.split_by_hash(rows, 0.7)
     scored = M.random_forest_fit(train, 10).transform(test).select("row_id", F.col("prediction").alias("label"))
-    return scored.join(F.broadcast(labels), "label").select("row_id", "target")
+    return lookup_join(scored, labels, ["label"]).select("row_id", "target")
 
 
 @query("decision_tree_fit")
