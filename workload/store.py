@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from termloom.frame import SparseFrame, document_frame, number_targets, number_terms, order_frame, table
-from termloom.functions.text import value_at
-from termloom.operators.columns import high_frequency_terms
 from termloom.operators.rows import row_hashes
 from termloom.operators.targets import count_by_target
 from termloom.scratch import new_folder
@@ -29,7 +27,6 @@ from workload.fixtures import (
     once,
     order_frame_with_uid,
     order_store,
-    order_supplement,
 )
 from workload.registry import DOCS, HASHES, ORDERS, doc_ctes, query
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from termloom.frame import SparseFrame, document_frame, empty_frame, order_frame, table
 from termloom.operators import columns as C
 from termloom.operators import scale as X
-from termloom.operators import targets as T
 from termloom.operators.clusters import CycleSettings
 from termloom.plans import presets, steps
 from termloom.scratch import new_folder
@@ -15,9 +14,9 @@ from termloom.sources import ledger
 from termloom.sources import store as S
 from termloom.sources.tables import read_header_csv
 from termloom.streaming import ingest, metrics, receive
-from workload.columns import TFIDF_T, cells_out
-from workload.fixtures import NOW, STORE_UUID, document_supplement, now, once, order_frame_with_uid, order_supplement
-from workload.registry import CELLS_OUT, DOCS, HASHES, ORDERS, doc_ctes, legacy_cut, median_cut, query
+from workload.columns import cells_out
+from workload.fixtures import STORE_UUID, now, once, order_frame_with_uid, order_supplement
+from workload.registry import CELLS_OUT, DOCS, ORDERS, doc_ctes, legacy_cut, median_cut, query
 from workload.rows import HASH_LABELS, MERGED, hash_labels
 from workload.store import CODED, STORE_CELLS, coded_csv
 

@@ -8,7 +8,7 @@ from termloom.frame import order_frame, table
 from termloom.functions import text as X
 from termloom.operators import classify, phrases
 from termloom.operators.clusters import cluster_weight_stats, term_spread
-from workload.fixtures import CLUSTERS, NOW, ORDER_SUPPLEMENT, cluster_report, now, order_supplement
+from workload.fixtures import CLUSTERS, ORDER_SUPPLEMENT, cluster_report, order_supplement
 from workload.registry import ORDERS, query
 
 
