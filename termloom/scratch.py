@@ -58,20 +58,19 @@ def width_in_bytes(df: DataFrame) -> Column:
     return total
 
 
-def write_table(df: DataFrame, label: str, partition_by: list[str] | None = None) -> Written:
-    """Write ``df`` to a fresh table in the shared folder; size comes with the write."""
-    spark = df.sparkSession
-    path = new_folder(spark, label)
-    seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(width_in_bytes(df)).alias("b"))
-    writer = observed.write
+def publish(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to a fresh table in the shared folder and read it back."""
+    path = new_folder(df.sparkSession, label)
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    size = seen.get
-    return Written(spark.read.schema(df.schema).parquet(path), size["n"], size["b"] or 0)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def publish(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to a fresh table in the shared folder and read it back."""
-    return write_table(df, label, partition_by).table
+def write_table(df: DataFrame, label: str) -> Written:
+    """``publish`` a table and learn its size from the same write."""
+    seen = Observation()
+    table = publish(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(width_in_bytes(df)).alias("b")), label)
+    size = seen.get
+    return Written(table, size["n"], size["b"] or 0)

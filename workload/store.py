@@ -568,13 +568,23 @@ def _(spark, d):
     return T.read_header_csv(spark, path).select("label", "uuid", "aa_label")
 
 
-@query("ttl_cache", f"""SELECT event_id FROM events
-WHERE epoch_ms(ts) > epoch_ms({NOW}) - 1440 * 60000 * 7""")
-def _(spark, d):
+def _filled_cache(spark, d):
     stamped = table(spark, d, "events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("dsctimestamp"))
     path = new_folder(spark, "cache")
     cache.ttl_cache_append(stamped.where("event_id % 2 = 0"), path)
     cache.ttl_cache_append(stamped.where("event_id % 2 = 1"), path)
+    return path
+
+
+@query("ttl_cache_append", "SELECT event_id FROM events")
+def _(spark, d):
+    return cache.ttl_cache_read(spark, _filled_cache(spark, d)).select("event_id")
+
+
+@query("ttl_cache_read", f"""SELECT event_id FROM events
+WHERE epoch_ms(ts) > epoch_ms({NOW}) - 1440 * 60000 * 7""")
+def _(spark, d):
+    path = _filled_cache(spark, d)
     cache.ttl_cache_clean(spark, path, F.unix_millis(now()), 1440 * 7, above=0)
     return cache.ttl_cache_read(spark, path).select("event_id")
 
