@@ -129,9 +129,10 @@ def restrict_cells(frame: SparseFrame, rows: DataFrame, how: str) -> SparseFrame
     """Semi or anti join rows and cells with a table of row ids.
 
     Row ids are unique in ``rows`` and a row holds at most one cell per term, so
-    no single id is hot and a plain join is enough.
+    no single id is hot and a plain join is enough. The ids are written once,
+    as rows and cells both need them.
     """
-    keys = rows.select("row_id")
+    keys = publish(rows.select("row_id"), "ids")
     return frame.with_rows(frame.rows.join(keys, "row_id", how), frame.cells.join(keys, "row_id", how))
 
 

@@ -27,11 +27,8 @@ def rows_with_terms(cells: DataFrame, terms: Sequence[str], target: str | None =
 
 
 def random_subset(frame: SparseFrame, share: float, seed: int = 1) -> SparseFrame:
-    """Bernoulli sample of rows; the sampled ids are written so rows and cells agree."""
-    from termloom.scratch import publish
-
-    picked = publish(frame.rows.sample(share, seed).select("row_id"), "sample")
-    return restrict_cells(frame, picked, "left_semi")
+    """Bernoulli sample of rows; the ids drawn once, so rows and cells agree."""
+    return restrict_cells(frame, frame.rows.sample(share, seed), "left_semi")
 
 
 def hash_sample(df: DataFrame, key: str, buckets: int) -> DataFrame:
