@@ -142,7 +142,7 @@ def _(spark, d):
     return phrases.row_names(cells, known.withColumn("idx", number))
 
 
-# --- the reference's three user functions, as column expressions ------------------------
+# --- user functions as column expressions -----------------------------------------------
 
 
 @query("udf_code_value", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE o_orderstatus || '_unknown' END AS code FROM orders")
