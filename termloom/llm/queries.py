@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from termloom.llm.common import crc_share, table
 from termloom.llm.licenses import license_digest, scan_licenses
 from termloom.llm.quality import fit_quality, score_quality
+from termloom.llm.simhash import simhash_groups
 from termloom.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +46,8 @@ def op3_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digest(scan_licenses(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), size=3, budget=2)
