@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.common import crc_share, table
+from termloom.llm.knn import top_inner
 from termloom.llm.licenses import license_digest, scan_licenses
+from termloom.llm.mixing import MIX_SQL, mix_sources
 from termloom.llm.quality import fit_quality, score_quality
 from termloom.llm.simhash import simhash_groups
 from termloom.llm.toxicity import fit_toxicity, score_toxicity
@@ -51,3 +53,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), size=3, budget=2)
+
+
+@query
+def op4_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20, scale=64.0)
+
+
+SQL["op4_voronoi_topk"] = """
+WITH u AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+e AS (SELECT vec_id, min(v) AS v FROM u GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM s)
+SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score FROM r WHERE rn <= 20"""
+
+
+@query
+def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op5_pareto_mix"] = MIX_SQL
