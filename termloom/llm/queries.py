@@ -13,6 +13,7 @@ from termloom.llm.licenses import license_digest, scan_licenses
 from termloom.llm.mixing import MIX_SQL, mix_sources
 from termloom.llm.quality import fit_quality, score_quality
 from termloom.llm.simhash import simhash_groups
+from termloom.llm.substrings import remove_repeats
 from termloom.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +80,20 @@ def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op5_pareto_mix"] = MIX_SQL
+
+
+@query
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), size=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+SQL["op9_repeated_passages"] = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM d),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win FROM w),
+f AS (SELECT win, min(doc_id) AS first FROM g GROUP BY win),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM g JOIN f USING (win) WHERE first < doc_id),
+x AS (SELECT doc_id, list(j) AS gone, count(*) AS n FROM c GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN n IS NULL THEN ws ELSE [ws[k] FOR k IN range(1, len(ws) + 1) IF NOT list_contains(gone, k)] END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN x ON d.doc_id = x.doc_id"""
