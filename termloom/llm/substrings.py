@@ -1,5 +1,7 @@
 """Removal of word windows that an earlier document already has.
 
+0. Exact copies of an earlier text lose all their windows; they are found by the
+   md5 of the text and take no further part.
 1. Every window is known by its anchor, the smallest hash among its inner
    phrases; equal windows have equal anchors. Anchors met at least twice are
    counted and marked in a bitmap of fixed size, a filter only: with more input
@@ -25,7 +27,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,6 +41,8 @@ MARK_BITS = 26
 BLOCK_BYTES = 2_000_000
 #: Windows in an automaton, at most; their words fit the characters that Python has.
 SHARD = 80_000
+#: Characters that can stand for words.
+LETTERS = 1_100_000
 LAST_ID = 2**63 - 1
 FIRST_BASE, SECOND_BASE, ANCHOR_BASE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 WORD = re.compile(rb"[^ \t-\r]+")
@@ -112,31 +116,71 @@ def cut_words(body: bytes, gone: np.ndarray) -> bytes:
     return b"".join(body[edges[i] : edges[i + 1]] for i in range(len(spans)) if not gone[i])
 
 
-def locate(words: list[list[bytes]], order: list[int], patterns: list[tuple[list[bytes], int]], size: int) -> list[np.ndarray]:
-    """For each document which words an automaton's passages with an earlier first document cover."""
+def as_letters(words: list[list[bytes]], wanted: set[bytes] | None = None) -> list[str]:
+    """Each text as one character per word; words that are not wanted share a character."""
+    letters: dict[bytes, str] = {}
+    for w in chain.from_iterable(words):
+        if w not in letters and (wanted is None or w in wanted):
+            code = len(letters) + 2
+            letters[w] = chr(code if code < 0xD800 else code + 0x800)
+    if wanted is None:
+        return ["".join(map(letters.__getitem__, own)) for own in words]
+    other = chr(1)
+    return ["".join([letters.get(w, other) for w in own]) for own in words]
+
+
+def locate(words: list[list[bytes]], order: list[int], passages: list[tuple[int, int, int]], size: int) -> list[np.ndarray]:
+    """For each document, which words are covered by a passage whose first document comes earlier.
+
+    passages: (document, first word, first document's id) of one occurrence each.
+    """
     covered = [np.zeros(len(w) + 1, dtype=np.int64) for w in words]
-    for at in range(0, len(patterns), SHARD):
-        shard = patterns[at : at + SHARD]
-        letters: dict[bytes, str] = {}
-        for window, _ in shard:
-            for w in window:
-                if w not in letters:
-                    code = len(letters) + 2
-                    letters[w] = chr(code if code < 0xD800 else code + 0x800)
+    distinct = len(set(chain.from_iterable(words)))
+    lines = as_letters(words) if distinct <= LETTERS else None
+    for at in range(0, len(passages), SHARD):
+        shard = passages[at : at + SHARD]
+        own_lines = lines or as_letters(words, {w for i, start, _ in shard for w in words[i][start : start + size]})
         automaton = ahocorasick.Automaton()
-        for window, first in shard:
-            automaton.add_word("".join([letters[w] for w in window]), first)
+        for i, start, first in shard:
+            automaton.add_word(own_lines[i][start : start + size], first)
         automaton.make_automaton()
-        other = chr(1)
-        for i, own in enumerate(words):
-            if len(own) >= size:
-                for end, first in automaton.iter("".join([letters.get(w, other) for w in own])):
-                    if first < order[i]:
-                        covered[i][end - size + 1] += 1
-                        covered[i][end + 1] -= 1
+        for i, line in enumerate(own_lines):
+            if len(line) >= size:
+                ends = [end for end, first in automaton.iter(line) if first < order[i]]
+                if ends:
+                    np.add.at(covered[i], np.array(ends) - size + 1, 1)
+                    np.add.at(covered[i], np.array(ends) + 1, -1)
     return [np.cumsum(c[:-1]) > 0 for c in covered]
 
 
+def copy_mark() -> Column:
+    return F.xxhash64("ord", F.md5("body"))
+
+
+def split_copies(base: DataFrame) -> tuple[DataFrame, DataFrame, object]:
+    """Copies of a text with a smaller ``ord``; rows that share a copy's mark but are none; the marks.
+
+    The marks are a bitmap of fixed size, so most rows are told apart without a
+    shuffle of texts; only the marked rows are joined with the exact list.
+    """
+    spark = base.sparkSession
+    thin = publish(base.select("ord", F.md5("body").alias("md5"), copy_mark().alias("mark")), "texts")
+    first = thin.groupBy("md5").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).filter("first < last")
+    later = publish(thin.distinct().join(first, "md5").filter("ord > first").select("md5", "ord", "mark"), "copies")
+    copy_marks = spark.sparkContext.broadcast(marks_of_high_bits(later, "mark"))
+
+    def marked_rows(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(marked(copy_marks.value, slots_of(batch.column("mark").to_numpy().view(np.uint64)))))
+
+    sided = base.withColumn("mark", copy_mark())
+    suspects = publish(sided.mapInArrow(marked_rows, sided.schema).drop("mark").withColumn("md5", F.md5("body")), "suspects")
+    keys = later.select("md5", "ord")
+    copies = suspects.join(keys, ["md5", "ord"], "left_semi").drop("md5")
+    others = suspects.join(keys, ["md5", "ord"], "left_anti").drop("md5")
+    return copies.select(base.columns), publish(others.select(base.columns), "suspects"), copy_marks
+
+
 def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, n_removed and kept_sha256; the text loses the removed words.
 
@@ -159,33 +203,41 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
     base = docs.select(
         F.pmod(F.xxhash64(order, body), F.lit(blocks)).cast("int").alias("block"), order.alias("ord"), body.alias("body"), no_text, row
     )
-    thin = base.select("block", "ord", "body")
+    spark = docs.sparkSession
+    copies, others, copy_marks = split_copies(base)
+    # a marked row is a copy or stands again, without a mark, among the others
+    base = base.withColumn("mark", copy_mark()).unionByName(others.withColumn("mark", F.lit(None).cast("long")))
+    thin = base.select("block", "ord", "body", "mark")
+
+    def kept_rows(rows: dict) -> dict:
+        """The rows of a slice without those marked as copies."""
+        mark = np.array([0 if m is None else m for m in rows["mark"]], dtype=np.int64).view(np.uint64)
+        keep = ~marked(copy_marks.value, slots_of(mark)) | np.array([m is None for m in rows["mark"]])
+        at = np.flatnonzero(keep).tolist()
+        return {c: [rows[c][i] for i in at] for c in rows}
 
     def anchors():
         windows = Windows(size)
 
         def work(rows: dict) -> dict:
-            doc, _, _, _, anchor = windows.of(rows["body"])
-            turn = np.lexsort((anchor, doc))
-            doc, anchor = doc[turn], anchor[turn]
+            doc, _, _, _, anchor = windows.of(kept_rows(rows)["body"])
             fresh = np.ones(len(doc), dtype=bool)
             fresh[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1])
             return {"anchor": anchor[fresh].view(np.int64)}
 
         return work
 
-    repeated = map_batches(thin.select("body"), "anchor long", anchors).groupBy("anchor").count().filter("count > 1")
-    spark = docs.sparkSession
+    repeated = map_batches(thin.select("body", "mark"), "anchor long", anchors).groupBy("anchor").count().filter("count > 1")
     anchor_marks = spark.sparkContext.broadcast(marks_of_high_bits(repeated, "anchor"))
 
     def candidates():
         windows = Windows(size)
 
         def work(rows: dict) -> dict:
+            rows = kept_rows(rows)
             doc, at, first, second, anchor = windows.of(rows["body"])
             hit = np.flatnonzero(marked(anchor_marks.value, slots_of(anchor)))
-            turn = hit[np.lexsort((at[hit], second[hit], first[hit], doc[hit]))]
-            doc, at, first, second = doc[turn], at[turn], first[turn], second[turn]
+            doc, at, first, second = doc[hit], at[hit], first[hit], second[hit]
             fresh = np.ones(len(doc), dtype=bool)
             fresh[1:] = (doc[1:] != doc[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])
             doc = doc[fresh]
@@ -228,16 +280,16 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
         windows, by_id = Windows(size), {}
         for i, o in enumerate(order):
             by_id.setdefault(o, []).append(i)
-        hashes = {}
-        patterns = []
+        hashes: dict[int, np.ndarray] = {}
+        found_at = []
         for h1, o, at, first in zip(*(right.column(c).to_pylist() for c in ("h1", "ord", "at", "first")), strict=True):
             for i in by_id.get(o, ()):
                 if i not in hashes:
                     hashes[i] = windows.of([bodies[i]])[2].view(np.int64)
                 if at < len(hashes[i]) and hashes[i][at] == h1:
-                    patterns.append((words[i][at : at + size], first))
+                    found_at.append((i, at, first))
                     break
-        gone = locate(words, order, patterns, size)
+        gone = locate(words, order, found_at, size)
         kept = [[w for w, g in zip(own, lost.tolist(), strict=True) if not g] for own, lost in zip(words, gone, strict=True)]
         texts = [cut_words(b, lost) if lost.any() else b for b, lost in zip(bodies, gone, strict=True)]
         return pa.Table.from_arrays([
@@ -246,20 +298,41 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
             pa.array([hashlib.sha256(b" ".join(k)).hexdigest() for k in kept]),
         ], schema=arrow)
 
-    holds = F.xxhash64("ord").alias("o")
-    sided = base.withColumn("o", holds)
+    sided = base.withColumn("o", F.xxhash64("ord"))
 
     def only(want: bool):
+        """Rows that are no copies and whose id is marked as holding passages, or is not."""
+
         def run(batches):
             for batch in batches:
-                place = slots_of(batch.column("o").to_numpy().view(np.uint64))
-                yield batch.filter(pa.array(marked(touched.value, place) == want))
+                mark = batch.column("mark")
+                copied = marked(copy_marks.value, slots_of(mark.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)))
+                copied &= mark.is_valid().to_numpy(zero_copy_only=False)
+                holds = marked(touched.value, slots_of(batch.column("o").to_numpy().view(np.uint64)))
+                yield batch.filter(pa.array(~copied & (holds == want)))
 
         return run
 
     untouched = sided.mapInArrow(only(False), sided.schema).select("row", "body", "no_text").mapInArrow(plain, result)
     dealt = sided.mapInArrow(only(True), sided.schema).select("block", "ord", "body", "no_text", "row")
     located = dealt.groupBy("block").cogroup(passages.groupBy("block")).applyInArrow(through, result)
+
+    def emptied(batches):
+        """A copy of an earlier text: all its windows start there."""
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                bodies = part.column("body").to_pylist()
+                words = [b.split() for b in bodies]
+                gone = [len(w) if len(w) >= size else 0 for w in words]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("row").cast(arrow.field("row").type),
+                    pa.array([b"" if g else b for b, g in zip(bodies, gone, strict=True)], pa.binary()), part.column("no_text"),
+                    pa.array([len(w) for w in words], pa.int64()), pa.array(gone, pa.int64()),
+                    pa.array([hashlib.sha256(b"" if g else b" ".join(w)).hexdigest() for w, g in zip(words, gone, strict=True)]),
+                ], schema=arrow)
+
+    copied = copies.select("row", "body", "no_text").mapInArrow(emptied, result)
     text = F.when(~F.col("no_text"), F.col("body").cast("string"))
     columns = [text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in names]
-    return untouched.unionAll(located).select(*columns, *made)
+    return untouched.unionAll(located).unionAll(copied).select(*columns, *made)
