@@ -26,13 +26,12 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from termloom.llm.common import Memo, as_bytes, map_batches
+from termloom.llm.common import as_bytes, map_batches
 from termloom.scratch import publish
 
 #: Bits of the marks of repeated anchors, and of documents that hold repeated windows.
@@ -43,6 +42,8 @@ BLOCK_BYTES = 2_000_000
 SHARD = 80_000
 #: Characters that can stand for words.
 LETTERS = 1_100_000
+#: Bytes of texts that are hashed at once, about.
+PART_BYTES = 1 << 20
 LAST_ID = 2**63 - 1
 FIRST_BASE, SECOND_BASE, ANCHOR_BASE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 WORD = re.compile(rb"[^ \t-\r]+")
@@ -57,43 +58,112 @@ def rolled(codes: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
     return (out ^ (out >> np.uint64(31))) * base
 
 
+class Words:
+    """Hashes of the words of texts, from the bytes of many texts at once."""
+
+    def __init__(self):
+        rng = np.random.default_rng(2024)
+        self.letter = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.blank = np.zeros(256, dtype=bool)
+        self.blank[[0x20, *range(0x09, 0x0E)]] = True
+        self.power = np.ones(1, dtype=np.uint64)
+
+    def powers(self, n: int) -> np.ndarray:
+        while len(self.power) < n:
+            onward = self.power[-1:] * FIRST_BASE
+            self.power = np.concatenate([self.power, self.power * onward])
+        return self.power
+
+    def part(self, text: np.ndarray) -> np.ndarray:
+        """A hash of every word of a text that ends with a blank."""
+        blank = self.blank[text]
+        before = np.concatenate([[True], blank[:-1]])
+        starts = np.flatnonzero(~blank & before)
+        if not len(starts):
+            return np.zeros(0, dtype=np.uint64)
+        lengths = np.flatnonzero(blank & ~before) - starts
+        letters = self.letter[text[~blank]]
+        firsts = np.cumsum(lengths) - lengths
+        place = np.arange(len(letters)) - np.repeat(firsts, lengths)
+        code = np.add.reduceat(letters * self.powers(int(lengths.max()))[place], firsts)
+        code ^= code >> np.uint64(32)
+        return code * SECOND_BASE
+
+    def of(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all words, and how many words each text has."""
+        hashes, counts, part, size = [], [], [], 0
+        for i, body in enumerate(bodies):
+            part.append(body)
+            size += len(body)
+            if size >= PART_BYTES or i == len(bodies) - 1:
+                text = np.frombuffer(b" ".join(part) + b" ", dtype=np.uint8)
+                code = self.part(text)
+                ends = np.cumsum([len(b) + 1 for b in part])
+                blank = self.blank[text]
+                first = ~blank & np.concatenate([[True], blank[:-1]])
+                seen = np.concatenate([[0], np.cumsum(first)])[np.concatenate([[0], ends])]
+                hashes.append(code)
+                counts.append(np.diff(seen))
+                part, size = [], 0
+        if not hashes:
+            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        return np.concatenate(hashes), np.concatenate(counts).astype(np.int64)
+
+
 class Windows:
     """Hashes of the windows of some texts; made once per task."""
 
     def __init__(self, size: int):
         self.size = size
         self.phrase = (size + 1) // 2  # words of an inner phrase
-        self.codes = Memo(xxhash.xxh64_intdigest)
+        self.words = Words()
 
-    def starts(self, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def starts(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(document, first word counted over all documents) of every window."""
-        ends = np.cumsum(lengths)
-        rooms = np.maximum(np.array(lengths, dtype=np.int64) - self.size + 1, 0)
+        rooms = np.maximum(lengths - self.size + 1, 0)
         doc = np.repeat(np.arange(len(lengths)), rooms)
         within = np.arange(rooms.sum()) - np.repeat(np.cumsum(rooms) - rooms, rooms)
-        return doc, (ends - lengths)[doc] + within if len(doc) else doc
+        return doc, (np.cumsum(lengths) - lengths)[doc] + within
 
-    def of(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """document, word, first hash, second hash and anchor of every window."""
-        words = [b.split() for b in bodies]
-        lengths = [len(w) for w in words]
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=sum(lengths))
-        doc, at = self.starts(lengths)
-        if not len(doc):
-            none = np.zeros(0, dtype=np.uint64)
-            return doc, at, none, none, none
+    def anchors(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The anchor of each window."""
         inner = rolled(codes, self.phrase, ANCHOR_BASE)
-        n, anchor = len(codes) - self.size + 1, inner
+        n = len(codes) - self.size + 1
         anchor = inner[:n].copy()
         for j in range(1, self.size - self.phrase + 1):
             np.minimum(anchor, inner[j : j + n], out=anchor)
-        first, second = rolled(codes, self.size, FIRST_BASE)[at], rolled(codes, self.size, SECOND_BASE)[at] >> np.uint64(33)
-        return doc, at - (np.cumsum(lengths) - lengths)[doc], first, second, anchor[at]
+        return anchor[at]
+
+    def anchors_of(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """document and anchor of every window."""
+        codes, lengths = self.words.of(bodies)
+        doc, at = self.starts(lengths)
+        return doc, self.anchors(codes, at) if len(doc) else np.zeros(0, dtype=np.uint64)
+
+    def of(self, bodies: list[bytes], with_anchor: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """document, anchor (if asked for), first and second hash of every window."""
+        codes, lengths = self.words.of(bodies)
+        doc, at = self.starts(lengths)
+        if not len(doc):
+            none = np.zeros(0, dtype=np.uint64)
+            return doc, none, none, none
+        first, second = rolled(codes, self.size, FIRST_BASE)[at], rolled(codes, self.size, SECOND_BASE)[at]
+        return doc, self.anchors(codes, at) if with_anchor else first, first, second >> np.uint64(33)
+
+    def first_hashes(self, body: bytes) -> np.ndarray:
+        codes, _ = self.words.of([body])
+        return rolled(codes, self.size, FIRST_BASE)
 
 
-def marks_of_high_bits(table: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of fixed size: the bit numbered by the high bits of each value is set."""
-    slots = table.select(F.shiftrightunsigned(column, 64 - MARK_BITS).alias("p"))
+def marks_of(table: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size in which two bits are set for each value of a column of hashes.
+
+    It only ever lets too much through: what it lets through is checked exactly.
+    """
+    places = F.array(
+        F.shiftrightunsigned(column, 64 - MARK_BITS), F.shiftrightunsigned(column, 64 - 2 * MARK_BITS).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+    )
+    slots = table.select(F.explode(places).alias("p"))
     words = slots.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b"))
     out = np.zeros(1 << (MARK_BITS - 6), dtype=np.uint64)
     found = words.toArrow()  # at most 2**(MARK_BITS - 6) rows
@@ -101,12 +171,13 @@ def marks_of_high_bits(table: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def marked(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return (bitmap[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
-def slots_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+def marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether both bits of each uint64 hash are set."""
+    out = np.ones(len(hashes), dtype=bool)
+    for shift in (64 - MARK_BITS, 64 - 2 * MARK_BITS):
+        place = (hashes >> np.uint64(shift)).astype(np.int64) & ((1 << MARK_BITS) - 1)
+        out &= (bitmap[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return out
 
 
 def cut_words(body: bytes, gone: np.ndarray) -> bytes:
@@ -167,11 +238,11 @@ def split_copies(base: DataFrame) -> tuple[DataFrame, DataFrame, object]:
     thin = publish(base.select("ord", F.md5("body").alias("md5"), copy_mark().alias("mark")), "texts")
     first = thin.groupBy("md5").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).filter("first < last")
     later = publish(thin.distinct().join(first, "md5").filter("ord > first").select("md5", "ord", "mark"), "copies")
-    copy_marks = spark.sparkContext.broadcast(marks_of_high_bits(later, "mark"))
+    copy_marks = spark.sparkContext.broadcast(marks_of(later, "mark"))
 
     def marked_rows(batches):
         for batch in batches:
-            yield batch.filter(pa.array(marked(copy_marks.value, slots_of(batch.column("mark").to_numpy().view(np.uint64)))))
+            yield batch.filter(pa.array(marked(copy_marks.value, batch.column("mark").to_numpy().view(np.uint64))))
 
     sided = base.withColumn("mark", copy_mark())
     suspects = publish(sided.mapInArrow(marked_rows, sided.schema).drop("mark").withColumn("md5", F.md5("body")), "suspects")
@@ -212,7 +283,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
     def kept_rows(rows: dict) -> dict:
         """The rows of a slice without those marked as copies."""
         mark = np.array([0 if m is None else m for m in rows["mark"]], dtype=np.int64).view(np.uint64)
-        keep = ~marked(copy_marks.value, slots_of(mark)) | np.array([m is None for m in rows["mark"]])
+        keep = ~marked(copy_marks.value, mark) | np.array([m is None for m in rows["mark"]])
         at = np.flatnonzero(keep).tolist()
         return {c: [rows[c][i] for i in at] for c in rows}
 
@@ -220,7 +291,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
         windows = Windows(size)
 
         def work(rows: dict) -> dict:
-            doc, _, _, _, anchor = windows.of(kept_rows(rows)["body"])
+            doc, anchor = windows.anchors_of(kept_rows(rows)["body"])
             fresh = np.ones(len(doc), dtype=bool)
             fresh[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1])
             return {"anchor": anchor[fresh].view(np.int64)}
@@ -228,33 +299,39 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
         return work
 
     repeated = map_batches(thin.select("body", "mark"), "anchor long", anchors).groupBy("anchor").count().filter("count > 1")
-    anchor_marks = spark.sparkContext.broadcast(marks_of_high_bits(repeated, "anchor"))
+    anchor_marks = spark.sparkContext.broadcast(marks_of(repeated, "anchor"))
 
-    def candidates():
-        windows = Windows(size)
+    def candidates(marks, by_anchor: bool):
+        """Hashes, id and block of the windows that the marks let through, by their anchor or their own hash."""
 
-        def work(rows: dict) -> dict:
-            rows = kept_rows(rows)
-            doc, at, first, second, anchor = windows.of(rows["body"])
-            hit = np.flatnonzero(marked(anchor_marks.value, slots_of(anchor)))
-            doc, at, first, second = doc[hit], at[hit], first[hit], second[hit]
-            fresh = np.ones(len(doc), dtype=bool)
-            fresh[1:] = (doc[1:] != doc[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-            doc = doc[fresh]
-            return {
-                "h1": first[fresh].view(np.int64), "h2": second[fresh].astype(np.int32), "at": at[fresh].astype(np.int32),
-                "ord": np.array(rows["ord"], dtype=np.int64)[doc], "block": np.array(rows["block"], dtype=np.int32)[doc],
-            }
+        def make():
+            windows = Windows(size)
 
-        return work
+            def work(rows: dict) -> dict:
+                rows = kept_rows(rows)
+                doc, anchor, first, second = windows.of(rows["body"], by_anchor)
+                hit = np.flatnonzero(marked(marks.value, anchor if by_anchor else first))
+                doc, first, second = doc[hit], first[hit], second[hit]
+                fresh = np.ones(len(doc), dtype=bool)
+                fresh[1:] = (doc[1:] != doc[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+                doc = doc[fresh]
+                return {
+                    "h1": first[fresh].view(np.int64), "h2": second[fresh].astype(np.int32),
+                    "ord": np.array(rows["ord"], dtype=np.int64)[doc], "block": np.array(rows["block"], dtype=np.int32)[doc],
+                }
+
+            return work
+
+        return map_batches(thin, "h1 long, h2 int, ord long, block int", make)
 
-    met = map_batches(thin, "h1 long, h2 int, at int, ord long, block int", candidates)
+    met = candidates(anchor_marks, True).drop("block")
     confirmed = met.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).filter("first < last")
-    found = met.join(confirmed.drop("last"), ["h1", "h2"]).filter("ord > first")
-    found = publish(found.select("block", "h1", "h2", "ord", "at", "first"), "passages")
-    passages = found.groupBy("block", "h1", "h2").agg(F.min(F.struct("ord", "at")).alias("x"), F.min("first").alias("first"))
-    passages = passages.select("block", "h1", "x.ord", "x.at", "first")
-    touched = spark.sparkContext.broadcast(marks_of_high_bits(found.select(F.xxhash64("ord").alias("o")).distinct(), "o"))
+    confirmed = publish(confirmed.drop("last"), "confirmed")
+    window_marks = spark.sparkContext.broadcast(marks_of(confirmed, "h1"))
+    found = candidates(window_marks, False).join(confirmed, ["h1", "h2"]).filter("ord > first")
+    found = publish(found.select("block", "h1", "h2", "ord", "first"), "passages")
+    passages = found.groupBy("block", "h1", "h2").agg(F.min("ord").alias("ord"), F.min("first").alias("first")).drop("h2")
+    touched = spark.sparkContext.broadcast(marks_of(found.select(F.xxhash64("ord").alias("o")).distinct(), "o"))
 
     out_row = T.StructType([*base.schema["row"].dataType.fields])
     result = T.StructType([
@@ -280,15 +357,19 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
         windows, by_id = Windows(size), {}
         for i, o in enumerate(order):
             by_id.setdefault(o, []).append(i)
-        hashes: dict[int, np.ndarray] = {}
-        found_at = []
-        for h1, o, at, first in zip(*(right.column(c).to_pylist() for c in ("h1", "ord", "at", "first")), strict=True):
-            for i in by_id.get(o, ()):
-                if i not in hashes:
-                    hashes[i] = windows.of([bodies[i]])[2].view(np.int64)
-                if at < len(hashes[i]) and hashes[i][at] == h1:
-                    found_at.append((i, at, first))
-                    break
+        # a passage is known by its hash in one of the block's documents: find its words there
+        wanted, owner, firsts = (right.column(c).to_numpy() for c in ("h1", "ord", "first"))
+        turn = np.argsort(owner, kind="stable")
+        found_at: list[tuple[int, int, int]] = []
+        for rows in np.split(turn, np.flatnonzero(np.diff(owner[turn])) + 1) if len(turn) else []:
+            for i in by_id.get(int(owner[rows[0]]), ()):
+                hashes = windows.first_hashes(bodies[i]).view(np.int64)
+                if len(hashes) and len(rows):
+                    by_hash = np.argsort(hashes)
+                    place = by_hash[np.minimum(np.searchsorted(hashes, wanted[rows], sorter=by_hash), len(hashes) - 1)]
+                    here = hashes[place] == wanted[rows]
+                    found_at += zip([i] * int(here.sum()), place[here].tolist(), firsts[rows[here]].tolist(), strict=True)
+                    rows = rows[~here]
         gone = locate(words, order, found_at, size)
         kept = [[w for w, g in zip(own, lost.tolist(), strict=True) if not g] for own, lost in zip(words, gone, strict=True)]
         texts = [cut_words(b, lost) if lost.any() else b for b, lost in zip(bodies, gone, strict=True)]
@@ -306,9 +387,9 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
         def run(batches):
             for batch in batches:
                 mark = batch.column("mark")
-                copied = marked(copy_marks.value, slots_of(mark.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)))
+                copied = marked(copy_marks.value, mark.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
                 copied &= mark.is_valid().to_numpy(zero_copy_only=False)
-                holds = marked(touched.value, slots_of(batch.column("o").to_numpy().view(np.uint64)))
+                holds = marked(touched.value, batch.column("o").to_numpy().view(np.uint64))
                 yield batch.filter(pa.array(~copied & (holds == want)))
 
         return run
