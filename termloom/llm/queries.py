@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.common import crc_share, table
+from termloom.llm.ctw import lm_scores
+from termloom.llm.decontaminate import benchmark_hits
 from termloom.llm.knn import top_inner
 from termloom.llm.licenses import license_digest, scan_licenses
 from termloom.llm.mixing import MIX_SQL, mix_sources
 from termloom.llm.quality import fit_quality, score_quality
 from termloom.llm.simhash import simhash_groups
 from termloom.llm.substrings import remove_repeats
+from termloom.llm.tokens import apply_edits, build_trees
 from termloom.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +100,43 @@ x AS (SELECT doc_id, list(j) AS gone, count(*) AS n FROM c GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
        sha256(coalesce(array_to_string(CASE WHEN n IS NULL THEN ws ELSE [ws[k] FOR k IN range(1, len(ws) + 1) IF NOT list_contains(gone, k)] END, ' '), '')) AS kept_sha256
 FROM d LEFT JOIN x ON d.doc_id = x.doc_id"""
+
+
+@query
+def op2_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_share("doc_id", 10) == 0
+    scored = lm_scores(table(spark, sf_dir, "documents"), learn_from=~held_out)
+    names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+    return scored.select("doc_id", held_out.alias("held_out"), *names)
+
+
+def derived_edits():
+    """Three edits of every text, from its own row: a cut, an inserted source name, a replaced stretch."""
+    size = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+
+    def place(salt: str):
+        return F.pmod(F.crc32(F.concat_ws("|", F.col("doc_id").cast("string"), F.lit(salt)).cast("binary")), size + 1)
+
+    def change(at, width: int, insert):
+        return F.struct(at.alias("start"), (at + width).alias("stop"), insert.cast("string").alias("insert"))
+
+    return F.array(
+        change(place("cut"), 23, F.lit("")),
+        change(place("insert"), 0, F.concat(F.lit(" "), F.coalesce("source", F.lit("?")), F.lit(" "), F.col("doc_id").cast("string"))),
+        change(place("replace"), 9, F.lit("it's\n\n  edited")),
+    )
+
+
+@query
+def op6_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("edits", derived_edits())
+    edited = apply_edits(build_trees(docs, keep=("edits",)))
+    return edited.select(
+        "doc_id", F.col("n_before").alias("tokens_before"), F.col("n_tokens").alias("tokens_after"), "n_edits",
+        F.size("leaf_chars").cast("long").alias("n_pretokens"), "n_encoded",
+    )
+
+
+@query
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -20,8 +20,7 @@ Words reach the automata as single characters: a shard numbers its words.
 from __future__ import annotations
 
 import hashlib
-import re
-from itertools import chain
+from itertools import chain, compress
 
 import ahocorasick
 import numpy as np
@@ -46,7 +45,8 @@ LETTERS = 1_100_000
 PART_BYTES = 1 << 20
 LAST_ID = 2**63 - 1
 FIRST_BASE, SECOND_BASE, ANCHOR_BASE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
-WORD = re.compile(rb"[^ \t-\r]+")
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def rolled(codes: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
@@ -64,8 +64,6 @@ class Words:
     def __init__(self):
         rng = np.random.default_rng(2024)
         self.letter = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.blank = np.zeros(256, dtype=bool)
-        self.blank[[0x20, *range(0x09, 0x0E)]] = True
         self.power = np.ones(1, dtype=np.uint64)
 
     def powers(self, n: int) -> np.ndarray:
@@ -76,7 +74,7 @@ class Words:
 
     def part(self, text: np.ndarray) -> np.ndarray:
         """A hash of every word of a text that ends with a blank."""
-        blank = self.blank[text]
+        blank = BLANK[text]
         before = np.concatenate([[True], blank[:-1]])
         starts = np.flatnonzero(~blank & before)
         if not len(starts):
@@ -99,7 +97,7 @@ class Words:
                 text = np.frombuffer(b" ".join(part) + b" ", dtype=np.uint8)
                 code = self.part(text)
                 ends = np.cumsum([len(b) + 1 for b in part])
-                blank = self.blank[text]
+                blank = BLANK[text]
                 first = ~blank & np.concatenate([[True], blank[:-1]])
                 seen = np.concatenate([[0], np.cumsum(first)])[np.concatenate([[0], ends])]
                 hashes.append(code)
@@ -182,9 +180,11 @@ def marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def cut_words(body: bytes, gone: np.ndarray) -> bytes:
     """The text without the words marked ``gone``, each with the blanks after it."""
-    spans = [m.span() for m in WORD.finditer(body)]
-    edges = [0 if i == 0 else spans[i][0] for i in range(len(spans))] + [len(body)]
-    return b"".join(body[edges[i] : edges[i + 1]] for i in range(len(spans)) if not gone[i])
+    text = np.frombuffer(body, dtype=np.uint8)
+    blank = BLANK[text]
+    starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    stays = np.repeat(np.concatenate([[True], ~gone]), np.diff(np.concatenate([[0], starts, [len(body)]])))
+    return text[stays].tobytes()
 
 
 def as_letters(words: list[list[bytes]], wanted: set[bytes] | None = None) -> list[str]:
@@ -211,13 +211,14 @@ def locate(words: list[list[bytes]], order: list[int], passages: list[tuple[int,
     for at in range(0, len(passages), SHARD):
         shard = passages[at : at + SHARD]
         own_lines = lines or as_letters(words, {w for i, start, _ in shard for w in words[i][start : start + size]})
-        automaton = ahocorasick.Automaton()
-        for i, start, first in shard:
-            automaton.add_word(own_lines[i][start : start + size], first)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for k, (i, start, _) in enumerate(shard):
+            automaton.add_word(own_lines[i][start : start + size], k)
         automaton.make_automaton()
+        firsts = [first for _, _, first in shard]
         for i, line in enumerate(own_lines):
             if len(line) >= size:
-                ends = [end for end, first in automaton.iter(line) if first < order[i]]
+                ends = [end for end, k in automaton.iter(line) if firsts[k] < order[i]]
                 if ends:
                     np.add.at(covered[i], np.array(ends) - size + 1, 1)
                     np.add.at(covered[i], np.array(ends) + 1, -1)
@@ -371,7 +372,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
                     found_at += zip([i] * int(here.sum()), place[here].tolist(), firsts[rows[here]].tolist(), strict=True)
                     rows = rows[~here]
         gone = locate(words, order, found_at, size)
-        kept = [[w for w, g in zip(own, lost.tolist(), strict=True) if not g] for own, lost in zip(words, gone, strict=True)]
+        kept = [compress(own, (~lost).tolist()) for own, lost in zip(words, gone, strict=True)]
         texts = [cut_words(b, lost) if lost.any() else b for b, lost in zip(bodies, gone, strict=True)]
         return pa.Table.from_arrays([
             left.column("row").cast(arrow.field("row").type), pa.array(texts, pa.binary()), left.column("no_text"),
