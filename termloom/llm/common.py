@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows that a worker turns into Python objects at once.
-SLICE_ROWS = 256
+SLICE_ROWS = 96
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

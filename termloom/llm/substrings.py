@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from termloom.llm.common import as_bytes, map_batches
+from termloom.llm.common import SLICE_ROWS, as_bytes, map_batches
 from termloom.scratch import publish
 
 #: Bits of the marks of repeated anchors, and of documents that hold repeated windows.
@@ -38,7 +38,7 @@ MARK_BITS = 26
 #: Bytes of text in a block of documents, about.
 BLOCK_BYTES = 2_000_000
 #: Windows in an automaton, at most; their words fit the characters that Python has.
-SHARD = 80_000
+SHARD = 40_000
 #: Characters that can stand for words.
 LETTERS = 1_100_000
 #: Bytes of texts that are hashed at once, about.
@@ -343,8 +343,8 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
 
     def plain(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
                 words = [b.split() for b in part.column("body").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
                     part.column("row").cast(arrow.field("row").type), part.column("body").cast(pa.binary()), part.column("no_text"),
@@ -402,8 +402,8 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
     def emptied(batches):
         """A copy of an earlier text: all its windows start there."""
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
                 bodies = part.column("body").to_pylist()
                 words = [b.split() for b in bodies]
                 gone = [len(w) if len(w) >= size else 0 for w in words]

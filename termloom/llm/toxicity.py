@@ -13,10 +13,13 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from termloom.llm.common import Memo, as_bytes, map_batches
+from termloom.llm.common import SLICE_ROWS, Memo, as_bytes, map_batches
 from termloom.llm.labelled import labelled_sample, log_odds_shift
 from termloom.scratch import publish
 
@@ -193,13 +196,15 @@ def score_toxicity(docs: DataFrame, machine: FactorizationMachine, id_col: str =
         raise ValueError("slots must be positive")
     packed = own.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), as_bytes(text_col).alias("body"))
 
-    def make():
-        score = machine.scorer()
-
-        def work(rows: dict) -> dict:
-            return {"row": rows["row"], "toxicity": score(rows["body"])}
+    result = T.StructType([packed.schema["row"], T.StructField("toxicity", T.DoubleType())])
+    arrow = to_arrow_schema(result)
 
-        return work
+    def run(batches):
+        score = machine.scorer()
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                scores = pa.array(score(part.column("body").to_pylist()))
+                yield pa.RecordBatch.from_arrays([part.column("row").cast(arrow.field("row").type), scores], schema=arrow)
 
-    kind = packed.schema["row"].dataType.simpleString()
-    return map_batches(packed, f"row {kind}, toxicity double", make).select("row.*", "toxicity")
+    return packed.mapInArrow(run, result).select("row.*", "toxicity")

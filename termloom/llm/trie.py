@@ -24,7 +24,7 @@ LEAST_BITS = 4
 #: Two nodes of so many strings together are one group.
 GROUP_ROWS = 1 << 15
 #: Node pairs held at once in a task.
-FRONTIER = 1 << 19
+FRONTIER = 1 << 16
 #: A node pair with so many string pairs at most is compared string by string.
 DIRECT = 8
 
