@@ -20,32 +20,44 @@ from termloom.scratch import publish
 
 #: Documents that score at least this are rejected.
 TOXIC = 0.5
+#: Whole documents cross to Python in batches of so many rows, so that long texts stay small in memory.
+BATCH_ROWS = "1000"
+
+
+def use_small_batches(spark: SparkSession) -> None:
+    """This job's own session setting."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the factorization machine rejects."""
+    use_small_batches(spark)
     machine = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(docs, machine).filter(F.col("toxicity") < TOXIC).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: shingles of five words, similarity 0.8."""
+    use_small_batches(spark)
     return drop_near_duplicates(docs, size=5, similarity=0.8)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 13 words and more that an earlier document has."""
+    use_small_batches(spark)
     cut = remove_repeats(docs, size=13)
     return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
+    use_small_batches(spark)
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words to take of each document so that sources meet their targets."""
+    use_small_batches(spark)
     return mix_sources(docs)
 
 
