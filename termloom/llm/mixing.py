@@ -53,7 +53,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, most:
     left = due - F.coalesce(F.sum("room").over(before), F.lit(0.0))
     weight_left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     level = room.withColumn("level", left / weight_left).withColumn("capped", F.col("room") / F.col("weight") <= F.col("level"))
-    common = F.min(F.when(~F.col("capped"), F.col("level"))).over(everything)
+    # the levels fall after the first source that is not capped; that one's is the share of all of them
+    common = F.max(F.when(~F.col("capped"), F.col("level"))).over(everything)
     return level.select(
         "src", "no_src", "source_size", F.when(F.col("capped"), F.col("room")).otherwise(common * F.col("weight")).alias("target")
     )
@@ -155,7 +156,7 @@ r AS (SELECT *, CAST(ss AS DOUBLE) * 2.0 AS room FROM s),
 l AS (SELECT *, (CAST(sum(ss) OVER () AS DOUBLE) * 1.5 - coalesce(sum(room) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level
       FROM r WINDOW b AS (ORDER BY room / w, no_src, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT src, no_src, CAST(ss AS BIGINT) AS source_size,
-             CASE WHEN room / w <= level THEN room ELSE min(CASE WHEN room / w > level THEN level END) OVER () * w END AS target FROM l),
+             CASE WHEN room / w <= level THEN room ELSE max(CASE WHEN room / w > level THEN level END) OVER () * w END AS target FROM l),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t),
 q AS (SELECT *, floor(ratio) AS whole, ratio - floor(ratio) AS part, target - floor(ratio) * source_size AS due FROM p),
 k AS (SELECT d.*, q.source_size, q.target, q.whole, q.part, q.due,
