@@ -7,7 +7,6 @@ size of the table, so its own broadcast choice rests on a measured number.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -19,20 +18,12 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else one in the session's warehouse.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a missing setting is an error, since a machine-local folder would
-    not be seen by the other executors.
+    Both are places that the cluster shares; the session's settings stay as they are.
     """
     named = spark.conf.get(CHECKPOINT_KEY, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_KEY} must name a shared folder")
-    made = tempfile.mkdtemp(prefix="termloom-")
-    spark.conf.set(CHECKPOINT_KEY, made)
-    return made
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

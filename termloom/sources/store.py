@@ -289,10 +289,19 @@ def id_map_rows(data: DataFrame, uid_index: Column) -> DataFrame:
     return data.select(old.alias("old_id"), "row_id", "ts", "batch_id").where("old_id is not null")
 
 
+# Fixed value: characters that Spark writes as %XX in the folder of a partition, beside control characters.
+ESCAPED = set("\"#%'*/:=?\\\x7f{[]^")
+
+
+def partition_value(value: str) -> str:
+    """The value of a partition column as it stands in its folder's name."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 0x20 else c for c in value)
+
+
 def drop_batch(store: Store, batch_id: str, tables: tuple[str, ...] = BATCH_TABLES) -> None:
-    """Remove one batch by removing its partition folders."""
+    """Remove one batch by removing its partition folders, named as Spark names them."""
     for table in tables:
-        _drop_folder(store.spark, f"{store.path(table)}/batch_id={batch_id}")
+        _drop_folder(store.spark, f"{store.path(table)}/batch_id={partition_value(batch_id)}")
 
 
 delete_batch = drop_batch
@@ -305,18 +314,20 @@ def _write_batch(df: DataFrame, store: Store, table: str) -> None:
 def append_batch(store: Store, frame: SparseFrame, batch_id: str, now: Column) -> dict:
     """Check a batch, extend the dictionaries, then append it.
 
-    Everything is validated before the first write. A replay of the same batch
-    first drops what an interrupted run left behind.
+    Everything is validated before anything is dropped or written, so a rejected
+    resubmission leaves the stored batch as it is. A replay of the same batch is
+    compared with the other batches only, and drops what stood under its id.
     """
     cleaned = SparseFrame(
         frame.rows.withColumn("target", F.lower("target")),
         frame.cells.withColumn("term", clean_name(F.col("term"))).withColumn("target", F.lower("target"))
         .groupBy("row_id", "target", "term").agg(F.sum("value").alias("value")),
     ).materialise()
-    drop_batch(store, batch_id)
     hashes = publish(row_hashes(cleaned), "hashes")
-    if not duplicate_gate(hashes, scan(store, "data"), store.config.permitted_duplicates):
+    others = scan(store, "data").where(F.col("batch_id") != batch_id)
+    if not duplicate_gate(hashes, others, store.config.permitted_duplicates):
         return {"status": "failed", "error": "Too many duplicate records "}
+    drop_batch(store, batch_id)
     known_columns, known_targets = scan_columns(store), scan_targets(store)
     columns = publish(append_dictionary(cleaned.cells, known_columns, "term", "int"), "columns")
     targets = publish(append_dictionary(cleaned.rows, known_targets, "target", "double"), "targets")
