@@ -36,7 +36,7 @@ from termloom.scratch import publish
 #: Bits of the marks of repeated anchors, and of documents that hold repeated windows.
 MARK_BITS = 26
 #: Bytes of text in a block of documents, about.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 #: Windows in an automaton, at most; their words fit the characters that Python has.
 SHARD = 40_000
 #: Characters that can stand for words.
@@ -341,10 +341,21 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
     ])
     arrow = to_arrow_schema(result)
 
+    def chosen(batch: pa.RecordBatch, want: bool) -> pa.RecordBatch:
+        """The rows that are no copies and whose id is marked as holding passages, or is not."""
+        mark = batch.column("mark")
+        copied = marked(copy_marks.value, mark.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        copied &= mark.is_valid().to_numpy(zero_copy_only=False)
+        holds = marked(touched.value, batch.column("o").to_numpy().view(np.uint64))
+        return batch.filter(pa.array(~copied & (holds == want)))
+
     def plain(batches):
+        """The rows without passages, chosen and finished by one worker."""
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS)
+                part = chosen(batch.slice(start, SLICE_ROWS), False)
+                if not part.num_rows:
+                    continue
                 words = [b.split() for b in part.column("body").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
                     part.column("row").cast(arrow.field("row").type), part.column("body").cast(pa.binary()), part.column("no_text"),
@@ -352,6 +363,11 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
                     pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words]),
                 ], schema=arrow)
 
+    def holding(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                yield chosen(batch.slice(start, SLICE_ROWS), True)
+
     def through(left: pa.Table, right: pa.Table) -> pa.Table:
         bodies, order = left.column("body").to_pylist(), left.column("ord").to_pylist()
         words = [b.split() for b in bodies]
@@ -382,21 +398,8 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
 
     sided = base.withColumn("o", F.xxhash64("ord"))
 
-    def only(want: bool):
-        """Rows that are no copies and whose id is marked as holding passages, or is not."""
-
-        def run(batches):
-            for batch in batches:
-                mark = batch.column("mark")
-                copied = marked(copy_marks.value, mark.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
-                copied &= mark.is_valid().to_numpy(zero_copy_only=False)
-                holds = marked(touched.value, batch.column("o").to_numpy().view(np.uint64))
-                yield batch.filter(pa.array(~copied & (holds == want)))
-
-        return run
-
-    untouched = sided.mapInArrow(only(False), sided.schema).select("row", "body", "no_text").mapInArrow(plain, result)
-    dealt = sided.mapInArrow(only(True), sided.schema).select("block", "ord", "body", "no_text", "row")
+    untouched = sided.mapInArrow(plain, result)
+    dealt = sided.mapInArrow(holding, sided.schema).select("block", "ord", "body", "no_text", "row")
     located = dealt.groupBy("block").cogroup(passages.groupBy("block")).applyInArrow(through, result)
 
     def emptied(batches):
