@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 from pyspark.ml.clustering import LDA, KMeans, KMeansModel, LDAModel
@@ -20,7 +21,6 @@ from termloom.scratch import Written, new_folder, publish, write_table
 
 CLUSTER_SCHEMA = "cluster string, rank int, idx int, value double"
 DESCRIBED_TERMS = 60
-LDA_SHARE = 0.99
 LDA_MIN_ROWS = 10
 SECOND_TIER_MIN_ROWS = 50
 VECTOR_SCHEMA = T.StructType(
@@ -79,12 +79,15 @@ def kmeans_fit(data: Vectors, k: int, iterations: int = 50, init_steps: int = 10
     return KMeans(k=k, maxIter=iterations, initSteps=init_steps, seed=seed).fit(data.rows)
 
 
-def lda_fit(data: Vectors, topics: int, iterations: int = 20, seed: int = 1) -> LDAModel | None:
-    """Online LDA over a 99 % split; nothing for ten rows or fewer."""
-    if data.rows.limit(LDA_MIN_ROWS + 1).count() <= LDA_MIN_ROWS:
+def lda_fit(
+    data: Vectors, topics: int, iterations: int = 20, seed: int = 1, share: float = 1.0, min_rows: int = LDA_MIN_ROWS
+) -> LDAModel | None:
+    """Online LDA over all rows, or a ``share`` of them by id hash; nothing for ``min_rows`` rows or fewer."""
+    if data.rows.limit(min_rows + 1).count() <= min_rows:
         return None
-    sample = data.rows.sample(LDA_SHARE, seed)
-    return LDA(k=topics, maxIter=iterations, optimizer="online", seed=seed).fit(sample)
+    part = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
+    rows = data.rows if share >= 1.0 else data.rows.where(part)
+    return LDA(k=topics, maxIter=iterations, optimizer="online", seed=seed).fit(rows)
 
 
 def top_center_terms(spark: SparkSession, model: KMeansModel, columns: DataFrame, n: int) -> DataFrame:
@@ -141,12 +144,14 @@ class CycleSettings:
     init_steps: int = 10
     top_terms: int = 15
     spread: int = 2
-    max_rounds: int = 20
+    max_rounds: int | None = None  # a cycle ends by itself; 1 for a single, non-recursive round
     stop_words: str = ""
 
 
 def _one_round(frame: SparseFrame, method: str, settings: CycleSettings) -> DataFrame | None:
     data = vectors(frame)
+    if data.rows.isEmpty():
+        return None
     if method == "kmeans":
         model = kmeans_fit(data, settings.k, settings.iterations, settings.init_steps)
         return top_center_terms(frame.spark, model, data.columns, settings.top_terms)
@@ -157,7 +162,8 @@ def _one_round(frame: SparseFrame, method: str, settings: CycleSettings) -> Data
 def trim_cycle(frame: SparseFrame, method: str, settings: CycleSettings, target: str = "ALL") -> DataFrame:
     """Fit, report, remove terms spread over too many clusters, and fit again.
 
-    Each round starts from the same written cells less all terms removed so far,
+    Every round but the last removes at least one term, so the cycle ends, at
+    the latest with the vocabulary. Each round starts from the same written cells less all terms removed so far,
     so the lineage does not grow. Only report-sized lists reach the driver.
     Returns the report rows of all rounds; their terms are the ones to keep.
     """
@@ -166,7 +172,9 @@ def trim_cycle(frame: SparseFrame, method: str, settings: CycleSettings, target:
     removed: set[str] = set()
     reports: list[DataFrame] = []
     stop_at = 0 if method == "kmeans" else 1
-    for iteration in range(settings.max_rounds):
+    for iteration in count():
+        if iteration == settings.max_rounds:
+            break
         current = remove_columns(base, term_table(spark, sorted(removed))) if removed else base
         report = _one_round(current, method, settings)
         if report is None:

@@ -22,8 +22,10 @@ def ttl_cache_append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def ttl_cache_read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def ttl_cache_read(spark: SparkSession, path: str, now_ms: Column | None = None, ttl_minutes: int = 1440) -> DataFrame:
+    """The rows that have not expired, whatever the size of the table; all rows for a time of 0 or less."""
+    now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
+    return unexpired(spark.read.parquet(path), now, ttl_minutes)
 
 
 def unexpired(df: DataFrame, now_ms: Column, ttl_minutes: int) -> DataFrame:

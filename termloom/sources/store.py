@@ -38,6 +38,8 @@ TABLES = {
     "identity": IDENTITY_SCHEMA,
 }
 BATCH_TABLES = ("data", "index", "columns", "targets", "id_map")
+# Names outlive the batch that brought them in, as later batches use their numbers.
+ROW_TABLES = ("data", "index", "id_map")
 
 
 @dataclass(frozen=True)
@@ -261,16 +263,21 @@ def store_rows(
     now: Column,
     batch_id: str,
 ) -> DataFrame:
-    """Rows in stored form: index and value arrays, hash, time and batch."""
-    aligned = realign_to_store(frame, columns, targets)
-    arrays = aligned.groupBy("row_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("term_idx").alias("idx"), "value"))).alias("_c")
+    """Rows in stored form: index and value arrays, hash, time and batch.
+
+    Whole rows only; a row without cells is whole and has empty arrays.
+    """
+    matched, _ = realign(frame, columns, targets)
+    arrays = matched.groupBy("row_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("term_idx").alias("idx"), "value"))).alias("_c"),
+        F.count(F.when(F.col("term_idx").isNull() | F.col("target_idx").isNull(), 1)).alias("_lost"),
     )
-    return arrays.join(hashes, "row_id").select(
+    whole = hashes.join(arrays, "row_id", "left").where(F.coalesce("_lost", F.lit(0)) == 0)
+    return whole.select(
         "row_id",
         F.lower("target").alias("target"),
-        F.col("_c.idx").alias("indices"),
-        F.col("_c.value").alias("values"),
+        F.coalesce(F.col("_c.idx"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.col("_c.value"), F.array().cast("array<double>")).alias("values"),
         "row_hash",
         now.cast("timestamp").alias("ts"),
         F.lit(batch_id).alias("batch_id"),
@@ -298,8 +305,8 @@ def partition_value(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 0x20 else c for c in value)
 
 
-def drop_batch(store: Store, batch_id: str, tables: tuple[str, ...] = BATCH_TABLES) -> None:
-    """Remove one batch by removing its partition folders, named as Spark names them."""
+def drop_batch(store: Store, batch_id: str, tables: tuple[str, ...] = ROW_TABLES) -> None:
+    """Remove one batch's rows by removing its partition folders, named as Spark names them."""
     for table in tables:
         _drop_folder(store.spark, f"{store.path(table)}/batch_id={partition_value(batch_id)}")
 
@@ -348,8 +355,8 @@ def append_batch(store: Store, frame: SparseFrame, batch_id: str, now: Column) -
 
 
 def overwrite_store(store: Store, store_uuid: str) -> None:
-    """Empty all tables before a full load."""
-    for table in BATCH_TABLES:
+    """Empty all tables, the supplement too, before a full load."""
+    for table in (*BATCH_TABLES, "supplement"):
         _drop_folder(store.spark, store.path(table))
     create_store(store, store_uuid)
 
@@ -392,4 +399,4 @@ def store_row_count(store: Store) -> int:
 
 def approximate_row_count(df: DataFrame, timeout_ms: int = 1000, confidence: float = 0.95) -> int:
     """A count that may stop early, with Spark's own confidence bound."""
-    return df.rdd.countApprox(timeout_ms, confidence)
+    return df.select(F.lit(1).alias("one")).rdd.countApprox(timeout_ms, confidence)

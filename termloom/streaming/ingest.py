@@ -16,14 +16,18 @@ CELL_STREAM_SCHEMA = "batch_id string, row_id string, target string, term string
 PROMOTE_AFTER_HOURS = 12
 
 
-def stream_cells(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    return spark.readStream.schema(CELL_STREAM_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+def stream_cells(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream of announced cells; ``max_files`` sets the size of a micro-batch, never the result."""
+    reader = spark.readStream.schema(CELL_STREAM_SCHEMA)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).parquet(path)
 
 
-def ingest_batch(store: Store, cells: DataFrame, batch_id: str, ledger_path: str, now: Column) -> str:
-    """Take in one batch unless the ledger says it is in; failures are recorded, not raised on."""
+def ingest_batch(
+    store: Store, cells: DataFrame, batch_id: str, ledger_path: str, now: Column, grown: bool = False
+) -> str:
+    """Take in one batch unless the ledger says it is in and it has not ``grown``; failures are recorded, not raised on."""
     spark = store.spark
-    if ledger.is_persisted(spark, ledger_path, batch_id):
+    if not grown and ledger.is_persisted(spark, ledger_path, batch_id):
         return "skipped"
     try:
         frame = SparseFrame(cells.select("row_id", "target").distinct(), cells.where("value <> 0"))
@@ -38,17 +42,25 @@ def ingest_batch(store: Store, cells: DataFrame, batch_id: str, ledger_path: str
 def stream_ingest(
     cells: DataFrame, store: Store, store_uuid: str, ledger_path: str, checkpoint: str, now: Column
 ) -> StreamingQuery:
-    """Ingest announced batches one after the other; replays are no-ops by batch id."""
+    """Ingest announced batches one after the other; replays are no-ops by batch id.
+
+    The unit is the announced batch, not the micro-batch: what arrives is landed
+    beside the checkpoint, and a batch that gets further files is taken in again
+    with all its files, in place of what stood under its id.
+    """
     spark = cells.sparkSession
     create_store(store, store_uuid)
     ledger.create_ledger(spark, ledger_path)
 
+    landing = f"{checkpoint}-landed"
+
     def sink(micro: DataFrame, epoch: int) -> None:
-        written = publish(micro, "micro", ["batch_id"])
-        ids = [r["batch_id"] for r in written.select("batch_id").distinct().orderBy("batch_id").collect()]
-        for batch_id in ids:
-            part = written.where(F.col("batch_id") == batch_id).drop("batch_id")
-            ingest_batch(store, part, batch_id, ledger_path, now)
+        micro.write.mode("overwrite").partitionBy("batch_id").parquet(f"{landing}/epoch={epoch}")
+        landed = spark.read.schema(f"{CELL_STREAM_SCHEMA}, epoch long").parquet(landing).where(F.col("epoch") <= epoch)
+        seen = landed.groupBy("batch_id").agg(F.min("epoch").alias("first"), F.max("epoch").alias("last"))
+        for batch in seen.where(F.col("last") == epoch).orderBy("batch_id").collect():
+            part = landed.where(F.col("batch_id") == batch["batch_id"]).drop("batch_id", "epoch")
+            ingest_batch(store, part, batch["batch_id"], ledger_path, now, grown=batch["first"] < epoch)
 
     return (
         cells.writeStream.foreachBatch(sink)

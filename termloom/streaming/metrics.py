@@ -13,7 +13,7 @@ RECENT = 10
 
 
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch; Spark keeps a bounded number of them."""
+    """One row per micro-batch that Spark still keeps (``spark.sql.streaming.numRecentProgressUpdates``)."""
     rows = []
     for entry in query.recentProgress:
         item = json.loads(entry.json) if hasattr(entry, "json") else entry
@@ -22,9 +22,9 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def stream_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Batches completed, whether the query failed, and the mean delay of the last ten."""
+    """Batches completed and their rows, whether the query failed, and the mean delay of the last ten."""
     failed = 1 if query.exception() else 0
-    last = progress_table(spark, query).orderBy(F.col("batch").desc()).limit(RECENT)
-    return last.agg(
-        F.count("*").alias("completed"), F.sum("rows").alias("rows"), F.avg("delay_ms").alias("mean_delay_ms")
-    ).withColumn("failed", F.lit(failed))
+    kept = progress_table(spark, query)
+    totals = kept.agg(F.count("*").alias("completed"), F.sum("rows").alias("rows"))
+    last = kept.orderBy(F.col("batch").desc()).limit(RECENT).agg(F.avg("delay_ms").alias("mean_delay_ms"))
+    return totals.withColumn("mean_delay_ms", last.scalar()).withColumn("failed", F.lit(failed))

@@ -161,7 +161,55 @@ def test_cache_expires_only_when_large(spark):
     cache.ttl_cache_append(spark.createDataFrame([(0,), (100_000_000,)], "dsctimestamp long"), path)
     assert not cache.ttl_cache_clean(spark, path, F.lit(100_000_001), 60)
     assert cache.ttl_cache_clean(spark, path, F.lit(100_000_001), 60, above=1)
-    assert cache.ttl_cache_read(spark, path).count() == 1
+    assert cache.ttl_cache_read(spark, path, ttl_minutes=0).count() == 1
+
+
+def test_cache_never_returns_expired_rows(spark):
+    path = new_folder(spark, "cache")
+    cache.ttl_cache_append(spark.createDataFrame([(0,), (100_000_000,)], "dsctimestamp long"), path)
+    got = cache.ttl_cache_read(spark, path, F.lit(100_000_001), 60).collect()
+    assert [r["dsctimestamp"] for r in got] == [100_000_000]
+
+
+def test_names_outlive_their_batch(spark):
+    first = frame_of(spark, [("r1", "A", "x", 1.0), ("r1", "A", "y", 2.0)])
+    second = frame_of(spark, [("r2", "A", "x", 3.0), ("r2", "A", "z", 4.0)])
+    store = new_store(spark)
+    for frame, name in ((first, "day:1 a"), (second, "day:2 a"), (first, "day:1 a")):
+        assert S.append_batch(store, frame, name, now())["status"] == "persisted"
+    left = {("r2", "a", "x"): 3.0, ("r2", "a", "z"): 4.0}
+    assert cells(S.scan_store(store).cells) == left | {("r1", "a", "x"): 1.0, ("r1", "a", "y"): 2.0}
+    S.delete_batch(store, "day:1 a")
+    assert cells(S.scan_store(store).cells) == left
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_batches_are_whole_however_files_are_dealt(spark, max_files):
+    drop, book, state = (new_folder(spark, x) for x in ("drop", "ledger", "state"))
+    store = S.Store(spark, new_folder(spark, "store"), "s")
+
+    def arrive(*ids):
+        for i in ids:
+            row = [("b1", f"r{i}", "A", "x", float(i))]
+            spark.createDataFrame(row, ingest.CELL_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(drop)
+        receive.drain(ingest.stream_ingest(ingest.stream_cells(spark, drop, max_files), store, UUID, book, state, now()))
+
+    arrive(1, 2, 3)
+    assert cells(S.scan_store(store).cells) == {(f"r{i}", "a", "x"): float(i) for i in (1, 2, 3)}
+    arrive(4)
+    assert cells(S.scan_store(store).cells) == {(f"r{i}", "a", "x"): float(i) for i in (1, 2, 3, 4)}
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_lines_are_routed_by_data_set(spark, max_files):
+    inbox, out, state = (new_folder(spark, x) for x in ("inbox", "out", "state"))
+    for value in ("a,1", "DATA_NAME=d1", "DATA_STORE=st", "a,2", "STORE_UUID=u1", "END_STREAM", "a,3"):
+        spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("append").text(f"{inbox}/one")
+    spark.createDataFrame([("b,1",)], "value string").write.text(f"{inbox}/open")
+    receive.drain(receive.stream_route(receive.stream_lines(spark, inbox, max_files), out, state))
+    got = spark.read.option("basePath", out).parquet(f"{out}/epoch=*").select("route", "value").collect()
+    assert sorted(map(tuple, got)) == [("data", "a,1"), ("data", "a,2"), ("data", "a,3")]
+    assert [r["value"] for r in receive.waiting_lines(spark, state).collect()] == ["b,1"]
 
 
 def test_one_bad_batch_does_not_stop_the_others(spark):
@@ -178,13 +226,13 @@ def test_one_bad_batch_does_not_stop_the_others(spark):
 
 
 def test_promotion_waits_then_moves_once(spark, small):
-    staging = new_store(spark, flush_threshold=3, trim=False)
+    staging = new_store(spark, flush_threshold=4, trim=False)
     S.append_batch(staging, small, "b1", now())
     final = S.Store(spark, new_folder(spark, "store"), "final")
     book = new_folder(spark, "ledger")
-    assert ingest.promote_staging(staging, final, UUID, book, "p1", now()) == "waiting"  # r4 is empty, three rows staged
+    assert ingest.promote_staging(staging, final, UUID, book, "p1", now()) == "waiting"  # four rows staged, r4 without cells
     assert ingest.promote_staging(staging, final, UUID, book, "p1", now(), force=True) == "promoted"
-    assert (S.store_row_count(staging), S.store_row_count(final)) == (0, 3)
+    assert (S.store_row_count(staging), S.store_row_count(final)) == (0, 4)
     assert ingest.promote_staging(staging, final, UUID, book, "p1", now(), force=True) == "waiting"
 
 
@@ -196,4 +244,4 @@ def test_failed_promotion_keeps_staging(spark, small):
     S.append_batch(final, small, "b0", now())
     book = new_folder(spark, "ledger")
     assert ingest.promote_staging(staging, final, UUID, book, "p1", now(), force=True) == "failed"
-    assert S.store_row_count(staging) == 3
+    assert S.store_row_count(staging) == 4

@@ -13,7 +13,7 @@ from termloom.operators.phrases import last_iteration_terms, row_names, term_pai
 from workload.fixtures import cluster_report, once
 from workload.registry import query
 
-SMALL = K.CycleSettings(k=4, iterations=5, init_steps=2, top_terms=5, spread=2, max_rounds=3)
+SMALL = K.CycleSettings(k=4, iterations=5, init_steps=2, top_terms=5, spread=2)
 
 
 @once

@@ -460,6 +460,22 @@ def _(spark, d):
     return S.scan(store, "data").select("row_id", "batch_id")
 
 
+@query("replay_batch", f"WITH {STORE_CELLS} SELECT row_id, target, term, value FROM stored")
+def _(spark, d):
+    """The first batch once more, after the second: no cell of either is lost."""
+    store = copy_of(order_store(spark, d))
+    S.append_batch(store, by_status(spark, d, order_frame_with_uid(spark, d), True), "batch-f", now())
+    return S.scan_store(store).cells
+
+
+@query("delete_first_batch", f"WITH {STORE_CELLS} SELECT row_id, target, term, value FROM stored WHERE batch_id = 'batch-op'")
+def _(spark, d):
+    """The cells that are left keep the names that the deleted batch brought in."""
+    store = copy_of(order_store(spark, d))
+    S.delete_batch(store, "batch-f")
+    return S.scan_store(store).cells
+
+
 @query("overwrite_store", f"WITH {STORE_CELLS} SELECT DISTINCT row_id, 'again' AS batch_id FROM stored WHERE batch_id = 'batch-f'")
 def _(spark, d):
     store = copy_of(order_store(spark, d))
@@ -578,15 +594,22 @@ def _filled_cache(spark, d):
 
 @query("ttl_cache_append", "SELECT event_id FROM events")
 def _(spark, d):
-    return cache.ttl_cache_read(spark, _filled_cache(spark, d)).select("event_id")
+    return cache.ttl_cache_read(spark, _filled_cache(spark, d), ttl_minutes=0).select("event_id")
 
 
 @query("ttl_cache_read", f"""SELECT event_id FROM events
 WHERE epoch_ms(ts) > epoch_ms({NOW}) - 1440 * 60000 * 7""")
+def _(spark, d):
+    path = _filled_cache(spark, d)
+    return cache.ttl_cache_read(spark, path, F.unix_millis(now()), 1440 * 7).select("event_id")
+
+
+@query("ttl_cache_clean", f"""SELECT event_id FROM events
+WHERE epoch_ms(ts) > epoch_ms({NOW}) - 1440 * 60000 * 7""")
 def _(spark, d):
     path = _filled_cache(spark, d)
     cache.ttl_cache_clean(spark, path, F.unix_millis(now()), 1440 * 7, above=0)
-    return cache.ttl_cache_read(spark, path).select("event_id")
+    return cache.ttl_cache_read(spark, path, ttl_minutes=0).select("event_id")
 
 
 LEDGER = """entries AS (SELECT 'user-' || user_id AS batch_id, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'persisted' END AS status,
