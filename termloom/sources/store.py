@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.frame import COLUMNS_SCHEMA, TARGETS_SCHEMA, SparseFrame
-from termloom.functions.text import clean_name, id_or_new, value_at
+from termloom.functions.text import clean_name, value_at
 from termloom.operators.lookups import lookup_join, measured
 from termloom.operators.ranking import number_by_hash
 from termloom.operators.rows import row_hashes
@@ -128,24 +128,33 @@ def scan_supplement(store: Store) -> DataFrame:
     return scan(store, "supplement")
 
 
-def repair_rows(data: DataFrame) -> DataFrame:
-    """Sort a row's cells by index and replace an empty id by a fresh one."""
+def repair_rows(data: DataFrame, place: Column | None = None) -> DataFrame:
+    """Sort a row's cells by index and replace an empty id.
+
+    The new id is a digest of ``place``, where the row stands, or else of the row
+    itself, so every scan gives the same ids.
+    """
     pairs = F.array_sort(F.arrays_zip("indices", "values"))
+    digest = F.md5(F.to_json(F.struct(*data.columns)) if place is None else place)
+    made = F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     return (
-        data.withColumn("_p", pairs)
+        data.withColumn("row_id", F.when(F.length(F.trim("row_id")) > 0, F.col("row_id")).otherwise(made))
+        .withColumn("_p", pairs)
         .withColumn("indices", F.col("_p.indices"))
         .withColumn("values", F.col("_p.values"))
-        .withColumn("row_id", id_or_new(F.col("row_id")))
         .drop("_p")
     )
 
 
 def scan_store(store: Store) -> SparseFrame:
-    """All rows with their dictionaries, cells by term name."""
-    data = repair_rows(scan(store, "data"))
+    """All rows with their dictionaries, cells by term name; a number without a name is an error."""
+    place = F.concat_ws("#", "batch_id", "_metadata.file_name", F.col("_metadata.row_index").cast("string"))
+    data = repair_rows(scan(store, "data").withColumn("_place", place), F.col("_place")).drop("_place")
     long = data.select("row_id", "target", F.inline(F.arrays_zip(F.col("indices").alias("idx"), F.col("values").alias("value"))))
     columns = scan_columns(store)
-    cells = lookup_join(long, measured(columns), ["idx"]).select("row_id", "target", "term", "value")
+    named = lookup_join(long, measured(columns), ["idx"], "left")
+    nameless = F.raise_error(F.concat(F.lit("No name for column "), F.col("idx").cast("string"))).cast("string")
+    cells = named.select("row_id", "target", F.coalesce("term", nameless).alias("term"), "value")
     return SparseFrame(data.select("row_id", "target", "batch_id", "ts"), cells, columns, scan_targets(store))
 
 
@@ -236,12 +245,13 @@ def validate_store_uuid(batches: DataFrame, identity: DataFrame) -> DataFrame:
 def duplicate_share(incoming_hashes: DataFrame, stored_hashes: DataFrame) -> DataFrame:
     """Share of incoming rows whose hash is already stored, as one row.
 
-    Both sides are reduced to distinct hashes first: one text may be a third of
-    all rows.
+    Incoming rows are counted per hash first: one text may be a third of them. The
+    stored hashes are cut down to those before they are shuffled.
     """
-    counted = incoming_hashes.groupBy("row_hash").agg(F.count("*").alias("_n"))
-    known = stored_hashes.select("row_hash").distinct().withColumn("_known", F.lit(True))
-    joined = counted.join(known, "row_hash", "left")
+    counted = write_table(incoming_hashes.groupBy("row_hash").agg(F.count("*").alias("_n")), "hashes")
+    asked = replace(counted, table=counted.table.select("row_hash"))
+    known = lookup_join(stored_hashes.select("row_hash"), asked, ["row_hash"], "left_semi").distinct()
+    joined = counted.table.join(known.withColumn("_known", F.lit(True)), "row_hash", "left")
     return joined.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("_known"), F.col("_n"))), F.lit(0)).alias("n_known"),
@@ -318,13 +328,33 @@ def _write_batch(df: DataFrame, store: Store, table: str) -> None:
     df.write.mode("append").partitionBy("batch_id").parquet(store.path(table))
 
 
-def append_batch(store: Store, frame: SparseFrame, batch_id: str, now: Column) -> dict:
+def is_own_uuid(store: Store, batch_uuid: str) -> bool:
+    """Whether a batch announces the uuid of this store."""
+    batch = store.spark.range(1).select(F.lit(store.name).alias("store"), F.lit(batch_uuid).alias("batch_uuid"))
+    return validate_store_uuid(batch, scan(store, "identity")).first()["accepted"]
+
+
+def is_aligned(frame: SparseFrame) -> bool:
+    """Whether the dictionaries that came with a batch name all its terms and labels; without dictionaries it is."""
+    terms = frame.columns is None or new_terms(frame.cells, frame.columns).isEmpty()
+    return terms and (frame.targets is None or new_terms(frame.rows, frame.targets, "target").isEmpty())
+
+
+def append_batch(
+    store: Store, frame: SparseFrame, batch_id: str, now: Column, batch_uuid: str | None = None
+) -> dict:
     """Check a batch, extend the dictionaries, then append it.
 
     Everything is validated before anything is dropped or written, so a rejected
-    resubmission leaves the stored batch as it is. A replay of the same batch is
-    compared with the other batches only, and drops what stood under its id.
+    resubmission leaves the stored batch as it is: the announced uuid (if any),
+    the batch's own dictionaries, the share of duplicates. A replay of the same
+    batch is compared with the other batches only, and drops what stood under
+    its id.
     """
+    if batch_uuid is not None and not is_own_uuid(store, batch_uuid):
+        return {"status": "failed", "error": "The batch is for another store"}
+    if not is_aligned(frame):
+        return {"status": "failed", "error": "The batch uses names that its dictionaries lack"}
     cleaned = SparseFrame(
         frame.rows.withColumn("target", F.lower("target")),
         frame.cells.withColumn("term", clean_name(F.col("term"))).withColumn("target", F.lower("target"))

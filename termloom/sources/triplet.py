@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from termloom.frame import SparseFrame
 from termloom.functions.text import file_safe
 from termloom.operators.lookups import lookup_join
+from termloom.scratch import write_table
 
 OUTPUT_DECIMALS = 6
 
 
 @dataclass(frozen=True)
 class Triplet:
-    """Parsed lines before names are attached; ``rejects`` holds unreadable lines."""
+    """Parsed lines before names are attached; ``rejects`` holds unreadable lines and those with a number that no map names."""
 
     lines: DataFrame  # row_id, label, cells array<struct<idx, value>>
     rejects: DataFrame  # row_id, line
@@ -69,9 +70,22 @@ def _read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", place.alias("row_id"))
 
 
+def nameless_rows(lines: DataFrame, columns: DataFrame, targets: DataFrame) -> DataFrame:
+    """Ids of the rows whose label or one of whose indices no map names; names are matched once per number."""
+    used = lines.select("row_id", F.explode("cells.idx").alias("idx"))
+    indices = used.select("idx").distinct().join(columns, "idx", "left_anti")
+    labels = lines.select("label").distinct().join(targets.withColumnRenamed("idx", "label"), "label", "left_anti")
+    by_index = lookup_join(used, indices, ["idx"], "left_semi").select("row_id")
+    by_label = lookup_join(lines.select("row_id", "label"), labels, ["label"], "left_semi").select("row_id")
+    return by_index.unionByName(by_label).distinct()
+
+
 def read_libsvm_triplet(spark: SparkSession, data: str, column_map: str, target_map: str) -> Triplet:
-    good, rejects = parse_libsvm(_read_lines(spark, data))
-    return Triplet(good, rejects, read_column_map(spark, column_map), read_target_map(spark, target_map))
+    lines, columns, targets = _read_lines(spark, data), read_column_map(spark, column_map), read_target_map(spark, target_map)
+    good, rejects = parse_libsvm(lines)
+    unknown = write_table(nameless_rows(good, columns, targets), "nameless")
+    nameless = lookup_join(lines, unknown, ["row_id"], "left_semi").select("row_id", F.col("value").alias("line"))
+    return Triplet(lookup_join(good, unknown, ["row_id"], "left_anti"), rejects.unionByName(nameless), columns, targets)
 
 
 def to_frame(triplet: Triplet, uid_term: str | None = None) -> SparseFrame:
@@ -93,15 +107,17 @@ def to_frame(triplet: Triplet, uid_term: str | None = None) -> SparseFrame:
 def merge_sparse_batches(frames: Sequence[SparseFrame]) -> SparseFrame:
     """One data set from several, by term and label name.
 
-    The same row id in two sets is one row: its cells are united, and where both
-    sets hold a cell for a term it counts once.
+    The same row id in two sets is one row: its cells are united. Where sets differ
+    on a row's label or on the value of a cell, the first set that has it holds.
     """
-    cells, rows = frames[0].cells, frames[0].rows.select("row_id", "target")
-    for frame in frames[1:]:
-        cells = cells.unionByName(frame.cells)
-        rows = rows.unionByName(frame.rows.select("row_id", "target"))
-    merged = cells.groupBy("row_id", "target", "term").agg(F.max("value").alias("value"))
-    return SparseFrame(rows.distinct(), merged)
+    parts = [(f.cells.withColumn("_set", F.lit(k)), f.rows.withColumn("_set", F.lit(k))) for k, f in enumerate(frames)]
+    cells, rows = parts[0][0], parts[0][1].select("row_id", "target", "_set")
+    for more_cells, more_rows in parts[1:]:
+        cells = cells.unionByName(more_cells)
+        rows = rows.unionByName(more_rows.select("row_id", "target", "_set"))
+    labelled = rows.groupBy("row_id").agg(F.min(F.struct("_set", "target"))["target"].alias("target"))
+    merged = cells.groupBy("row_id", "term").agg(F.min(F.struct("_set", "value"))["value"].alias("value"))
+    return SparseFrame(labelled, merged.join(labelled, "row_id").select("row_id", "target", "term", "value"))
 
 
 def number_text(value: Column, decimals: int = OUTPUT_DECIMALS) -> Column:
@@ -126,7 +142,7 @@ def libsvm_lines(frame: SparseFrame, decimals: int = OUTPUT_DECIMALS) -> DataFra
 
 def write_libsvm_triplet(frame: SparseFrame, folder: str, name: str, decimals: int = OUTPUT_DECIMALS) -> dict:
     """Write data and maps below ``folder``; returns the three paths."""
-    frame = frame.with_columns().with_targets()
+    frame = frame.materialise().with_columns().with_targets()
     safe = frame.spark.range(1).select(file_safe(F.lit(name)).alias("n")).first()["n"]
     paths = {part: f"{folder}/{safe}_{part}" for part in ("data", "columnMap", "targetMap")}
     libsvm_lines(frame, decimals).select("line").write.text(paths["data"])

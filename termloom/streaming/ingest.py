@@ -23,7 +23,8 @@ def stream_cells(spark: SparkSession, path: str, max_files: int | None = None) -
 
 
 def ingest_batch(
-    store: Store, cells: DataFrame, batch_id: str, ledger_path: str, now: Column, grown: bool = False
+    store: Store, cells: DataFrame, batch_id: str, ledger_path: str, now: Column, grown: bool = False,
+    store_uuid: str | None = None,
 ) -> str:
     """Take in one batch unless the ledger says it is in and it has not ``grown``; failures are recorded, not raised on."""
     spark = store.spark
@@ -31,7 +32,7 @@ def ingest_batch(
         return "skipped"
     try:
         frame = SparseFrame(cells.select("row_id", "target").distinct(), cells.where("value <> 0"))
-        result = append_batch(store, frame, batch_id, now)
+        result = append_batch(store, frame, batch_id, now, store_uuid)
     except Exception as problem:  # one bad batch must not stop the others
         drop_batch(store, batch_id)
         result = {"status": "failed", "error": str(problem)}
@@ -60,7 +61,7 @@ def stream_ingest(
         seen = landed.groupBy("batch_id").agg(F.min("epoch").alias("first"), F.max("epoch").alias("last"))
         for batch in seen.where(F.col("last") == epoch).orderBy("batch_id").collect():
             part = landed.where(F.col("batch_id") == batch["batch_id"]).drop("batch_id", "epoch")
-            ingest_batch(store, part, batch["batch_id"], ledger_path, now, grown=batch["first"] < epoch)
+            ingest_batch(store, part, batch["batch_id"], ledger_path, now, batch["first"] < epoch, store_uuid)
 
     return (
         cells.writeStream.foreachBatch(sink)
@@ -85,15 +86,26 @@ def promoted_frame(staging: Store) -> SparseFrame:
     return remove_columns(frame, term_table(staging.spark, [staging.config.uid_column]))
 
 
+def has_supplement(store: Store) -> bool:
+    return store_exists(store, "supplement") and not scan(store, "supplement").isEmpty()
+
+
 def promote_staging(
     staging: Store, final: Store, store_uuid: str, ledger_path: str, batch_id: str, now: Column, force: bool = False
 ) -> str:
     """Move staged rows on when there are enough of them.
 
+    A store with ``flush`` off is never promoted; one with ``supplement`` on waits
+    for its supplement.
+
     The final store is written first, then the ledger, and only then is staging
     emptied; after a failure staging stays as it is.
     """
     spark = staging.spark
+    if not staging.config.flush:
+        return "off"
+    if staging.config.supplement and not has_supplement(staging):
+        return "waiting"
     waiting = scan(staging, "data").count()
     if waiting == 0 or (not force and waiting <= staging.config.flush_threshold):
         return "waiting"

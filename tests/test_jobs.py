@@ -63,13 +63,25 @@ def test_pair_sentences_respect_the_label(spark, small):
 
 def test_svm_tells_labels_apart(spark, two_topics):
     models = classify.svm_one_vs_rest(two_topics, 10)
-    base = two_topics.with_columns()
-    scored = classify.svm_predict(clusters.vectors(base), models, phrases.row_names(base.cells))
+    scored = classify.svm_predict(two_topics.cells, models, phrases.row_names(two_topics.cells))
     rows = scored.join(two_topics.rows, "row_id").collect()
     assert set(models) == {"beach", "work"}
     assert all((r["prediction"] == 1) == (r["code"] == r["target"]) for r in rows)
 
 
+def test_svm_scores_rows_of_another_vocabulary(spark, two_topics):
+    models = classify.svm_one_vs_rest(two_topics, 10)
+    shown = F.when(F.col("term") == two_topics.cells.agg(F.max("term")).first()[0], "Zzz").otherwise(F.col("term"))
+    other = two_topics.cells.withColumn("term", shown)
+    scored = classify.svm_predict(other, models, phrases.row_names(other))
+    assert {r["code"] for r in scored.collect()} == set(models)
+
+
+def test_sides_are_balanced(spark):
+    rows = spark.range(100).select(F.col("id").cast("string").alias("row_id"), (F.col("id") < 10).cast("double").alias("label"))
+    assert {r["label"]: r["count"] for r in classify.balance_sides(rows).groupBy("label").count().collect()} == {0.0: 10, 1.0: 10}
+
+
 @pytest.mark.parametrize("part_rows", [ranking.SMALL_GROUP, 2])
 def test_auc_against_brute_force(spark, monkeypatch, part_rows):
     monkeypatch.setattr(ranking, "SMALL_GROUP", part_rows)

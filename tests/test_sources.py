@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from termloom.scratch import new_folder, shared_folder
+from termloom.frame import SparseFrame
+from termloom.scratch import new_folder, publish, shared_folder
 from termloom.sources import cache, ledger, tables
 from termloom.sources import store as S
 from termloom.sources import triplet as L
@@ -226,7 +227,7 @@ def test_one_bad_batch_does_not_stop_the_others(spark):
 
 
 def test_promotion_waits_then_moves_once(spark, small):
-    staging = new_store(spark, flush_threshold=4, trim=False)
+    staging = new_store(spark, flush=True, flush_threshold=4, trim=False)
     S.append_batch(staging, small, "b1", now())
     final = S.Store(spark, new_folder(spark, "store"), "final")
     book = new_folder(spark, "ledger")
@@ -237,7 +238,7 @@ def test_promotion_waits_then_moves_once(spark, small):
 
 
 def test_failed_promotion_keeps_staging(spark, small):
-    staging = new_store(spark, trim=False)
+    staging = new_store(spark, flush=True, trim=False)
     S.append_batch(staging, small, "b1", now())
     final = S.Store(spark, new_folder(spark, "store"), "final", S.StoreConfig(permitted_duplicates=0.1))
     S.create_store(final, UUID)
@@ -245,3 +246,60 @@ def test_failed_promotion_keeps_staging(spark, small):
     book = new_folder(spark, "ledger")
     assert ingest.promote_staging(staging, final, UUID, book, "p1", now(), force=True) == "failed"
     assert S.store_row_count(staging) == 4
+
+
+def test_promotion_keeps_to_the_settings(spark, small):
+    final, book = S.Store(spark, new_folder(spark, "store"), "final"), new_folder(spark, "ledger")
+    held = new_store(spark, trim=False)
+    S.append_batch(held, small, "b1", now())
+    assert ingest.promote_staging(held, final, UUID, book, "p1", now(), force=True) == "off"
+    waits = S.Store(spark, held.root, held.name, S.StoreConfig(flush=True, trim=False, supplement=True))
+    assert ingest.promote_staging(waits, final, UUID, book, "p1", now(), force=True) == "waiting"
+    notes = spark.createDataFrame([("r1", "A", "note")], "uuid string, aa_label string, remark string")
+    S.create_supplement(waits, notes)
+    assert ingest.promote_staging(waits, final, UUID, book, "p1", now(), force=True) == "waiting"
+    S.append_supplement(waits, notes, "b1", now())
+    assert ingest.promote_staging(waits, final, UUID, book, "p1", now(), force=True) == "promoted"
+    assert S.scan(final, "supplement").count() == 1
+
+
+def test_foreign_and_misaligned_batches_change_nothing(spark, small):
+    store = new_store(spark)
+    assert S.append_batch(store, small, "b1", now(), UUID)["status"] == "persisted"
+    before = cells(S.scan_store(store).cells)
+    assert S.append_batch(store, small, "b1", now(), "another-store-uuid")["status"] == "failed"
+    few = spark.createDataFrame([("x", 1)], "term string, idx int")
+    misaligned = SparseFrame(small.rows, small.cells, few)
+    assert S.append_batch(store, misaligned, "b1", now(), UUID)["status"] == "failed"
+    assert cells(S.scan_store(store).cells) == before
+
+
+def test_scans_agree_on_missing_ids_and_miss_no_name(spark, small):
+    store = new_store(spark)
+    S.append_batch(store, small, "b1", now())
+    twin = S.scan(store, "data").where("row_id = 'r1'").withColumn("row_id", F.lit(""))
+    publish(twin.unionByName(twin), "twins").write.mode("append").partitionBy("batch_id").parquet(store.path("data"))
+    first, second = (sorted(r["row_id"] for r in S.scan_store(store).rows.collect()) for _ in range(2))
+    assert first == second and len(set(first)) == 6
+    nameless = S.scan(store, "data").where("row_id = 'r1'").withColumn("indices", F.array(F.lit(99))).withColumn("values", F.array(F.lit(1.0)))
+    publish(nameless, "nameless").write.mode("append").partitionBy("batch_id").parquet(store.path("data"))
+    with pytest.raises(Exception, match="No name for column 99"):
+        S.scan_store(store).cells.collect()
+
+
+def test_unknown_labels_and_indices_are_rejected(spark):
+    paths = [
+        write_text(spark, ["1 1:5", "7 1:5", "1 1:2 9:3"], "data"),
+        write_text(spark, ["ColumnHeadTuple(1,x)"], "columns"),
+        write_text(spark, ["(A,1.0)"], "targets"),
+    ]
+    parsed = L.read_libsvm_triplet(spark, *paths)
+    assert sorted(r["line"] for r in parsed.rejects.collect()) == ["1 1:2 9:3", "7 1:5"]
+    frame = L.to_frame(parsed)
+    assert (frame.rows.count(), frame.cells.count()) == (1, 1)
+
+
+def test_merge_takes_the_first_of_two_values_and_labels(spark):
+    sets = [frame_of(spark, [("r", "A", "x", 1.0)]), frame_of(spark, [("r", "B", "x", 5.0), ("r", "B", "y", 2.0)])]
+    merged = L.merge_sparse_batches(sets)
+    assert cells(merged.cells) == {("r", "A", "x"): 1.0, ("r", "A", "y"): 2.0} and merged.rows.count() == 1

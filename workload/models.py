@@ -112,7 +112,7 @@ def _(spark, d):
 @query("svm_predict")
 def _(spark, d):
     frame = document_words(spark, d)
-    return M.svm_predict(document_vectors(spark, d), svm_models(spark, d), row_names(frame.cells))
+    return M.svm_predict(frame.cells, svm_models(spark, d), row_names(frame.cells))
 
 
 @query("classify_pages")
