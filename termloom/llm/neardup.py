@@ -5,15 +5,13 @@ shingles is at least ``similarity``. A SimHash bit of such a pair differs with a
 known probability (0.15 at 0.8), so no single fingerprint with a small Hamming
 budget would find most pairs. A text therefore has many short fingerprints; in
 each table a trie self-join finds those within the budget, and a separate check
-word drops chance meetings at once. A link is then judged by all bits together:
-far over the similarity it holds, far under it falls, and in between the
-shingles themselves are compared.
+word drops chance meetings at once. A first pass takes a few of the pairs that
+met, the nearest of each text, and judges them by the shingles; a second takes
+every pair that met and isn't connected by then, and judges it so too.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,24 +21,19 @@ from termloom.llm.common import as_bytes, map_batches
 from termloom.llm.components import connected_components
 from termloom.llm.simhash import majority, shingle_hashes
 from termloom.llm.substrings import LAST_ID, marked, marks_of
-from termloom.llm.trie import trie_links
+from termloom.llm.trie import trie_links, trie_pairs
 from termloom.scratch import publish
 
 #: Tables of 32 bits, the Hamming budget in each, and the budget in the check word of 64.
 #: A pair at similarity 0.8 is met in a table with probability 0.12, so in one of 24 with 0.95; at 0.9 with 0.99.
 TABLES, BUDGET, CHECK_BUDGET = 24, 2, 19
 WORDS = TABLES // 2 + 1
-#: Similarities between which links are judged by the shingles themselves.
-SURE_ABOVE, SURE_BELOW = 0.08, 0.09
+#: Texts of a family in one block, about, when its pairs are judged.
+BLOCK_TEXTS = 192
 #: Strings of a table in one group of the trie join, about.
 GROUP_STRINGS = 1 << 18
 
 
-def differing_share(similarity: float) -> float:
-    """The share of SimHash bits in which two sets of equal size with this Jaccard similarity differ."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
 def mixed(h: np.ndarray, word: int) -> np.ndarray:
     """Another hash of each hash, for one word of the signature."""
     x = h + np.uint64((0x9E3779B97F4A7C15 * (word + 1)) & (2**64 - 1))
@@ -84,37 +77,79 @@ def jaccard_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: flo
     return map_batches(sided, "a long, b long", make)
 
 
+def block_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``jaccard_links`` for many pairs of few texts.
+
+    The texts of a connected family are dealt into blocks of about BLOCK_TEXTS;
+    two blocks that have pairs are one group, so a text travels once per block
+    of its family and not once per pair.
+    """
+    families = publish(connected_components(pairs), "families")
+    blocks = families.join(families.groupBy("root").agg(F.ceil(F.count("*") / BLOCK_TEXTS).alias("n")), "root")
+    blocks = publish(blocks.select("node", "root", F.expr("pmod(xxhash64(node, 1), n)").alias("block")), "blocks")
+    left = blocks.select(F.col("node").alias("a"), "root", F.col("block").alias("p"))
+    right = blocks.select(F.col("node").alias("b"), F.col("block").alias("q"))
+    cell = F.struct("root", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
+    placed = publish(pairs.join(left, "a").join(right, "b").select(F.xxhash64(cell).alias("cell"), "a", "b"), "placed")
+    wanted = placed.select(F.col("cell").alias("to"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    sent = wanted.join(texts, "node").select("to", "node", "body")
+
+    def judge(asked, bodies):
+        import pandas as pd
+
+        sets = {n: np.unique(shingle_hashes(bytes(x), size)) for n, x in zip(bodies["node"], bodies["body"], strict=True)}
+        keep = []
+        for a, b in zip(asked["a"], asked["b"], strict=True):
+            p, q = sets[a], sets[b]
+            if min(len(p), len(q)) < similarity * max(len(p), len(q)):
+                keep.append(False)
+                continue
+            both = len(np.intersect1d(p, q, assume_unique=True))
+            keep.append(both >= similarity * (len(p) + len(q) - both))
+        return pd.DataFrame({"a": asked["a"][keep], "b": asked["b"][keep]})
+
+    return placed.groupBy("cell").cogroup(sent.groupBy("to")).applyInPandas(judge, "a long, b long")
+
+
+def bodies_of(base: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, body) of the texts in the pairs (a, b)."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "md5"), "node")
+    bodies = base.select(F.md5("body").alias("md5"), "body").join(asked, "md5").dropDuplicates(["node"])
+    return publish(bodies.select("node", "body"), "bodies")
+
+
+def tables_of(nodes: DataFrame, *more: str) -> DataFrame:
+    """(t, bits, node, check) of each node (node, sig) in every table."""
+    bits = F.when(F.col("t") % 2 == 1, F.col("w").bitwiseAND(F.lit(-(1 << 32)))).otherwise(F.shiftleft("w", 32))
+    tables = nodes.select("node", "sig", *more, F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("t"))
+    return tables.withColumn("w", F.element_at("sig", F.shiftright("t", 1) + 1)).select(
+        "t", bits.alias("bits"), "node", F.element_at("sig", WORDS).alias("check"), *more
+    )
+
+
 def near_duplicate_groups(base: DataFrame, size: int, similarity: float) -> DataFrame:
     """(ord, md5, times, root): the distinct (ord, text) of ``base`` (ord, body), how often each stands, its group."""
     rows = publish(signatures(base, size).withColumn("row", F.monotonically_increasing_id()), "signatures")
     texts = publish(rows.groupBy("md5").agg(F.min("row").alias("node")), "texts")
     nodes = publish(rows.select(F.col("row").alias("node"), "md5", "sig").join(texts.select("node"), "node", "left_semi"), "nodes")
-    bits = F.when(F.col("t") % 2 == 1, F.col("w").bitwiseAND(F.lit(-(1 << 32)))).otherwise(F.shiftleft("w", 32))
-    tables = nodes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("t"))
-    strings = tables.withColumn("w", F.element_at("sig", F.shiftright("t", 1) + 1)).select(
-        "t", bits.alias("bits"), "node", F.element_at("sig", WORDS).alias("check")
-    )
+    strings = tables_of(nodes)
     links = publish(trie_links(publish(strings, "strings"), BUDGET, GROUP_STRINGS, 1, CHECK_BUDGET), "links")
     sigs = nodes.select("node", "sig")
     met = links.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
     met = met.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
     apart = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, d: n + d)
-    judged = publish(met.select("a", "b", apart.alias("apart")), "judged")
-    all_bits = 64 * WORDS
-    sure = judged.filter(F.col("apart") <= int(all_bits * differing_share(min(1.0, similarity + SURE_ABOVE)))).select("a", "b")
-    most = int(all_bits * differing_share(max(0.0, similarity - SURE_BELOW)))
-    roots = publish(connected_components(sure), "roots")
-    open_links = judged.filter(F.col("apart") <= most).join(sure, ["a", "b"], "left_anti").select("a", "b")
-    a_root, b_root = (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b"))
-    open_links = open_links.join(a_root, "a", "left").join(b_root, "b", "left")
-    apart_roots = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
-    open_links = publish(open_links.filter(apart_roots).select("a", "b"), "open")
-    asked = open_links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "md5"), "node")
-    bodies = base.select(F.md5("body").alias("md5"), "body").join(asked, "md5").dropDuplicates(["node"])
-    held = jaccard_links(open_links, publish(bodies, "bodies"), size, similarity)
-    groups = connected_components(sure.unionByName(held))
-    rooted = texts.join(groups, "node", "left").select("md5", F.coalesce("root", "node").alias("root"))
-    return rows.groupBy("ord", "md5").agg(F.count("*").alias("times")).join(rooted, "md5")
+    nearest = met.groupBy("b").agg(F.min(F.struct(apart.alias("apart"), "a")).alias("to")).select("to.a", "b")
+    nearest = publish(nearest, "nearest")
+    first = publish(jaccard_links(nearest, bodies_of(base, nodes, nearest), size, similarity), "first")
+    known = publish(connected_components(first), "known")
+    rooted = nodes.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = publish(rooted, "rooted")
+    open_links = trie_pairs(tables_of(rooted, "root"), BUDGET, CHECK_BUDGET, GROUP_STRINGS, 1)
+    open_links = publish(open_links, "open")
+    held = block_links(open_links, bodies_of(base, nodes, open_links), size, similarity)
+    groups = connected_components(first.unionByName(held))
+    ends = texts.join(groups, "node", "left").select("md5", F.coalesce("root", "node").alias("root"))
+    return rows.groupBy("ord", "md5").agg(F.count("*").alias("times")).join(ends, "md5")
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

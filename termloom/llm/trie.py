@@ -11,7 +11,10 @@ share their first ``TOP_BITS`` bits.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ GROUP_ROWS = 1 << 15
 FRONTIER = 1 << 16
 #: A node pair with so many string pairs at most is compared string by string.
 DIRECT = 8
+#: String pairs compared at once in a task.
+PAIRS = 1 << 20
 
 
 def walk_counts(counts: dict[int, int], budget: int, limit: int, least: int, top: int) -> list[tuple[int, int, int, int]]:
@@ -54,6 +59,20 @@ def walk_counts(counts: dict[int, int], budget: int, limit: int, least: int, top
     return sorted(done)
 
 
+def pieces(nodes: np.ndarray):
+    """Node pairs [a0, a1, b0, b1, ...] in parts of about PAIRS string pairs; a larger one is cut by its left rows."""
+    wide = nodes[:, 3] - nodes[:, 2]
+    step = np.maximum(1, PAIRS // wide)
+    cuts = -(-(nodes[:, 1] - nodes[:, 0]) // step)
+    at = np.repeat(np.arange(len(nodes)), cuts)
+    k = np.arange(len(at)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    out = nodes[at]
+    out[:, 0] += k * step[at]
+    out[:, 1] = np.minimum(out[:, 1], out[:, 0] + step[at])
+    part = np.cumsum((out[:, 1] - out[:, 0]) * wide[at]) // PAIRS
+    yield from np.split(out, np.flatnonzero(np.diff(part)) + 1)
+
+
 def join_nodes(left: np.ndarray, right: np.ndarray | None, depth: int, diff: int, budget: int):
     """Yield (i, j) index arrays of strings within the budget; ``right`` None: pairs i < j of ``left``.
 
@@ -83,17 +102,17 @@ def join_nodes(left: np.ndarray, right: np.ndarray | None, depth: int, diff: int
         d = int(d[0])
         direct = ((a1 - a0) * (b1 - b0) <= DIRECT) if d < 64 else np.ones(len(nodes), dtype=bool)
         if direct.any():
-            small = nodes[direct]
-            wide = small[:, 3] - small[:, 2]
-            each = (small[:, 1] - small[:, 0]) * wide
-            at = np.repeat(np.arange(len(small)), each)
-            k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            i, j = small[at, 0] + k // wide[at], small[at, 2] + k % wide[at]
-            near = np.bitwise_count(left[i] ^ right[j]) <= budget
-            if same:
-                near &= i < j
-            if near.any():
-                yield i[near], j[near]
+            for small in pieces(nodes[direct]):
+                wide = small[:, 3] - small[:, 2]
+                each = (small[:, 1] - small[:, 0]) * wide
+                at = np.repeat(np.arange(len(small)), each)
+                k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                i, j = small[at, 0] + k // wide[at], small[at, 2] + k % wide[at]
+                near = np.bitwise_count(left[i] ^ right[j]) <= budget
+                if same:
+                    near &= i < j
+                if near.any():
+                    yield i[near], j[near]
         if direct.all():
             continue
         a0, a1, b0, b1, far, _ = nodes[~direct].T
@@ -139,17 +158,8 @@ class Forest:
                     self.links.append((s, t))
 
 
-def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least: int = LEAST_BITS, check_budget: int | None = None) -> DataFrame:
-    """Links (a, b) between nodes whose strings differ in at most ``budget`` bits.
-
-    ``strings``: (t int, bits long, node long), and (check long) if
-    ``check_budget`` is given; strings of different ``t`` never meet. Links are
-    thinned inside a group to those that connect it (nearest first), so every
-    two linked nodes stay connected, and a dense group of n makes n - 1 links.
-    With a check word, a pair must also keep to ``check_budget`` in it, and of
-    rows with equal bits only leaders go on: a row within that budget of an
-    earlier leader is linked to it.
-    """
+def dealt(strings: DataFrame, more: list[str], budget: int, limit: int, least: int):
+    """(g, side, bits, node, and ``more`` long columns): the strings in the groups of the walk; and a broadcast of each group's node pair."""
     spark = strings.sparkSession
     head = F.shiftrightunsigned("bits", 64 - TOP_BITS).cast("int")
     counts: dict[int, dict[int, int]] = {}
@@ -163,8 +173,7 @@ def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least:
             sides.setdefault((t, d), []).append((v, g, 1))
     lookup = {key: np.array(sorted(rows), dtype=np.int64) for key, rows in sides.items()}
     shared = spark.sparkContext.broadcast(lookup)
-    checked = check_budget is not None
-    columns = ["t", "bits", "node", *(["check"] if checked else [])]
+    columns = ["t", "bits", "node", *more]
 
     def make():
         tables = shared.value
@@ -183,15 +192,29 @@ def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least:
             row = np.concatenate([x[0] for x in out]) if out else np.zeros(0, dtype=np.int64)
             where = np.concatenate([x[1] for x in out]) if out else np.zeros((0, 2), dtype=np.int64)
             made = {"g": where[:, 0], "side": where[:, 1], "bits": bits.view(np.int64)[row], "node": np.array(rows["node"], dtype=np.int64)[row]}
-            if checked:
-                made["check"] = np.array(rows["check"], dtype=np.int64)[row]
-            return made
+            return made | {c: np.array(rows[c], dtype=np.int64)[row] for c in more}
 
         return work
 
-    schema = "g int, side int, bits long, node long" + (", check long" if checked else "")
+    schema = "g int, side int, bits long, node long" + "".join(f", {c} long" for c in more)
     spread = map_batches(strings.select(*columns), schema, make)
     nodes_of = spark.sparkContext.broadcast([(d, u, v, diff) for _, d, u, v, diff in plan])
+    return spread, nodes_of
+
+
+def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least: int = LEAST_BITS, check_budget: int | None = None) -> DataFrame:
+    """Links (a, b) between nodes whose strings differ in at most ``budget`` bits.
+
+    ``strings``: (t int, bits long, node long), and (check long) if
+    ``check_budget`` is given; strings of different ``t`` never meet. Links are
+    thinned inside a group to those that connect it (nearest first), so every
+    two linked nodes stay connected, and a dense group of n makes n - 1 links.
+    With a check word, a pair must also keep to ``check_budget`` in it, and of
+    rows with equal bits only leaders go on: a row within that budget of an
+    earlier leader is linked to it.
+    """
+    checked = check_budget is not None
+    spread, nodes_of = dealt(strings, ["check"] if checked else [], budget, limit, least)
 
     def solve(pdf):
         import pandas as pd
@@ -232,3 +255,45 @@ def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least:
         return pd.DataFrame({"a": node[ends].min(axis=1), "b": node[ends].max(axis=1)})
 
     return spread.groupBy("g").applyInPandas(solve, "a long, b long").distinct()
+
+
+def trie_pairs(strings: DataFrame, budget: int, check_budget: int, limit: int = GROUP_ROWS, least: int = LEAST_BITS) -> DataFrame:
+    """All pairs (a, b), a < b, of nodes of different ``root`` that keep to both budgets in some table.
+
+    ``strings``: (t int, bits long, node long, check long, root long). Nothing
+    is thinned but what ``root`` says is connected already; strings of a group
+    with equal bits and root are walked as one, and pairs leave in parts of
+    bounded size.
+    """
+    spread, nodes_of = dealt(strings, ["check", "root"], budget, limit, least)
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        column = {c: rows.column(c).to_numpy() for c in rows.column_names}
+        depth, u, v, diff = nodes_of.value[int(column["g"][0])]
+        order = np.lexsort((column["node"], column["root"], column["bits"].view(np.uint64), column["side"]))
+        side, node, root = (column[c][order] for c in ("side", "node", "root"))
+        bits, check = (column[c][order].view(np.uint64) for c in ("bits", "check"))
+        new = np.ones(len(bits), dtype=bool)
+        new[1:] = (bits[1:] != bits[:-1]) | (side[1:] != side[:-1]) | (root[1:] != root[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(bits))
+        cut = np.searchsorted(side[first], 1)
+        right = first[:cut] if u == v else first[cut:]
+        shift = 0 if u == v else cut
+        for i, j in join_nodes(bits[first[:cut]], None if u == v else bits[right], depth, diff, budget):
+            j = j + shift
+            apart = root[first[i]] != root[first[j]]
+            i, j = i[apart], j[apart]
+            for part in pieces(np.stack([first[i], last[i], first[j], last[j]], axis=1)) if len(i) else ():
+                wide = part[:, 3] - part[:, 2]
+                each = (part[:, 1] - part[:, 0]) * wide
+                at = np.repeat(np.arange(len(part)), each)
+                k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                x, y = part[at, 0] + k // wide[at], part[at, 2] + k % wide[at]
+                near = np.bitwise_count(check[x] ^ check[y]) <= check_budget
+                x, y = node[x[near]], node[y[near]]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    return spread.groupBy("g").applyInArrow(solve, "a long, b long").distinct()

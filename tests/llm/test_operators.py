@@ -10,14 +10,14 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from termloom.llm import ctw, knn, licenses, trie
+from termloom.llm import ctw, knn, licenses, neardup, trie
 from termloom.llm import tokens as tk
 from termloom.llm.components import connected_components
 from termloom.llm.decontaminate import benchmark_hits, decontaminate, myers
 from termloom.llm.mixing import mix_sources
 from termloom.llm.neardup import drop_near_duplicates
 from termloom.llm.quality import fit_quality, score_quality
-from termloom.llm.simhash import simhash_groups
+from termloom.llm.simhash import majority, shingle_hashes, simhash_groups
 from termloom.llm.substrings import remove_repeats
 from termloom.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -314,6 +314,35 @@ def test_near_duplicates(spark):
     assert sorted(r["doc_id"] for r in got.collect()) == [0, 3, 9, 10]
 
 
+def test_near_misses_never_displace_a_link(spark):
+    """Strings in one Hamming group, nearest first a false partner: the further pair must be met too."""
+    rows = [(0, 0, 1, 0, 1), (0, 1 << 32, 2, 0, 2), (0, 3 << 32, 3, 0, 3), (0, 3 << 32, 4, 0, 3), (0, 0, 5, 0, 1)]
+    strings = spark.createDataFrame(rows, "t int, bits long, node long, check long, root long")
+    got = {(r["a"], r["b"]) for r in trie.trie_pairs(strings, 2, 0).collect()}
+    assert got == {(a, b) for a in range(1, 6) for b in range(a + 1, 6) if rows[a - 1][4] != rows[b - 1][4]}
+
+
+def test_templated_family_keeps_every_true_link_that_met(spark):
+    """Pairs at 0.81 among pages that are pairwise at 0.78: none that meets in a table is displaced by false ones."""
+    body = words(40, 250)
+    texts = [f"{body} {words(1000 + i // 2, 4)} {words(2000 + i, 30)}" for i in range(240)]
+    hashes = [np.unique(shingle_hashes(t.encode(), 5)) for t in texts]
+    sigs = np.array([[majority(neardup.mixed(h, w)) for w in range(neardup.WORDS)] for h in hashes], dtype=np.uint64)
+    tables = sigs[:, :-1].copy().view(np.uint32)
+
+    def met(a, b):
+        return (np.bitwise_count(tables[a] ^ tables[b]) <= neardup.BUDGET).any() and np.bitwise_count(sigs[a, -1] ^ sigs[b, -1]) <= neardup.CHECK_BUDGET
+
+    def similar(a, b):
+        both = len(np.intersect1d(hashes[a], hashes[b]))
+        return both >= 0.8 * (len(hashes[a]) + len(hashes[b]) - both)
+
+    linked = {b for b in range(1, 240, 2) if similar(b - 1, b) and met(b - 1, b)}
+    assert len(linked) > 90 and not any(similar(a, b) for a in range(0, 240, 2) for b in range(a + 2, 240))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    assert {r["doc_id"] for r in drop_near_duplicates(docs).collect()} == set(range(240)) - linked
+
+
 def test_pipeline_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
