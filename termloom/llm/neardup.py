@@ -7,7 +7,8 @@ budget would find most pairs. A text therefore has many short fingerprints; in
 each table a trie self-join finds those within the budget, and a separate check
 word drops chance meetings at once. A first pass takes a few of the pairs that
 met, the nearest of each text, and judges them by the shingles; a second takes
-every pair that met and isn't connected by then, and judges it so too.
+every pair that met and isn't connected by then, and judges it so too. Texts of
+few shingles also meet exactly, by a prefix filter on the shingles.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from termloom.scratch import publish
 #: A pair at similarity 0.8 is met in a table with probability 0.12, so in one of 24 with 0.95; at 0.9 with 0.99.
 TABLES, BUDGET, CHECK_BUDGET = 24, 2, 19
 WORDS = TABLES // 2 + 1
+#: Texts of so few shingles meet their partners by shared shingles: ties make their SimHash bits differ more.
+FEW = 40
 #: Texts of a family in one block, about, when its pairs are judged.
 BLOCK_TEXTS = 192
 #: Strings of a table in one group of the trie join, about.
@@ -42,20 +45,22 @@ def mixed(h: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signatures(base: DataFrame, size: int) -> DataFrame:
-    """(ord, md5, sig) of every row of (ord, body)."""
+def signatures(base: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(ord, md5, sig, few) of every row of (ord, body); ``few``: the shingles of a text of few, or of one that may be similar to such a text."""
+    widest = int(FEW / similarity + 1e-9) if similarity > 0 else FEW
 
     def make():
         def work(rows: dict) -> dict:
-            sigs = []
+            sigs, few = [], []
             for body in rows["body"]:
                 h = np.unique(shingle_hashes(body, size))
+                few.append(h.view(np.int64) if len(h) <= widest else None)
                 sigs.append(np.array([majority(mixed(h, w)) for w in range(WORDS)], dtype=np.uint64).view(np.int64))
-            return {"ord": rows["ord"], "md5": rows["md5"], "sig": sigs}
+            return {"ord": rows["ord"], "md5": rows["md5"], "sig": sigs, "few": few}
 
         return work
 
-    return map_batches(base.select("ord", "body", F.md5("body").alias("md5")), "ord long, md5 string, sig array<long>", make)
+    return map_batches(base.select("ord", "body", F.md5("body").alias("md5")), "ord long, md5 string, sig array<long>, few array<long>", make)
 
 
 def jaccard_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -77,6 +82,26 @@ def jaccard_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: flo
     return map_batches(sided, "a long, b long", make)
 
 
+def few_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of (node, few, root): every pair of different roots, one of few shingles, that may be similar.
+
+    Two similar sets share one of their first n - ceil(similarity * n) + 1
+    shingles in any order of all shingles; the rarest come first here.
+    """
+    sets = nodes.filter(F.size("few") > 0).select("node", "root", F.size("few").alias("n"), F.explode("few").alias("key"))
+    sets = publish(sets, "few")
+    times = sets.groupBy("key").agg(F.count("*").alias("times"))
+    ordered = sets.join(times, "key").groupBy("node", "root", "n").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("keys"))
+    first = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1
+    kept = ordered.select("node", "root", "n", F.explode(F.slice("keys", F.lit(1), F.least("n", first))).alias("k"))
+    keyed = publish(kept.filter("k.times > 1").select("node", "root", "n", F.col("k.key").alias("key")), "prefixes")
+    x = keyed.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"))
+    y = keyed.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"))
+    fits = (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & (F.least("a_n", "b_n") <= FEW)
+    sizes = F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * F.lit(similarity) - F.lit(1e-9)
+    return x.join(y, "key").filter(fits & sizes).select("a", "b").distinct()
+
+
 def block_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
     """``jaccard_links`` for many pairs of few texts.
 
@@ -129,9 +154,9 @@ def tables_of(nodes: DataFrame, *more: str) -> DataFrame:
 
 def near_duplicate_groups(base: DataFrame, size: int, similarity: float) -> DataFrame:
     """(ord, md5, times, root): the distinct (ord, text) of ``base`` (ord, body), how often each stands, its group."""
-    rows = publish(signatures(base, size).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    rows = publish(signatures(base, size, similarity).withColumn("row", F.monotonically_increasing_id()), "signatures")
     texts = publish(rows.groupBy("md5").agg(F.min("row").alias("node")), "texts")
-    nodes = publish(rows.select(F.col("row").alias("node"), "md5", "sig").join(texts.select("node"), "node", "left_semi"), "nodes")
+    nodes = publish(rows.select(F.col("row").alias("node"), "md5", "sig", "few").join(texts.select("node"), "node", "left_semi"), "nodes")
     strings = tables_of(nodes)
     links = publish(trie_links(publish(strings, "strings"), BUDGET, GROUP_STRINGS, 1, CHECK_BUDGET), "links")
     sigs = nodes.select("node", "sig")
@@ -145,7 +170,7 @@ def near_duplicate_groups(base: DataFrame, size: int, similarity: float) -> Data
     rooted = nodes.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = publish(rooted, "rooted")
     open_links = trie_pairs(tables_of(rooted, "root"), BUDGET, CHECK_BUDGET, GROUP_STRINGS, 1)
-    open_links = publish(open_links, "open")
+    open_links = publish(open_links.union(few_pairs(rooted, similarity)).distinct(), "open")
     held = block_links(open_links, bodies_of(base, nodes, open_links), size, similarity)
     groups = connected_components(first.unionByName(held))
     ends = texts.join(groups, "node", "left").select("md5", F.coalesce("root", "node").alias("root"))

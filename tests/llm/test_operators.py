@@ -343,6 +343,14 @@ def test_templated_family_keeps_every_true_link_that_met(spark):
     assert {r["doc_id"] for r in drop_near_duplicates(docs).collect()} == set(range(240)) - linked
 
 
+def test_short_texts_meet_exactly(spark):
+    """Texts of four to ten shingles, each with a partner of one more word: similarity 0.8 and more."""
+    texts = [words(3000 + i, 8 + i % 7) for i in range(150)]
+    pairs = [(2 * i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(2 * i + 1, f"{t} more{i}", "en", "s", 1) for i, t in enumerate(texts)]
+    got = {r["doc_id"] for r in drop_near_duplicates(spark.createDataFrame(pairs, SCHEMA)).collect()}
+    assert got == set(range(0, 300, 2))
+
+
 def test_pipeline_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
