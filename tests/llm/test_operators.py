@@ -269,6 +269,17 @@ def test_context_tree_is_a_distribution_and_beats_nothing():
     assert np.allclose(ctw.log_gamma(x), [math.lgamma(v) for v in x], atol=1e-9)
 
 
+def test_no_kept_context_is_lost():
+    """Every context of the text is kept with a length of 1 at each symbol: each place costs 1."""
+    symbols = ctw.symbol_map(np.bincount(np.arange(97, 123), minlength=256))
+    text = bytes(np.random.default_rng(0).integers(97, 123, 20_000).astype(np.uint8))
+    deep = np.unique(ctw.framed([text], symbols)[2])
+    none, lengths = np.zeros((ctw.SHORT, ctw.SYMBOLS), dtype=np.uint16), np.ones((len(deep), ctw.SYMBOLS), dtype=np.uint16)
+    model = ctw.Model(symbols, none, np.zeros(0, dtype=np.int64), none[:0], deep, lengths, np.zeros(256, dtype=np.int64))
+    model.unfold()
+    assert model.steps([text]).tolist() == [len(text) + 1]
+
+
 def test_language_model(spark):
     docs = [(i, f"{words(i % 7, 20)} X{i}", "en", "s", 1) for i in range(200)] + [(500, None, None, None, None)]
     learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
