@@ -299,6 +299,16 @@ def test_language_model(spark):
     assert got[~got.learned].bits_per_byte.mean() < 3
 
 
+def test_contexts_that_are_not_sent_score_alike(spark, monkeypatch):
+    docs = [(i, f"{words(i % 7, 20)} X{i} {words(60 + i, 9)}", "en", "s", 1) for i in range(120)] + [(500, None, None, None, None)]
+    docs = spark.createDataFrame(docs, SCHEMA)
+    learned = F.col("doc_id") % 5 != 0
+    want = rows(ctw.lm_scores(docs, learned))
+    for kept in (300, 0):
+        monkeypatch.setattr(ctw, "KEPT", kept)
+        assert rows(ctw.lm_scores(docs, learned)) == want
+
+
 def test_edits_equal_a_fresh_count(spark):
     rng = np.random.default_rng(8)
     alphabet = list("ab1 '\n.é") + ["'s", "  ", "the"]
