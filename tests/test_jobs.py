@@ -130,3 +130,23 @@ def test_heading_rules():
     assert A.demographic_heading("182025_1_response_0", heads) == "whatisyourgender"
     assert A.demographic_heading("182025_2_response_0", heads) == "shortone"
     assert A.demographic_heading("A_RowId", heads) == "A_RowId"
+
+
+def test_registered_cycles_have_no_round_cap(spark, monkeypatch):
+    from workload import QUERIES, models, streams
+
+    asked = []
+
+    def seen(*args, **kwargs):
+        asked.extend(x for x in (*args, *kwargs.values()) if isinstance(x, clusters.CycleSettings))
+        raise InterruptedError
+
+    for name in ("cycle_by_target", "reduce_by_clustering", "reduce_by_clustering_by_target"):
+        monkeypatch.setattr(models.K, name, seen)
+    for name in ("phrases_kmeans", "phrases_lda"):
+        monkeypatch.setattr(streams.presets, name, seen)
+    names = ["kmeans_by_target", "lda_by_target", "reduce_by_clustering", "reduce_by_clustering_by_target", "preset_phrases_kmeans", "preset_phrases_lda"]
+    for name in names:
+        with pytest.raises(InterruptedError):
+            QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert [x.max_rounds for x in asked] == [None] * len(names)

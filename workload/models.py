@@ -71,22 +71,22 @@ def _(spark, d):
 
 @query("kmeans_by_target")
 def _(spark, d):
-    return K.cycle_by_target(order_frame(spark, d), "kmeans", K.CycleSettings(4, 5, 2, 5, 2, 1))
+    return K.cycle_by_target(order_frame(spark, d), "kmeans", K.CycleSettings(4, 5, 2, 5, 2))
 
 
 @query("lda_by_target")
 def _(spark, d):
-    return K.cycle_by_target(order_frame(spark, d), "lda", K.CycleSettings(3, 3, 2, 5, 2, 1))
+    return K.cycle_by_target(order_frame(spark, d), "lda", K.CycleSettings(3, 3, 2, 5, 2))
 
 
 @query("reduce_by_clustering")
 def _(spark, d):
-    return K.reduce_by_clustering(order_frame(spark, d), K.CycleSettings(3, 5, 2, 4, 2, 2)).cells
+    return K.reduce_by_clustering(order_frame(spark, d), K.CycleSettings(3, 5, 2, 4, 2)).cells
 
 
 @query("reduce_by_clustering_by_target")
 def _(spark, d):
-    return K.reduce_by_clustering_by_target(order_frame(spark, d), K.CycleSettings(2, 3, 2, 4, 2, 1)).cells
+    return K.reduce_by_clustering_by_target(order_frame(spark, d), K.CycleSettings(2, 3, 2, 4, 2)).cells
 
 
 @query("second_tier_clusters")

@@ -260,7 +260,7 @@ def _(spark, d):
     return S.scan_supplement(store).select("uuid", "aa_label", "longtext")
 
 
-SMALL = CycleSettings(k=3, iterations=4, init_steps=2, top_terms=4, spread=2, max_rounds=1)
+SMALL = CycleSettings(k=3, iterations=4, init_steps=2, top_terms=4, spread=2)
 
 
 def _phrases(out):
