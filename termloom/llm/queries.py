@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm.alignment import alignment_scores
+from termloom.llm.bpe import decode_ids, encode_texts
 from termloom.llm.common import crc_share, table
+from termloom.llm.conversations import prefix_trie, rebuilt_conversations, turn_lists
 from termloom.llm.ctw import lm_scores
 from termloom.llm.decontaminate import benchmark_hits
 from termloom.llm.knn import top_inner
@@ -140,3 +143,49 @@ def op6_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = turn_lists(table(spark, sf_dir, "conversations"))
+    model = F.col("conv_id") - F.col("conv_id") % 100
+    return prefix_trie(rebuilt_conversations(lists, model, crc_share("conv_id", 6)))
+
+
+# The first three steps write crc32 of the decimal id out, by a table made from its polynomial.
+SQL["op12_conversation_trie"] = """
+WITH k AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+             lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+i AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS model, xor(4294967295, list_reduce([4294967295] || list_transform(
+        string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda a, b: xor(a >> 8, step[(xor(a, b) & 255) + 1]))) % 6 AS h FROM i, k),
+t AS (SELECT conv_id, md5(concat(length(r), ':', r, ':', x)) AS w, length(x) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) AS p
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+m AS (SELECT conv_id AS model, count(*) AS own FROM t GROUP BY conv_id),
+a AS (SELECT c.conv_id, p AS d, w, n FROM c JOIN t ON t.conv_id = c.model AND p <= h
+      UNION ALL SELECT c.conv_id, least(h, coalesce(own, 0)) + p - h, w, n FROM c JOIN t ON t.conv_id = c.conv_id AND p > h LEFT JOIN m USING (model)),
+g AS (SELECT conv_id, d, string_agg(w, '') OVER (PARTITION BY conv_id ORDER BY d) AS node, n FROM a
+      UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+v AS (SELECT node, min(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) AS n FROM g GROUP BY node),
+q AS (SELECT left(node, 32 * (d - 1)) AS node, count(*) AS n_children FROM v WHERE d > 0 GROUP BY ALL),
+e AS (SELECT node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+      FROM (SELECT conv_id, node FROM g QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY d DESC) = 1) GROUP BY node),
+u AS (SELECT left(v.node, 32 * unnest(range(d + 1))) AS node, (n_convs - 1) * n AS saved, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf FROM v LEFT JOIN q USING (node)),
+z AS (SELECT node, sum(saved) AS saved, sum(leaf) AS leaves FROM u GROUP BY node)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, o.conv_id AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM v JOIN z USING (node) LEFT JOIN q USING (node) LEFT JOIN e USING (node) LEFT JOIN v o ON v.d > 0 AND o.node = left(v.node, 32 * (v.d - 1))"""
+
+
+@query
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = decode_ids(encode_texts(table(spark, sf_dir, "documents")))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
