@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.bpe import ship_file
-from termloom.llm.common import map_batches
+from termloom.llm.common import growing, map_batches
 from termloom.scratch import publish
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,9 +41,9 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 B_IDS = 1 << 16
 #: At most so many commonest pairs are broadcast.
 COMMON_PAIRS = 1 << 18
-#: Longer stretches are aligned anew each time; a task remembers so many shorter ones, and aligns so many new ones at once.
+#: Longer stretches are aligned anew each time; a task remembers up to twice so many shorter ones, and aligns so many new ones at once.
 MEMO_CHARS = 64
-MEMO_STRETCHES = 400_000
+MEMO_STRETCHES = 200_000
 TOGETHER = 4_096
 
 BORDER = regex.compile(r"(?s)(?<=\S)(?= .)")
@@ -104,7 +104,9 @@ class Aligner:
         # Decimal ids with what follows them: within a group, at the end of a group's A part, of its B part.
         self.names = np.array([f"{i}{end}" for end in ",|;" for i in range(B_IDS)], dtype="S6")
         self.name_sizes = np.char.str_len(self.names)
-        self.seen: dict[str, tuple | None] = {}
+        # Stretches met lately, and before: what is met again moves up, the rest is forgotten.
+        self.seen: dict[str, tuple | bool] = {}
+        self.older: dict[str, tuple | bool] = {}
         self.spans = spans
 
     def b_token(self, piece: str) -> bytes:
@@ -137,15 +139,15 @@ class Aligner:
         b_ends = token_ends(spans, np.arange(len(raw) + 1), sizes_of(parts))
         return np.array(a, dtype=np.int64), a_ends, np.array(b, dtype=np.int64), b_ends
 
-    def align(self, stretches: list[str]) -> list[tuple | None]:
-        """Per stretch (A tokens, B tokens, groups, links, groups as text, links; with spans A ends and B ends); lists are int32 bytes.
+    def align(self, stretches: list[str]) -> list[tuple | bool]:
+        """Per stretch (A tokens, B tokens, groups, links, groups as text, links; with spans A ends and B ends), False if the bytes do not come back; lists are int32 bytes.
 
         Stretches that may stand one after the other are aligned as one text and
         taken apart at their borders.
         """
         made = self.tokens("".join(stretches))
         if made is None:
-            return [None] if len(stretches) == 1 else [x for s in stretches for x in self.align([s])]
+            return [False] if len(stretches) == 1 else [x for s in stretches for x in self.align([s])]
         a, a_ends, b, b_ends = made
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
         first = np.searchsorted(b_ends, np.concatenate([[0], a_ends[:-1]]), side="right")
@@ -179,10 +181,12 @@ class Aligner:
     def learn(self, texts: list[list[str]]) -> None:
         """Align the stretches of these texts that are short and new, many at once."""
         wanted = {s for s in set().union(*texts) if len(s) <= MEMO_CHARS and not s[-1].isspace()}
-        new = sorted(wanted - self.seen.keys())
-        if len(self.seen) + len(new) > MEMO_STRETCHES:
-            self.seen.clear()
-            new = sorted(wanted)
+        if len(self.seen) > MEMO_STRETCHES:
+            self.seen, self.older = {}, self.seen
+        new = wanted - self.seen.keys()
+        again = new & self.older.keys()
+        self.seen.update((s, self.older[s]) for s in again)
+        new = list(new - again)
         for i in range(0, len(new), TOGETHER):
             self.seen.update(zip(new[i : i + TOGETHER], self.align(new[i : i + TOGETHER]), strict=True))
 
@@ -193,9 +197,11 @@ class Aligner:
         return list(map(self.joined, cut))
 
     def joined(self, stretches: list[str]) -> tuple:
-        made = [self.seen[s] if s in self.seen else self.align([s])[0] for s in stretches]
-        if not made or None in made:
-            return (0, 0, 0, 0, "", b"", *([b"", b""] if self.spans else []))
+        made = list(map(self.seen.get, stretches))
+        if None in made:
+            made = [m if m is not None else self.align([s])[0] for s, m in zip(stretches, made, strict=True)]
+        if not made or False in made:
+            return (0, 0, 0, 0, b"", b"", *([b"", b""] if self.spans else []))
         a, b, groups, links, names, codes, *ends = zip(*made, strict=True)
         if self.spans:
             starts = np.cumsum([0, *(len(s.encode()) for s in stretches[:-1])])
@@ -203,7 +209,7 @@ class Aligner:
                 (np.frombuffer(b"".join(part), dtype="<i4") + np.repeat(starts, counts)).astype("<i4").tobytes()
                 for part, counts in zip(ends, (a, b), strict=True)
             ]
-        return sum(a), sum(b), sum(groups), sum(links), b";".join(names).decode(), b"".join(codes), *ends
+        return sum(a), sum(b), sum(groups), sum(links), b";".join(names), b"".join(codes), *ends
 
 
 def align_tokenizers(
@@ -228,7 +234,8 @@ def align_tokenizers(
         aligner = Aligner(a_json.value, b_model.value, spans)
 
         def work(rows: dict) -> dict:
-            made = aligner.texts(rows["text"])
+            with growing():
+                made = aligner.texts(rows["text"])
             columns = dict(zip(names, map(list, zip(*made, strict=True)), strict=False))
             lists = {c: [np.frombuffer(v, dtype="<i4") for v in columns[c]] for c in names[5:]}
             return {"id": rows["id"], **columns, **lists}

@@ -17,20 +17,29 @@ from __future__ import annotations
 
 import base64
 import math
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from termloom.llm.common import Memo, map_batches
+from termloom.llm.common import SLICE_ROWS, Memo, growing, map_batches
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Characters before an edit whose pre-tokens may still change with it.
 LOOK_BACK = 4
-#: Longer pre-tokens are encoded anew each time, so that the memo stays small.
-MEMO_BYTES = 64
+#: A task remembers so many pre-tokens; longer ones are encoded anew each time.
+MEMO_PIECES = 600_000
+MEMO_CHARS = 64
+MEMO_PAIRS = 2_000_000
 
 
 def ship_file(spark: SparkSession, path: str):
@@ -54,7 +63,9 @@ class PrefixCoder:
         self.ends.make_automaton()
         self.split = Memo(self._split)
         self.spines = Memo(self._spines)
-        self.fits = Memo(lambda pair: self._fits(*pair), 1_000_000)
+        # For a token, which tokens may follow it, as far as asked.
+        self.after: defaultdict[int, dict[int, bool]] = defaultdict(dict)
+        self.pairs = 0
 
     def _split(self, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a single byte, ``()`` where merging never makes it."""
@@ -82,8 +93,19 @@ class PrefixCoder:
             spines.append(spine)
         return tuple(spines)
 
+    def fits(self, left: int, right: int) -> bool:
+        """Do these two tokens stay apart?"""
+        known = self.after[left].get(right)
+        if known is None:
+            self.pairs += 1
+            if self.pairs > MEMO_PAIRS:
+                self.after.clear()
+                self.pairs = 1
+            known = self.after[left][right] = self._fits(left, right)
+        return known
+
     def _fits(self, left: int, right: int) -> bool:
-        """Do these two tokens stay apart? Of equal merges the leftmost comes first."""
+        """Of equal merges the leftmost comes first."""
         for x, until_x in self.spines[left][1]:
             for y, until_y in self.spines[right][0]:
                 merge = self.ranks.get(x + y)
@@ -103,7 +125,7 @@ class PrefixCoder:
         for end, (rank, n) in self.ends.iter(piece.decode("latin-1"), start):
             if end < len(last):
                 continue
-            if self.split[rank] != () if n == end + 1 else self.fits[last[end - n], rank]:
+            if self.split[rank] != () if n == end + 1 else self.fits(last[end - n], rank):
                 last.append(rank)
                 if old is not None:
                     at = end - shift
@@ -123,16 +145,23 @@ class PrefixCoder:
 
     def table(self, piece: bytes) -> list[int]:
         """The last token of every prefix."""
-        split, fits, last, done = self.split, self.fits, [], 0
+        split, after, last, done = self.split, self.after, [], 0
         for end, (rank, n) in self.ends.iter(piece.decode("latin-1")):
-            if end == done and (fits[last[end - n], rank] if n <= end else split[rank] != ()):
+            if end == done:
+                if n <= end:
+                    known = after[last[end - n]].get(rank)
+                    if not (self.fits(last[end - n], rank) if known is None else known):
+                        continue
+                elif split[rank] == ():
+                    continue
                 last.append(rank)
                 done += 1
         return last
 
     def encode(self, piece: bytes) -> list[int]:
         """A pre-token that is itself an entry is that entry, also where merging never makes it."""
-        return [self.ranks[piece]] if piece in self.ranks and self.split[self.ranks[piece]] == () else self.walk(self.table(piece))
+        own = self.ranks.get(piece)
+        return [own] if own is not None and self.split[own] == () else self.walk(self.table(piece))
 
 
 class TextCoder:
@@ -141,12 +170,19 @@ class TextCoder:
     def __init__(self, rank_lines: bytes, pattern: str):
         self.coder = PrefixCoder(rank_lines)
         self.pattern = regex.compile(pattern)
-        self.seen = Memo(lambda piece: self.coder.encode(piece.encode()), 600_000)
+        self.seen: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
         for piece in self.pattern.findall(text):
-            ids += self.seen[piece] if len(piece) <= MEMO_BYTES else self.coder.encode(piece.encode())
+            known = self.seen.get(piece)
+            if known is None:
+                known = tuple(self.coder.encode(piece.encode()))
+                if len(piece) <= MEMO_CHARS:
+                    if len(self.seen) >= MEMO_PIECES:
+                        self.seen.clear()
+                    self.seen[piece] = known
+            ids += known
         return ids
 
 
@@ -261,7 +297,12 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def make():
         own = TextCoder(ranks.value, pattern)
-        return lambda rows: {"id": rows["id"], "ids": list(map(own.encode, rows["text"]))}
+
+        def work(rows: dict) -> dict:
+            with growing():
+                return {"id": rows["id"], "ids": list(map(own.encode, rows["text"]))}
+
+        return work
 
     made = map_batches(source, f"id {dict(source.dtypes)['id']}, ids array<int>", make)
     return made.withColumnRenamed("id", id_col)
@@ -272,16 +313,21 @@ def decode_ids(encoded: DataFrame, id_col: str = "doc_id", path: str = VOCABULAR
     source = encoded.select(F.col(id_col).alias("id"), "ids")
     ranks = ship_file(encoded.sparkSession, path)
 
-    def make():
-        tokens = {int(b): base64.b64decode(a) for a, b in map(bytes.split, ranks.value.splitlines())}
-
-        def work(rows: dict) -> dict:
-            return {**rows, "decoded": [b"".join(map(tokens.__getitem__, ids or [])) for ids in rows["ids"]]}
-
-        return work
-
-    made = map_batches(source, f"id {dict(source.dtypes)['id']}, ids array<int>, decoded binary", make)
-    return made.withColumnRenamed("id", id_col)
+    arrow = to_arrow_schema(T._parse_datatype_string(schema := f"id {dict(source.dtypes)['id']}, ids array<int>, decoded binary"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries = {int(b): base64.b64decode(a) for a, b in map(bytes.split, ranks.value.splitlines())}
+        tokens = [entries.get(i) for i in range(max(entries) + 1)]
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                ids, lists = (batch.column(c).slice(start, SLICE_ROWS) for c in ("id", "ids"))
+                sizes = lists.value_lengths().fill_null(0).to_numpy()
+                flat = lists.flatten().to_numpy().tolist()
+                upto = [0, *np.cumsum(sizes).tolist()]
+                decoded = pa.array([b"".join(map(tokens.__getitem__, flat[a:b])) for a, b in pairwise(upto)], type=pa.binary())
+                yield pa.RecordBatch.from_arrays([ids, lists.cast(arrow.field("ids").type), decoded], schema=arrow)
+
+    return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 STATE = "text string, piece_chars array<int>, last_tokens array<int>"

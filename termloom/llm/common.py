@@ -8,7 +8,9 @@ name never clash with the columns they make.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,3 +69,13 @@ class Memo(dict):
             self.clear()
         value = self[key] = self.make(key)
         return value
+
+
+@contextmanager
+def growing():
+    """Filling a large memo: it holds no cycles, so looking for some again and again is time lost."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
