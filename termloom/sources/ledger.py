@@ -19,11 +19,23 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
+# In the order in which a batch may pass through them at one time.
+STATUSES = ["arrived", "late", "failed", "persisted", "promoted"]
+
+
 def record(spark: SparkSession, path: str, batch_id: str, status: str, error: str, now: Column) -> None:
-    entry = spark.createDataFrame([(batch_id, status, error)], "batch_id string, status string, error string")
-    with_code(entry).withColumn("ts", now.cast("timestamp")).select(
+    record_all(spark, path, [(batch_id, status, error)], now)
+
+
+def record_all(spark: SparkSession, path: str, entries: list[tuple[str, str, str]], now: Column) -> dict[str, str]:
+    """Write entries (batch, status, error) as one file; returns the error codes by batch."""
+    if not entries:
+        return {}
+    coded = with_code(spark.createDataFrame(entries, "batch_id string, status string, error string"))
+    coded.coalesce(1).withColumn("ts", now.cast("timestamp")).select(
         "batch_id", "status", "error", "error_code", "ts"
     ).write.mode("append").parquet(path)
+    return {row["batch_id"]: row["error_code"] for row in coded.collect()}
 
 
 def with_code(entries: DataFrame) -> DataFrame:
@@ -32,12 +44,19 @@ def with_code(entries: DataFrame) -> DataFrame:
 
 
 def latest_status(ledger: DataFrame) -> DataFrame:
-    """The last entry of each batch."""
+    """The last entry of each batch; at one time the status that comes later in a batch's life."""
+    order = F.struct("ts", F.array_position(F.lit(STATUSES), F.col("status")))
     return ledger.groupBy("batch_id").agg(
-        F.max_by("status", "ts").alias("status"), F.max_by("error_code", "ts").alias("error_code")
+        F.max_by("status", order).alias("status"), F.max_by("error_code", order).alias("error_code")
     )
 
 
+def statuses_of(spark: SparkSession, path: str, batches: list[str]) -> dict[str, str]:
+    """The last status of these batches, in one read of the ledger."""
+    asked = read_ledger(spark, path).where(F.col("batch_id").isin(batches))
+    return {row["batch_id"]: row["status"] for row in latest_status(asked).collect()}
+
+
 def is_persisted(spark: SparkSession, path: str, batch_id: str) -> bool:
     done = read_ledger(spark, path).where((F.col("batch_id") == batch_id) & (F.col("status") == "persisted"))
     return done.limit(1).count() > 0

@@ -2,10 +2,16 @@
 
 Data tables are partitioned by ``batch_id``: appending, replaying and deleting
 a batch touch that batch's folder only.
+
+What is to replace something is written to a staged folder first and checked
+there. Renaming that folder is the decision; then its parts are renamed into
+place. A failure before the decision leaves the store as it was, one after it is
+finished by the next writer (``finish_swaps``).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +24,7 @@ from termloom.operators.lookups import lookup_join, measured
 from termloom.operators.ranking import number_by_hash
 from termloom.operators.rows import row_hashes
 from termloom.scratch import Written, publish, write_table
+from termloom.sources import folders
 from termloom.sources.tables import check_unique_names, clean_column_names
 
 DATA_SCHEMA = (
@@ -68,28 +75,60 @@ class Store:
         return f"{self.root}/{self.name}/{table}"
 
 
-def _folder_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+SWAPS = "_swaps"
+STAGED, READY = "staged-", "ready-"
+
+
+def new_stage(store: Store) -> str:
+    """A fresh staged folder. In it ``names/<table>`` holds files to add, ``batches/<table>`` batch folders
+    to put in place of those of the same name, ``tables/<table>`` whole tables; an empty folder only removes."""
+    return f"{store.path(SWAPS)}/{STAGED}{uuid.uuid4().hex}"
+
+
+def commit_stage(store: Store, stage: str) -> None:
+    """Decide for a staged folder, and put its parts into place."""
+    folders.move(store.spark, stage, stage.replace(f"/{STAGED}", f"/{READY}"))
+    finish_swaps(store)
+
+
+def finish_swaps(store: Store) -> None:
+    """Put into place what was decided for; each step may be done again after an interruption."""
+    spark, root = store.spark, store.path(SWAPS)
+    for swap in (n for n in folders.names(spark, root) if n.startswith(READY)):
+        ready = f"{root}/{swap}"
+        for name in folders.names(spark, f"{ready}/names"):
+            for batch in folders.names(spark, f"{ready}/names/{name}"):
+                for file in folders.names(spark, f"{ready}/names/{name}/{batch}"):
+                    folders.move(spark, f"{ready}/names/{name}/{batch}/{file}", f"{store.path(name)}/{batch}/{file}")
+        for name in folders.names(spark, f"{ready}/batches"):
+            for batch in folders.names(spark, f"{ready}/batches/{name}"):
+                _put(spark, f"{ready}/batches/{name}/{batch}", f"{store.path(name)}/{batch}")
+        for name in folders.names(spark, f"{ready}/tables"):
+            _put(spark, f"{ready}/tables/{name}", store.path(name))
+        folders.drop(spark, ready)
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def _put(spark: SparkSession, source: str, target: str) -> None:
+    if folders.names(spark, source):
+        folders.move(spark, source, target)
+    else:
+        folders.drop(spark, target)
 
 
 def create_store(store: Store, store_uuid: str) -> None:
     """Write the empty tables where absent, and the identity row once."""
-    for table, schema in TABLES.items():
-        if table != "identity":
-            store.spark.createDataFrame([], schema).write.mode("ignore").parquet(store.path(table))
+    create_empty(store)
     store.spark.createDataFrame([(store.name, store_uuid)], IDENTITY_SCHEMA).write.mode("ignore").parquet(
         store.path("identity")
     )
 
 
+def create_empty(store: Store) -> None:
+    for table, schema in TABLES.items():
+        if table != "identity":
+            store.spark.createDataFrame([], schema).write.mode("ignore").parquet(store.path(table))
+
+
 def create_supplement(store: Store, like: DataFrame) -> None:
     """Empty supplement with the cleaned text columns of a CSV or DataFrame."""
     names = clean_column_names(like).columns
@@ -99,7 +138,7 @@ def create_supplement(store: Store, like: DataFrame) -> None:
 
 
 def store_exists(store: Store, table: str = "data") -> bool:
-    return _folder_exists(store.spark, store.path(table))
+    return folders.exists(store.spark, store.path(table))
 
 
 def scan(store: Store, table: str) -> DataFrame:
@@ -187,9 +226,11 @@ def append_dictionary(incoming: DataFrame, known: DataFrame, key: str, kind: str
 
 
 def replace_columns(store: Store, columns: DataFrame, batch_id: str) -> None:
-    """Rewrite the vocabulary from another store's; the input is written first."""
-    fresh = publish(columns.select("term", "idx", F.lit(batch_id).alias("batch_id")), "columns")
-    fresh.write.mode("overwrite").parquet(store.path("columns"))
+    """Put another vocabulary in the place of the store's, in one swap."""
+    stage = new_stage(store)
+    fresh = columns.select("term", "idx", F.lit(batch_id).alias("batch_id"))
+    fresh.write.partitionBy("batch_id").parquet(f"{stage}/tables/columns")
+    commit_stage(store, stage)
 
 
 def _by_lower_name(dictionary: DataFrame | Written, key: str) -> DataFrame | Written:
@@ -227,12 +268,12 @@ def match_schema(frame: SparseFrame, columns: DataFrame) -> DataFrame:
 
 
 def validate_realigned(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(row_id, term) pairs that realignment lost or invented, over all rows."""
-    old = before.select("row_id", F.lower("term").alias("term"))
-    new = after.select("row_id", F.lower("term").alias("term"))
-    return old.exceptAll(new).select("row_id", "term", F.lit("lost").alias("problem")).unionByName(
-        new.exceptAll(old).select("row_id", "term", F.lit("added").alias("problem"))
-    )
+    """(row_id, term) pairs that realignment lost or invented, over all rows: one sum of +1 and -1 per pair."""
+    old = before.select("row_id", F.lower("term").alias("term"), F.lit(1).alias("_n"))
+    new = after.select("row_id", F.lower("term").alias("term"), F.lit(-1).alias("_n"))
+    left = old.unionByName(new).groupBy("row_id", "term").agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    problem = F.when(F.col("_n") > 0, "lost").otherwise("added")
+    return left.select("row_id", "term", F.explode(F.array_repeat(problem, F.abs("_n").cast("int"))).alias("problem"))
 
 
 def validate_store_uuid(batches: DataFrame, identity: DataFrame) -> DataFrame:
@@ -318,16 +359,12 @@ def partition_value(value: str) -> str:
 def drop_batch(store: Store, batch_id: str, tables: tuple[str, ...] = ROW_TABLES) -> None:
     """Remove one batch's rows by removing its partition folders, named as Spark names them."""
     for table in tables:
-        _drop_folder(store.spark, f"{store.path(table)}/batch_id={partition_value(batch_id)}")
+        folders.drop(store.spark, f"{store.path(table)}/batch_id={partition_value(batch_id)}")
 
 
 delete_batch = drop_batch
 
 
-def _write_batch(df: DataFrame, store: Store, table: str) -> None:
-    df.write.mode("append").partitionBy("batch_id").parquet(store.path(table))
-
-
 def is_own_uuid(store: Store, batch_uuid: str) -> bool:
     """Whether a batch announces the uuid of this store."""
     batch = store.spark.range(1).select(F.lit(store.name).alias("store"), F.lit(batch_uuid).alias("batch_uuid"))
@@ -340,17 +377,32 @@ def is_aligned(frame: SparseFrame) -> bool:
     return terms and (frame.targets is None or new_terms(frame.rows, frame.targets, "target").isEmpty())
 
 
+def named_cells(data: DataFrame, columns: DataFrame | Written) -> DataFrame:
+    """Stored rows as (row_id, term, value); a number that two names share gives both."""
+    long = data.select("row_id", F.inline(F.arrays_zip(F.col("indices").alias("idx"), F.col("values").alias("value"))))
+    return lookup_join(long, columns, ["idx"]).select("row_id", "term", "value")
+
+
+def colliding_names(cells: DataFrame) -> DataFrame:
+    """(name, terms): clean names that are empty, or that terms different but for case would share."""
+    terms = cells.select(F.lower("term").alias("term")).distinct()
+    shared = terms.groupBy(clean_name(F.col("term")).alias("name")).agg(F.count("*").alias("terms"))
+    return shared.where((F.col("terms") > 1) | (F.length("name") == 0))
+
+
 def append_batch(
     store: Store, frame: SparseFrame, batch_id: str, now: Column, batch_uuid: str | None = None
 ) -> dict:
-    """Check a batch, extend the dictionaries, then append it.
-
-    Everything is validated before anything is dropped or written, so a rejected
-    resubmission leaves the stored batch as it is: the announced uuid (if any),
-    the batch's own dictionaries, the share of duplicates. A replay of the same
-    batch is compared with the other batches only, and drops what stood under
-    its id.
+    """Check a batch, write it beside the store, check that, then put it into place.
+
+    Whatever fails, a stored batch of that id stays as it is until the new one
+    stands whole: the announced uuid (if any), the batch's own dictionaries,
+    names that collide once cleaned, the share of duplicates, unreadable values,
+    and rows that do not come back from the store's numbering as they came. A
+    replay is compared with the other batches only. With ``truncate_overwrite``
+    the batch takes the place of the whole store, supplement included.
     """
+    finish_swaps(store)
     if batch_uuid is not None and not is_own_uuid(store, batch_uuid):
         return {"status": "failed", "error": "The batch is for another store"}
     if not is_aligned(frame):
@@ -360,34 +412,48 @@ def append_batch(
         frame.cells.withColumn("term", clean_name(F.col("term"))).withColumn("target", F.lower("target"))
         .groupBy("row_id", "target", "term").agg(F.sum("value").alias("value")),
     ).materialise()
+    if not colliding_names(frame.cells).isEmpty():
+        return {"status": "failed", "error": "Names of the batch collide once they are cleaned"}
     hashes = publish(row_hashes(cleaned), "hashes")
-    others = scan(store, "data").where(F.col("batch_id") != batch_id)
+    anew = store.config.truncate_overwrite
+    others = scan(store, "data").where(F.lit(False) if anew else F.col("batch_id") != batch_id)
     if not duplicate_gate(hashes, others, store.config.permitted_duplicates):
         return {"status": "failed", "error": "Too many duplicate records "}
-    drop_batch(store, batch_id)
-    known_columns, known_targets = scan_columns(store), scan_targets(store)
+    known_columns = scan_columns(store).where(F.lit(not anew))
+    known_targets = scan_targets(store).where(F.lit(not anew))
     columns = publish(append_dictionary(cleaned.cells, known_columns, "term", "int"), "columns")
     targets = publish(append_dictionary(cleaned.rows, known_targets, "target", "double"), "targets")
     all_columns = write_table(known_columns.unionByName(columns), "columns")
     all_targets = write_table(known_targets.unionByName(targets), "targets")
+
+    stage = new_stage(store)
+    names, rows = (f"{stage}/tables", f"{stage}/tables") if anew else (f"{stage}/names", f"{stage}/batches")
     tag = F.lit(batch_id).alias("batch_id")
-    _write_batch(columns.select("term", "idx", tag), store, "columns")
-    _write_batch(targets.select("target", "idx", tag), store, "targets")
-    _write_batch(store_rows(cleaned, all_columns, all_targets, hashes, now, batch_id), store, "data")
-    data = scan(store, "data").where(F.col("batch_id") == batch_id)
-    _write_batch(inverted_index(data, all_columns), store, "index")
-    uid = all_columns.table.where(F.col("term") == store.config.uid_column)
-    place = uid.agg(F.min("idx").alias("i"))
-    if place.first()["i"] is not None:
-        place = place.scalar()
-        _write_batch(id_map_rows(data, place), store, "id_map")
+    columns.select("term", "idx", tag).write.partitionBy("batch_id").parquet(f"{names}/columns")
+    targets.select("target", "idx", tag).write.partitionBy("batch_id").parquet(f"{names}/targets")
+    store_rows(cleaned, all_columns, all_targets, hashes, now, batch_id).write.partitionBy("batch_id").parquet(f"{rows}/data")
+    data = store.spark.read.schema(DATA_SCHEMA).parquet(f"{rows}/data")
+    if not validate_realigned(cleaned.cells, named_cells(data, all_columns)).isEmpty():
+        folders.drop(store.spark, stage)
+        return {"status": "failed", "error": "Rows changed in the numbering of the store"}
+    inverted_index(data, all_columns).write.partitionBy("batch_id").parquet(f"{rows}/index")
+    uid = all_columns.table.where(F.col("term") == store.config.uid_column).agg(F.min("idx").alias("i"))
+    id_map_rows(data, uid.scalar()).write.partitionBy("batch_id").parquet(f"{rows}/id_map")
+    for table in ROW_TABLES:
+        if not anew:
+            folders.make(store.spark, f"{rows}/{table}/batch_id={partition_value(batch_id)}")
+    if anew:
+        folders.make(store.spark, f"{rows}/supplement")
+    commit_stage(store, stage)
+    if anew:
+        create_empty(store)
     return {"status": "persisted", "error": ""}
 
 
 def overwrite_store(store: Store, store_uuid: str) -> None:
     """Empty all tables, the supplement too, before a full load."""
     for table in (*BATCH_TABLES, "supplement"):
-        _drop_folder(store.spark, store.path(table))
+        folders.drop(store.spark, store.path(table))
     create_store(store, store_uuid)
 
 
@@ -415,12 +481,20 @@ def filter_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def append_supplement(store: Store, supplement: DataFrame, batch_id: str, now: Column) -> None:
-    """Clean names, reject repeated ones, drop null keys, stamp and append."""
+    """Clean names, reject repeated ones, drop null keys, stamp, and put in the place of that batch."""
     check_unique_names(supplement)
     cleaned = filter_null_keys(clean_column_names(supplement), ["uuid", "aa_label"])
-    drop_batch(store, batch_id, ("supplement",))
-    stamped = cleaned.withColumn("ts", now.cast("timestamp")).withColumn("batch_id", F.lit(batch_id))
-    _write_batch(stamped, store, "supplement")
+    put_supplement(store, cleaned.withColumn("ts", now.cast("timestamp")), batch_id)
+
+
+def put_supplement(store: Store, stamped: DataFrame, batch_id: str) -> None:
+    """Put supplement rows into place under a batch id, in one swap."""
+    finish_swaps(store)
+    stage = new_stage(store)
+    tagged = stamped.withColumn("batch_id", F.lit(batch_id))
+    tagged.write.partitionBy("batch_id").parquet(f"{stage}/batches/supplement")
+    folders.make(store.spark, f"{stage}/batches/supplement/batch_id={partition_value(batch_id)}")
+    commit_stage(store, stage)
 
 
 def store_row_count(store: Store) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from termloom.sources import cache, ledger
 from termloom.sources import store as S
 from termloom.sources import tables as T
 from termloom.sources import triplet as L
+from termloom.streaming.ingest import ingest_batch
 from workload.fixtures import (
     CLUSTERS,
     NOW,
@@ -476,14 +478,101 @@ def _(spark, d):
     return S.scan_store(store).cells
 
 
-@query("overwrite_store", f"WITH {STORE_CELLS} SELECT DISTINCT row_id, 'again' AS batch_id FROM stored WHERE batch_id = 'batch-f'")
+@query("overwrite_store", f"WITH {STORE_CELLS} SELECT DISTINCT row_id, 'again' AS batch_id FROM stored")
 def _(spark, d):
     store = copy_of(order_store(spark, d))
     S.overwrite_store(store, STORE_UUID)
-    S.append_batch(store, by_status(spark, d, order_frame(spark, d), True), "again", now())
+    S.append_batch(store, order_frame(spark, d), "again", now())
     return S.scan(store, "data").select("row_id", "batch_id")
 
 
+def _unreadable(cells):
+    """The cells, of which some cannot be read."""
+    bad = F.raise_error(F.lit("a value is no number")).cast("double")
+    return cells.withColumn("value", F.when(F.col("term") == "A_UID", bad).otherwise(F.col("value")))
+
+
+def _ingest(spark, store, cells, batch):
+    book = new_folder(spark, "ledger")
+    ledger.create_ledger(spark, book)
+    return ingest_batch(store, cells.select("row_id", "target", "term", "value"), batch, book, now())
+
+
+@query("failed_replay", f"WITH {STORE_CELLS} SELECT row_id, target, term, value, 'failed' AS status FROM stored")
+def _(spark, d):
+    """A stored batch is submitted again with unreadable values: all its cells stay."""
+    store = copy_of(order_store(spark, d))
+    frame = by_status(spark, d, order_frame_with_uid(spark, d), True)
+    status = _ingest(spark, store, _unreadable(frame.cells), "batch-f")
+    return S.scan_store(store).cells.withColumn("status", F.lit(status))
+
+
+def _overwriting(store):
+    return replace(store, config=replace(store.config, truncate_overwrite=True))
+
+
+@query("interrupted_overwrite", f"WITH {STORE_CELLS} SELECT row_id, target, term, value, 'failed' AS status FROM stored")
+def _(spark, d):
+    """A batch that should take the place of the whole store cannot be read: the old store stays."""
+    store = _overwriting(copy_of(order_store(spark, d)))
+    status = _ingest(spark, store, _unreadable(order_frame_with_uid(spark, d).cells), "batch-new")
+    return S.scan_store(store).cells.withColumn("status", F.lit(status))
+
+
+NATIONS = "nations AS (SELECT 'nation-' || n_nationkey AS row_id, lower(r_name) AS target, 'n_' || lower(n_name) AS term, CAST(n_nationkey + 1 AS DOUBLE) AS value FROM nation JOIN region ON n_regionkey = r_regionkey)"
+
+
+def _nations(spark, d):
+    joined = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.select(
+        F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string")).alias("row_id"), F.col("r_name").alias("target"),
+        F.concat(F.lit("n_"), "n_name").alias("term"), (F.col("n_nationkey") + 1.0).alias("value"),
+    )
+
+
+CLEAN = "lower(regexp_replace(term, '[^A-Za-z0-9_-]', '', 'g'))"
+
+
+@query("truncate_overwrite", f"WITH {NATIONS} SELECT row_id, target, {CLEAN} AS term, value FROM nations")
+def _(spark, d):
+    store = _overwriting(copy_of(order_store(spark, d)))
+    _ingest(spark, store, _nations(spark, d), "batch-new")
+    return S.scan_store(store).cells
+
+
+@query("replace_then_append", f"WITH {STORE_CELLS}, {NATIONS} SELECT row_id, target, term, value FROM stored UNION ALL SELECT row_id, target, {CLEAN}, value FROM nations")
+def _(spark, d):
+    """A vocabulary is replaced, then a batch with new names comes: every cell keeps its name."""
+    store = copy_of(order_store(spark, d))
+    S.replace_columns(store, S.scan_columns(store), "another store's")
+    _ingest(spark, store, _nations(spark, d), "batch-new")
+    return S.scan_store(store).cells
+
+
+def _refused(spark, d, store, cells):
+    book = new_folder(spark, "ledger")
+    ledger.create_ledger(spark, book)
+    ingest_batch(store, cells, "batch-new", book, now())
+    n_rows = S.scan(store, "data").agg(F.count("*")).scalar()
+    return ledger.read_ledger(spark, book).select("batch_id", "status", "error", n_rows.alias("n_rows"))
+
+
+@query("colliding_names", f"""WITH {ORDERS} SELECT 'batch-new' AS batch_id, 'failed' AS status, 'Names of the batch collide once they are cleaned' AS error, count(*) AS n_rows FROM rws""")
+def _(spark, d):
+    """Two names of which nothing is left when they are cleaned would become one nameless column."""
+    odd = _nations(spark, d).withColumn("term", F.when(F.col("value") > 12, "é").otherwise("ß"))
+    return _refused(spark, d, copy_of(order_store(spark, d)), odd)
+
+
+@query("ingest_misaligned", f"""WITH {ORDERS} SELECT 'batch-new' AS batch_id, 'failed' AS status, 'Rows changed in the numbering of the store' AS error, count(*) AS n_rows FROM rws""")
+def _(spark, d):
+    """The store's dictionary gives one number to two names: a batch that would come back changed is refused."""
+    store = copy_of(order_store(spark, d))
+    damaged = S.scan_columns(store).unionByName(_nations(spark, d).select(F.lower("term").alias("term"), F.lit(1).alias("idx")))
+    S.replace_columns(store, damaged, "damaged")
+    return _refused(spark, d, store, _nations(spark, d))
+
+
 @query("store_row_count", f"WITH {ORDERS} SELECT count(*) AS n_rows FROM rws")
 def _(spark, d):
     return S.scan(order_store(spark, d), "data").agg(F.count("*").alias("n_rows"))

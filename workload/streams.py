@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from termloom.frame import SparseFrame, document_frame, empty_frame, order_frame, table
@@ -12,10 +13,11 @@ from termloom.plans import presets, steps
 from termloom.scratch import new_folder
 from termloom.sources import ledger
 from termloom.sources import store as S
+from termloom.sources.batches import list_files
 from termloom.sources.tables import read_header_csv
 from termloom.streaming import ingest, metrics, receive
 from workload.columns import cells_out
-from workload.fixtures import STORE_UUID, now, once, order_frame_with_uid, order_supplement
+from workload.fixtures import STORE_UUID, document_supplement, now, once, order_frame_with_uid, order_supplement
 from workload.registry import CELLS_OUT, DOCS, ORDERS, doc_ctes, legacy_cut, median_cut, query
 from workload.rows import HASH_LABELS, MERGED, hash_labels
 from workload.store import CODED, STORE_CELLS, coded_csv
@@ -111,9 +113,112 @@ def _(spark, d):
     return ledger.read_ledger(spark, book).select("batch_id", "status", "error_code")
 
 
-@query("stream_metrics")
+def _read(micro):
+    micro.write.format("noop").mode("overwrite").save()
+
+
+@query("stream_metrics", """SELECT count(DISTINCT event_id % 105) AS completed, CAST(count(*) AS BIGINT) AS rows, CAST(1 AS BIGINT) AS failed, true AS delayed FROM events""")
+def _(spark, d):
+    """A query of over a hundred micro-batches, and one that fails at its first."""
+    files, log = new_folder(spark, "parts"), new_folder(spark, "progress")
+    events = table(spark, d, "events").select("event_id", "user_id", (F.col("event_id") % 105).alias("part"))
+    events.repartition("part").write.partitionBy("part").parquet(files)
+    listener = metrics.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        for sink in (lambda micro, _: _read(micro), lambda micro, _: _read(micro.select(F.raise_error(F.lit("refused"))))):
+            parts = spark.readStream.schema("event_id long, user_id long").option("maxFilesPerTrigger", 1).parquet(files)
+            state = new_folder(spark, "metrics-state")
+            run = parts.writeStream.foreachBatch(sink).option("checkpointLocation", state).trigger(availableNow=True).start()
+            try:
+                run.awaitTermination()
+            except StreamingQueryException:
+                pass  # the log must tell it
+            listener.wait(run)
+    finally:
+        spark.streams.removeListener(listener)
+    return metrics.stream_metrics(spark, log).select("completed", "rows", "failed", (F.col("mean_delay_ms") >= 0).alias("delayed"))
+
+
+# --- the whole cycle -------------------------------------------------------------------------
+
+LATE = "TIMESTAMP '2024-01-01 00:00:00'"
+
+
+def announced_batches(spark, d):
+    """Orders by status (those of one status for another store), documents as supplement, regions and nations announced longer than they are."""
+    cells = order_frame_with_uid(spark, d).cells.select("row_id", "target", "term", "value")
+    status = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("row_id"), F.concat(F.lit("st-"), "o_orderstatus").alias("batch_id"))
+    recent, own = F.expr("TIMESTAMP '2024-01-31 23:00:00'"), F.lit(STORE_UUID)
+    orders = cells.join(status, "row_id").withColumn("kind", F.lit("data")).withColumn("modified", recent)
+    orders = orders.withColumn("batch_uuid", F.when(F.col("batch_id") == "st-P", "a uuid of another store").otherwise(own))
+    texts = document_supplement(spark, d).select(
+        "*", F.lit("sup-1").alias("batch_id"), F.lit("supplement").alias("kind"), recent.alias("modified"), own.alias("batch_uuid")
+    )
+    sizes = orders.groupBy("batch_id").agg(F.count("*").alias("announced")).unionByName(
+        texts.groupBy("batch_id").agg(F.count("*").alias("announced"))
+    )
+    whole = orders.unionByName(texts, allowMissingColumns=True).join(F.broadcast(sizes), "batch_id")
+    short = [
+        table(spark, d, name).select(
+            F.concat(F.lit(f"{name}-"), F.col(f"{name[0]}_{name}key").cast("string")).alias("row_id"), F.lit("t").alias("target"),
+            F.col(f"{name[0]}_name").alias("term"), F.lit(1.0).alias("value"), F.lit(f"st-{name}").alias("batch_id"), F.lit("data").alias("kind"),
+            modified.alias("modified"), own.alias("batch_uuid"), F.lit(10**9).alias("announced"),
+        )
+        for name, modified in (("region", F.expr(LATE)), ("nation", recent))
+    ]
+    for part in short:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    fields = [f.split()[0] for f in ingest.CYCLE_SCHEMA.split(", ")]
+    return whole.select(*fields)
+
+
+def run_whole_cycle(spark, drop, max_files=None):
+    config = S.StoreConfig(flush=True, trim=False, flush_threshold=0, archive=True)
+    root, state = new_folder(spark, "cycle"), new_folder(spark, "cycle-state")
+    cycle = ingest.Cycle(
+        S.Store(spark, root, "staging", config), S.Store(spark, root, "final"), STORE_UUID, f"{root}/ledger", f"{root}/landed", f"{root}/done", 86_400_000
+    )
+    receive.drain(ingest.stream_cycle(ingest.stream_cells(spark, drop, max_files, ingest.CYCLE_SCHEMA), cycle, state, now()))
+    return cycle
+
+
+@once
+def cycled(spark, d):
+    drop = new_folder(spark, "announced")
+    announced_batches(spark, d).write.parquet(drop)
+    return run_whole_cycle(spark, drop)
+
+
+@query("ingest_cycle", f"""WITH {ORDERS}, {STAGED} SELECT s.*, count(*) OVER () AS n_cells FROM staged s JOIN orders ON row_id = CAST(o_orderkey AS VARCHAR)
+WHERE o_orderstatus <> 'P' AND term <> 'a_uid'""")
 def _(spark, d):
-    return metrics.stream_metrics(spark, streamed(spark, d)[2])
+    cells = S.scan_store(cycled(spark, d).final).cells
+    return cells.withColumn("n_cells", cells.agg(F.count("*")).scalar())
+
+
+@query("ingest_cycle_supplement", "SELECT CAST(doc_id AS VARCHAR) AS uuid, source AS aa_label, md5(text) AS text_md5 FROM documents")
+def _(spark, d):
+    return S.scan_supplement(cycled(spark, d).final).select("uuid", "aa_label", F.md5("rawsentence").alias("text_md5"))
+
+
+CYCLE_BATCHES = """batches AS (SELECT DISTINCT 'st-' || o_orderstatus AS batch_id, CASE WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'promoted' END AS status,
+   CASE WHEN o_orderstatus = 'P' THEN 'Thebatchisforanother' ELSE '' END AS error_code FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+  UNION SELECT 'sup-1', 'promoted', '' FROM documents UNION SELECT 'st-region', 'late', '' FROM region)"""
+
+
+@query("ingest_cycle_status", f"""WITH {CYCLE_BATCHES} SELECT * FROM batches UNION SELECT 'st-nation', 'arrived', '' FROM nation
+UNION SELECT 'promotion-0', 'persisted', '' FROM orders""")
+def _(spark, d):
+    return ledger.latest_status(ledger.read_ledger(spark, cycled(spark, d).ledger_path))
+
+
+@query("batch_folders", f"""WITH {CYCLE_BATCHES} SELECT CASE status WHEN 'failed' THEN 'failed/' || error_code WHEN 'late' THEN 'late' ELSE 'persisted' END AS place, batch_id FROM batches""")
+def _(spark, d):
+    """Where the folders of processed batches were moved to, as the file source lists them."""
+    files = list_files(spark, cycled(spark, d).done)
+    at = F.regexp_extract("path", r"/done/(.*)/batch_id=([^/]*)/", 1).alias("place")
+    return files.select(at, F.regexp_extract("path", r"/done/(.*)/batch_id=([^/]*)/", 2).alias("batch_id")).distinct()
 
 
 PROMOTED = f"""{ORDERS}, {STAGED}, sums AS (SELECT term, sum(value) AS total FROM staged GROUP BY term), {median_cut('m', 'sums', 'total')},
@@ -279,11 +384,9 @@ def _(spark, d):
     return _phrases(presets.phrases_lda(order_frame(spark, d), merge_map(spark), order_supplement(spark, d), SMALL, min_rows=100))
 
 
-@query("store_steps", f"WITH {STORE_CELLS} SELECT row_id, target, term, value FROM stored WHERE batch_id = 'batch-f'")
+@query("store_steps", f"WITH {STORE_CELLS} SELECT row_id, target, term, value FROM stored")
 def _(spark, d):
-    """Create, overwrite and save as steps of one run, over finished orders."""
-    from workload.fixtures import by_status
-
+    """Create, overwrite and save as steps of one run, over all orders."""
     store = S.Store(spark, new_folder(spark, "store"), "steps")
 
     def create(frame: SparseFrame) -> SparseFrame:
@@ -298,5 +401,4 @@ def _(spark, d):
         S.append_batch(store, frame, "b1", now())
         return S.scan_store(store)
 
-    whole = order_frame_with_uid(spark, d)
-    return steps.run_steps(by_status(spark, d, whole, True), [create, overwrite, save]).cells
+    return steps.run_steps(order_frame_with_uid(spark, d), [create, overwrite, save]).cells
