@@ -6,8 +6,10 @@ known probability (0.15 at 0.8), so no single fingerprint with a small Hamming
 budget would find most pairs. A text therefore has many short fingerprints; in
 each table a trie self-join finds those within the budget, and a separate check
 word drops chance meetings at once. A first pass takes a few of the pairs that
-met, the nearest of each text, and judges them by the shingles; a second takes
-every pair that met and isn't connected by then, and judges it so too. Texts of
+met, the nearest of each text, and judges them by the shingles. For the second,
+texts are dealt into blocks by family. Of every pair that met and isn't
+connected by then, one text asks for the other's block, once however many it met
+there, and is judged by the shingles against all texts of that block. Texts of
 few shingles also meet exactly, by a prefix filter on the shingles.
 """
 
@@ -22,7 +24,7 @@ from termloom.llm.common import as_bytes, map_batches
 from termloom.llm.components import connected_components
 from termloom.llm.simhash import majority, shingle_hashes
 from termloom.llm.substrings import LAST_ID, marked, marks_of
-from termloom.llm.trie import trie_links, trie_pairs
+from termloom.llm.trie import trie_links, trie_meetings
 from termloom.scratch import publish
 
 #: Tables of 32 bits, the Hamming budget in each, and the budget in the check word of 64.
@@ -31,8 +33,8 @@ TABLES, BUDGET, CHECK_BUDGET = 24, 2, 19
 WORDS = TABLES // 2 + 1
 #: Texts of so few shingles meet their partners by shared shingles: ties make their SimHash bits differ more.
 FEW = 40
-#: Texts of a family in one block, about, when its pairs are judged.
-BLOCK_TEXTS = 192
+#: Texts of a family in one block, and their bytes, about, when its pairs are judged.
+BLOCK_TEXTS, BLOCK_BYTES = 192, 4_000_000
 #: Strings of a table in one group of the trie join, about.
 GROUP_STRINGS = 1 << 18
 
@@ -46,7 +48,7 @@ def mixed(h: np.ndarray, word: int) -> np.ndarray:
 
 
 def signatures(base: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(ord, md5, sig, few) of every row of (ord, body); ``few``: the shingles of a text of few, or of one that may be similar to such a text."""
+    """(ord, md5, sig, few, bytes) of every row of (ord, body); ``few``: the shingles of a text of few, or of one that may be similar to such a text."""
     widest = int(FEW / similarity + 1e-9) if similarity > 0 else FEW
 
     def make():
@@ -56,11 +58,11 @@ def signatures(base: DataFrame, size: int, similarity: float) -> DataFrame:
                 h = np.unique(shingle_hashes(body, size))
                 few.append(h.view(np.int64) if len(h) <= widest else None)
                 sigs.append(np.array([majority(mixed(h, w)) for w in range(WORDS)], dtype=np.uint64).view(np.int64))
-            return {"ord": rows["ord"], "md5": rows["md5"], "sig": sigs, "few": few}
+            return {"ord": rows["ord"], "md5": rows["md5"], "sig": sigs, "few": few, "bytes": list(map(len, rows["body"]))}
 
         return work
 
-    return map_batches(base.select("ord", "body", F.md5("body").alias("md5")), "ord long, md5 string, sig array<long>, few array<long>", make)
+    return map_batches(base.select("ord", "body", F.md5("body").alias("md5")), "ord long, md5 string, sig array<long>, few array<long>, bytes long", make)
 
 
 def jaccard_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -82,8 +84,8 @@ def jaccard_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: flo
     return map_batches(sided, "a long, b long", make)
 
 
-def few_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of (node, few, root): every pair of different roots, one of few shingles, that may be similar.
+def prefix_keys(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(key, node, root) of (node, few, root): shingles of which every two similar texts share one, if one of them has few.
 
     Two similar sets share one of their first n - ceil(similarity * n) + 1
     shingles in any order of all shingles; the rarest come first here.
@@ -93,52 +95,70 @@ def few_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
     times = sets.groupBy("key").agg(F.count("*").alias("times"))
     ordered = sets.join(times, "key").groupBy("node", "root", "n").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("keys"))
     first = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1
-    kept = ordered.select("node", "root", "n", F.explode(F.slice("keys", F.lit(1), F.least("n", first))).alias("k"))
-    keyed = publish(kept.filter("k.times > 1").select("node", "root", "n", F.col("k.key").alias("key")), "prefixes")
-    x = keyed.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"))
-    y = keyed.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"))
-    fits = (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & (F.least("a_n", "b_n") <= FEW)
-    sizes = F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * F.lit(similarity) - F.lit(1e-9)
-    return x.join(y, "key").filter(fits & sizes).select("a", "b").distinct()
+    kept = ordered.select("node", "root", F.explode(F.slice("keys", F.lit(1), F.least("n", first))).alias("k"))
+    return publish(kept.filter("k.times > 1").select(F.col("k.key").alias("key"), "node", "root"), "prefixes")
 
 
-def block_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``jaccard_links`` for many pairs of few texts.
+def blocks_of(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root, bytes, block): the nodes of connected families, dealt into blocks of bounded texts and bytes."""
+    families = connected_components(links).withColumnRenamed("root", "family")
+    known = publish(nodes.select("node", "root", "bytes").join(families, "node"), "families")
+    parts = known.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("bytes") / BLOCK_BYTES)).alias("n"))
+    block = F.xxhash64("family", F.expr("pmod(xxhash64(node, 1), n)"))
+    return publish(known.join(parts, "family").select("node", "root", "bytes", block.alias("block")), "blocks")
 
-    The texts of a connected family are dealt into blocks of about BLOCK_TEXTS;
-    two blocks that have pairs are one group, so a text travels once per block
-    of its family and not once per pair.
-    """
-    families = publish(connected_components(pairs), "families")
-    blocks = families.join(families.groupBy("root").agg(F.ceil(F.count("*") / BLOCK_TEXTS).alias("n")), "root")
-    blocks = publish(blocks.select("node", "root", F.expr("pmod(xxhash64(node, 1), n)").alias("block")), "blocks")
-    left = blocks.select(F.col("node").alias("a"), "root", F.col("block").alias("p"))
-    right = blocks.select(F.col("node").alias("b"), F.col("block").alias("q"))
-    cell = F.struct("root", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
-    placed = publish(pairs.join(left, "a").join(right, "b").select(F.xxhash64(cell).alias("cell"), "a", "b"), "placed")
-    wanted = placed.select(F.col("cell").alias("to"), F.explode(F.array("a", "b")).alias("node")).distinct()
-    sent = wanted.join(texts, "node").select("to", "node", "body")
-
-    def judge(asked, bodies):
-        import pandas as pd
 
-        sets = {n: np.unique(shingle_hashes(bytes(x), size)) for n, x in zip(bodies["node"], bodies["body"], strict=True)}
-        keep = []
-        for a, b in zip(asked["a"], asked["b"], strict=True):
-            p, q = sets[a], sets[b]
-            if min(len(p), len(q)) < similarity * max(len(p), len(q)):
-                keep.append(False)
-                continue
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            keep.append(both >= similarity * (len(p) + len(q) - both))
-        return pd.DataFrame({"a": asked["a"][keep], "b": asked["b"][keep]})
+def few_meetings(keyed: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(node, block): the blocks that hold a text of another root with one of the node's keys."""
+    placed = keyed.join(blocks.select("node", "block"), "node")
+    held = placed.groupBy("key", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    met = keyed.join(held, "key").filter((F.col("low") != F.col("root")) | (F.col("high") != F.col("root")))
+    return met.select("node", "block").distinct()
+
 
-    return placed.groupBy("cell").cogroup(sent.groupBy("to")).applyInPandas(judge, "a long, b long")
+def block_links(asked: DataFrame, blocks: DataFrame, bodies: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links (a, b) between the nodes asked for and the similar texts of other roots in the block they ask, one per root.
 
+    Nodes of one block that ask the same block are judged together: a text
+    travels once per pair of blocks, and a task holds two blocks at most.
+    """
+    own = blocks.select("node", F.col("block").alias("own"))
+    placed = publish(asked.join(own, "node").select(F.xxhash64("own", "block").alias("cell"), "node", "block"), "placed")
+    members = placed.select("cell", "block").distinct().join(blocks.select("block", "node"), "block")
+    sides = placed.select("cell", "node", F.lit(True).alias("asks")).unionByName(members.select("cell", "node", F.lit(False).alias("asks")))
+    each = sides.groupBy("cell", "node").agg(F.max("asks").alias("asks"), F.max(~F.col("asks")).alias("held"))
+    sent = each.join(blocks.select("node", "root"), "node").join(bodies, "node")
+
+    def judge(pdf):
+        import pandas as pd
 
-def bodies_of(base: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, body) of the texts in the pairs (a, b)."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "md5"), "node")
+        sets = [np.unique(shingle_hashes(bytes(x), size)) for x in pdf["body"]]
+        sizes = np.array(list(map(len, sets)))
+        node, root = pdf["node"].to_numpy(), pdf["root"].to_numpy()
+        held = np.flatnonzero(pdf["held"].to_numpy() & (sizes > 0))
+        found: list[tuple[int, int]] = []
+        if len(held):
+            hashes = np.concatenate([sets[i] for i in held])
+            owner = np.repeat(held, sizes[held])
+            order = np.argsort(hashes, kind="stable")
+            hashes, owner = hashes[order], owner[order]
+            for i in np.flatnonzero(pdf["asks"].to_numpy() & (sizes > 0)).tolist():
+                low, high = np.searchsorted(hashes, sets[i]), np.searchsorted(hashes, sets[i], side="right")
+                n = high - low
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+                both = np.bincount(owner[at], minlength=len(sets))
+                near = np.flatnonzero((both > 0) & (root != root[i]) & (both >= similarity * (sizes + sizes[i] - both)))
+                if len(near):
+                    _, one = np.unique(root[near], return_index=True)
+                    found += [(node[i], node[j]) for j in near[one].tolist()]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return sent.groupBy("cell").applyInPandas(judge, "a long, b long")
+
+
+def bodies_of(base: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, body) of the nodes in ``wanted``."""
+    asked = wanted.select("node").distinct().join(nodes.select("node", "md5"), "node")
     bodies = base.select(F.md5("body").alias("md5"), "body").join(asked, "md5").dropDuplicates(["node"])
     return publish(bodies.select("node", "body"), "bodies")
 
@@ -156,7 +176,7 @@ def near_duplicate_groups(base: DataFrame, size: int, similarity: float) -> Data
     """(ord, md5, times, root): the distinct (ord, text) of ``base`` (ord, body), how often each stands, its group."""
     rows = publish(signatures(base, size, similarity).withColumn("row", F.monotonically_increasing_id()), "signatures")
     texts = publish(rows.groupBy("md5").agg(F.min("row").alias("node")), "texts")
-    nodes = publish(rows.select(F.col("row").alias("node"), "md5", "sig", "few").join(texts.select("node"), "node", "left_semi"), "nodes")
+    nodes = publish(rows.select(F.col("row").alias("node"), "md5", "sig", "few", "bytes").join(texts.select("node"), "node", "left_semi"), "nodes")
     strings = tables_of(nodes)
     links = publish(trie_links(publish(strings, "strings"), BUDGET, GROUP_STRINGS, 1, CHECK_BUDGET), "links")
     sigs = nodes.select("node", "sig")
@@ -165,13 +185,18 @@ def near_duplicate_groups(base: DataFrame, size: int, similarity: float) -> Data
     apart = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, d: n + d)
     nearest = met.groupBy("b").agg(F.min(F.struct(apart.alias("apart"), "a")).alias("to")).select("to.a", "b")
     nearest = publish(nearest, "nearest")
-    first = publish(jaccard_links(nearest, bodies_of(base, nodes, nearest), size, similarity), "first")
+    first = publish(jaccard_links(nearest, bodies_of(base, nodes, nearest.select(F.explode(F.array("a", "b")).alias("node"))), size, similarity), "first")
     known = publish(connected_components(first), "known")
     rooted = nodes.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = publish(rooted, "rooted")
-    open_links = trie_pairs(tables_of(rooted, "root"), BUDGET, CHECK_BUDGET, GROUP_STRINGS, 1)
-    open_links = publish(open_links.union(few_pairs(rooted, similarity)).distinct(), "open")
-    held = block_links(open_links, bodies_of(base, nodes, open_links), size, similarity)
+    keyed = prefix_keys(rooted, similarity)
+    stars = keyed.join(keyed.groupBy("key").agg(F.min("node").alias("a")), "key").select("a", F.col("node").alias("b")).filter("a <> b")
+    blocks = blocks_of(links.select("a", "b").unionByName(stars), rooted)
+    strings = tables_of(nodes.select("node", "sig").join(blocks.select("node", "root", "block"), "node"), "root", "block")
+    asked = trie_meetings(strings, BUDGET, CHECK_BUDGET, GROUP_STRINGS, 1).union(few_meetings(keyed, blocks))
+    asked = publish(asked.distinct(), "asked")
+    needed = asked.select("node").union(asked.select("block").distinct().join(blocks, "block").select("node"))
+    held = publish(block_links(asked, blocks, bodies_of(base, nodes, needed), size, similarity), "held")
     groups = connected_components(first.unionByName(held))
     ends = texts.join(groups, "node", "left").select("md5", F.coalesce("root", "node").alias("root"))
     return rows.groupBy("ord", "md5").agg(F.count("*").alias("times")).join(ends, "md5")

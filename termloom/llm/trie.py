@@ -257,43 +257,75 @@ def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least:
     return spread.groupBy("g").applyInPandas(solve, "a long, b long").distinct()
 
 
+def met_pairs(column: dict[str, np.ndarray], plan: tuple, budget: int, check_budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers (x, y) of the strings of one group that keep to both budgets and have different roots, in parts of bounded size.
+
+    Strings with equal bits and root are walked as one.
+    """
+    depth, u, v, diff = plan
+    order = np.lexsort((column["node"], column["root"], column["bits"].view(np.uint64), column["side"]))
+    side, root = column["side"][order], column["root"][order]
+    bits, check = (column[c][order].view(np.uint64) for c in ("bits", "check"))
+    new = np.ones(len(bits), dtype=bool)
+    new[1:] = (bits[1:] != bits[:-1]) | (side[1:] != side[:-1]) | (root[1:] != root[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(bits))
+    cut = np.searchsorted(side[first], 1)
+    right = first[:cut] if u == v else first[cut:]
+    shift = 0 if u == v else cut
+    for i, j in join_nodes(bits[first[:cut]], None if u == v else bits[right], depth, diff, budget):
+        j = j + shift
+        apart = root[first[i]] != root[first[j]]
+        i, j = i[apart], j[apart]
+        for part in pieces(np.stack([first[i], last[i], first[j], last[j]], axis=1)) if len(i) else ():
+            wide = part[:, 3] - part[:, 2]
+            each = (part[:, 1] - part[:, 0]) * wide
+            at = np.repeat(np.arange(len(part)), each)
+            k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            x, y = part[at, 0] + k // wide[at], part[at, 2] + k % wide[at]
+            near = np.bitwise_count(check[x] ^ check[y]) <= check_budget
+            if near.any():
+                yield order[x[near]], order[y[near]]
+
+
 def trie_pairs(strings: DataFrame, budget: int, check_budget: int, limit: int = GROUP_ROWS, least: int = LEAST_BITS) -> DataFrame:
     """All pairs (a, b), a < b, of nodes of different ``root`` that keep to both budgets in some table.
 
     ``strings``: (t int, bits long, node long, check long, root long). Nothing
-    is thinned but what ``root`` says is connected already; strings of a group
-    with equal bits and root are walked as one, and pairs leave in parts of
-    bounded size.
+    is thinned but what ``root`` says is connected already.
     """
     spread, nodes_of = dealt(strings, ["check", "root"], budget, limit, least)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches))
         column = {c: rows.column(c).to_numpy() for c in rows.column_names}
-        depth, u, v, diff = nodes_of.value[int(column["g"][0])]
-        order = np.lexsort((column["node"], column["root"], column["bits"].view(np.uint64), column["side"]))
-        side, node, root = (column[c][order] for c in ("side", "node", "root"))
-        bits, check = (column[c][order].view(np.uint64) for c in ("bits", "check"))
-        new = np.ones(len(bits), dtype=bool)
-        new[1:] = (bits[1:] != bits[:-1]) | (side[1:] != side[:-1]) | (root[1:] != root[:-1])
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(bits))
-        cut = np.searchsorted(side[first], 1)
-        right = first[:cut] if u == v else first[cut:]
-        shift = 0 if u == v else cut
-        for i, j in join_nodes(bits[first[:cut]], None if u == v else bits[right], depth, diff, budget):
-            j = j + shift
-            apart = root[first[i]] != root[first[j]]
-            i, j = i[apart], j[apart]
-            for part in pieces(np.stack([first[i], last[i], first[j], last[j]], axis=1)) if len(i) else ():
-                wide = part[:, 3] - part[:, 2]
-                each = (part[:, 1] - part[:, 0]) * wide
-                at = np.repeat(np.arange(len(part)), each)
-                k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-                x, y = part[at, 0] + k // wide[at], part[at, 2] + k % wide[at]
-                near = np.bitwise_count(check[x] ^ check[y]) <= check_budget
-                x, y = node[x[near]], node[y[near]]
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        for x, y in met_pairs(column, nodes_of.value[int(column["g"][0])], budget, check_budget):
+            x, y = column["node"][x], column["node"][y]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     return spread.groupBy("g").applyInArrow(solve, "a long, b long").distinct()
+
+
+def trie_meetings(strings: DataFrame, budget: int, check_budget: int, limit: int = GROUP_ROWS, least: int = LEAST_BITS) -> DataFrame:
+    """(node, block): for every pair of ``trie_pairs`` its smaller node and the ``block`` of the other, each once.
+
+    ``strings`` also has (block long). Where a node meets many of a block, one
+    row says so, so rows grow with the blocks of a family and not with its pairs.
+    """
+    spread, nodes_of = dealt(strings, ["check", "root", "block"], budget, limit, least)
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        column = {c: rows.column(c).to_numpy() for c in rows.column_names}
+        told = np.zeros((0, 2), dtype=np.int64)
+        for x, y in met_pairs(column, nodes_of.value[int(column["g"][0])], budget, check_budget):
+            swap = column["node"][x] > column["node"][y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            told = np.unique(np.concatenate([told, np.stack([column["node"][x], column["block"][y]], axis=1)]), axis=0)
+            if len(told) > GROUP_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(told[:, 0]), pa.array(told[:, 1])], names=["node", "block"])
+                told = told[:0]
+        if len(told):
+            yield pa.RecordBatch.from_arrays([pa.array(told[:, 0]), pa.array(told[:, 1])], names=["node", "block"])
+
+    return spread.groupBy("g").applyInArrow(solve, "node long, block long").distinct()

@@ -344,7 +344,7 @@ def test_near_misses_never_displace_a_link(spark):
 
 
 def test_templated_family_keeps_every_true_link_that_met(spark):
-    """Pairs at 0.81 among pages that are pairwise at 0.78: none that meets in a table is displaced by false ones."""
+    """Pairs at 0.81 among pages that are pairwise at 0.78: none is displaced by false ones, met in a table or in a block."""
     body = words(40, 250)
     texts = [f"{body} {words(1000 + i // 2, 4)} {words(2000 + i, 30)}" for i in range(240)]
     hashes = [np.unique(shingle_hashes(t.encode(), 5)) for t in texts]
@@ -360,8 +360,21 @@ def test_templated_family_keeps_every_true_link_that_met(spark):
 
     linked = {b for b in range(1, 240, 2) if similar(b - 1, b) and met(b - 1, b)}
     assert len(linked) > 90 and not any(similar(a, b) for a in range(0, 240, 2) for b in range(a + 2, 240))
+    true = {b for b in range(1, 240, 2) if similar(b - 1, b)}
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
-    assert {r["doc_id"] for r in drop_near_duplicates(docs).collect()} == set(range(240)) - linked
+    assert linked <= true and {r["doc_id"] for r in drop_near_duplicates(docs).collect()} == set(range(240)) - true
+
+
+def test_rows_asked_grow_with_blocks_and_not_with_pairs(spark, monkeypatch):
+    """Templated families with nothing to link: what is asked for stays in proportion to the texts times the blocks."""
+    asked = {}
+    held = neardup.block_links
+    monkeypatch.setattr(neardup, "block_links", lambda a, *more: asked.update(n=a.count()) or held(a, *more))
+    for n in (100, 400):
+        body = words(50, 250)
+        docs = spark.createDataFrame([(i, f"{body} {words(5000 + i, 36)}", "en", "s", 1) for i in range(n)], SCHEMA)
+        assert drop_near_duplicates(docs).count() == n
+        assert asked["n"] <= n * (n // neardup.BLOCK_TEXTS + 1)
 
 
 def test_short_texts_meet_exactly(spark):
