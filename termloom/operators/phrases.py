@@ -42,16 +42,17 @@ def term_pairs(top: DataFrame) -> DataFrame:
 def term_pair_sentences(cells: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows that contain both terms, of the cluster's label unless it is for all.
 
-    Pairs are a report-sized table. A row meets its pairs by the first term, and
-    the second term is then looked up among that row's own cells.
+    Pairs are a report-sized table, so a row has few of their terms. One
+    group-by collects those; a row meets its pairs by the first term, and the
+    second is looked up in its own list.
     """
     found = write_table(pairs, "pairs")
     wanted = found.table.select(F.col("term1").alias("term")).union(found.table.select("term2"))
     hits = lookup_join(cells.select("row_id", "target", "term"), wanted, ["term"], "left_semi")
-    opened = lookup_join(hits.withColumnRenamed("term", "term1"), found, ["term1"])
-    labelled = opened.where((F.col("cluster_target") == ALL_TARGETS) | (F.col("cluster_target") == F.col("target")))
-    closing = hits.select("row_id", F.col("term").alias("term2"))
-    return labelled.join(closing, ["row_id", "term2"]).select(
+    lists = hits.groupBy("row_id", "target").agg(F.collect_set("term").alias("_terms")).where(F.size("_terms") > 1)
+    opened = lookup_join(lists.select("*", F.explode("_terms").alias("term1")), found, ["term1"])
+    labelled = (F.col("cluster_target") == ALL_TARGETS) | (F.col("cluster_target") == F.col("target"))
+    return opened.where(labelled & F.array_contains("_terms", F.col("term2"))).select(
         "row_id", "target", "cluster_target", "cluster", "term1", "value1", "term2", "value2"
     )
 

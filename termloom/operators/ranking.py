@@ -25,6 +25,8 @@ BRACKET = 1e-4
 
 # Buckets by the leading hex digits of an md5 are even by construction.
 HASH_DIGITS = 3
+# Hash heads that are counted before the first rows in hash order are taken.
+HEAD_DIGITS = 4
 INDEX_BUCKET = 65_536
 
 
@@ -116,6 +118,22 @@ def rank_by_hash(df: DataFrame, key: Column, by: Sequence[str] = (), out: str =
     return _rank_in_buckets(df, list(by), F.substring(digest, 1, HASH_DIGITS), [digest, key], out)
 
 
+def bottom_by_hash(df: DataFrame, key: Column, n: int, seed: str = "") -> DataFrame:
+    """The ``n`` rows that come first in the order of ``md5(seed || key)``, then key.
+
+    Rows are counted by the head of their hash, at most 16**HEAD_DIGITS counts.
+    Those under the head at which the count reaches ``n`` are a few more than
+    ``n``, and only they are shuffled and ranked. Rows without a key take no part.
+    """
+    digest = F.md5(F.concat(F.lit(seed), key.cast("string")))
+    head = F.conv(F.substring(digest, 1, HEAD_DIGITS), 16, 10).cast("int")
+    counts = df.where(key.isNotNull()).groupBy(head.alias("head")).agg(F.count("*").alias("c"))
+    upto = counts.select("head", F.sum("c").over(Window.orderBy("head")).alias("upto"))
+    cut = upto.where(F.col("upto") >= n).agg(F.coalesce(F.min("head"), F.lit(16**HEAD_DIGITS)).alias("cut")).scalar()
+    ranked = rank_by_hash(df.where(head <= cut), key, (), "_rank", seed)
+    return ranked.where(F.col("_rank") <= n).drop("_rank")
+
+
 def number_by_hash(names: DataFrame, key: str, out: str = "idx") -> DataFrame:
     """Number distinct names 1, 2, 3, … in hash order.
 

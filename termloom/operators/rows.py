@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from termloom.frame import SparseFrame, restrict_cells
 from termloom.functions.text import decimal_text
 from termloom.operators.lookups import attach, lookup_join
-from termloom.operators.ranking import rank_by_hash
+from termloom.operators.ranking import bottom_by_hash
 
 
 def row_sums(cells: DataFrame) -> DataFrame:
@@ -27,8 +27,10 @@ def rows_with_terms(cells: DataFrame, terms: Sequence[str], target: str | None =
 
 
 def random_subset(frame: SparseFrame, share: float, seed: int = 1) -> SparseFrame:
-    """Bernoulli sample of rows; the ids drawn once, so rows and cells agree."""
-    return restrict_cells(frame, frame.rows.sample(share, seed), "left_semi")
+    """A share of the rows by a hash of seed and row id: the same rows however the data is partitioned."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("row_id")))
+    drawn = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") < int(share * 2**32)
+    return restrict_cells(frame, frame.rows.where(drawn), "left_semi")
 
 
 def hash_sample(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -38,8 +40,8 @@ def hash_sample(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
-    """Exactly ``n`` rows, uniform by hash order of the key, without one big sort."""
-    return rank_by_hash(df, F.col(key), (), "_rank", seed).where(F.col("_rank") <= n).drop("_rank")
+    """Exactly ``n`` rows, uniform by hash order of the key; only about ``n`` are ever ranked."""
+    return bottom_by_hash(df, F.col(key), n, seed)
 
 
 def limit_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

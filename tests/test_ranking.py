@@ -93,3 +93,12 @@ def test_salted_join_equals_broadcast(spark, monkeypatch, how):
     joined = lookups.lookup_join(big, table, ["k"], how)
     assert "_salt" in joined._jdf.queryExecution().toString()
     assert sorted(map(tuple, joined.collect()), key=str) == plain
+
+
+def test_first_in_hash_order_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "HEAD_DIGITS", 1)
+    df = spark.range(500).select(F.col("id").alias("k")).union(spark.createDataFrame([(None,)], "k long")).repartition(7)
+    order = sorted(range(500), key=lambda k: hashlib.md5(f"s{k}".encode()).hexdigest())
+    for n in (0, 1, 40, 499, 10_000):
+        got = [r["k"] for r in ranking.bottom_by_hash(df, F.col("k"), n, "s").collect()]
+        assert sorted(got) == sorted(order[:n])

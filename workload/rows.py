@@ -103,7 +103,8 @@ def _(spark, d):
     return T.merge_targets(hash_labels(order_frame(spark, d)), merge_map).cells
 
 
-@query("random_subset")
+@query("random_subset", f"""WITH {DOCS} SELECT row_id, target, term, value FROM cells
+WHERE CAST('0x' || substr(md5('7|' || row_id), 1, 8) AS BIGINT) < CAST(floor(0.3 * 4294967296) AS BIGINT)""")
 def _(spark, d):
     frame = R.random_subset(document_frame(spark, d), 0.3, 7)
     return frame.cells
