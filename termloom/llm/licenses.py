@@ -9,14 +9,16 @@ pass over the documents, without a shuffle; notices are a fixed parameter.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import as_bytes, map_batches
+from termloom.llm.common import Memo, as_bytes, map_batches
 
 # Phrases that count as base labels.
 PHRASES = {
@@ -45,6 +47,8 @@ NOTICES = {
 
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 9
+#: Answers about windows that a task keeps.
+ANSWERS = 20_000
 
 #: Keeps digits, letters and all non-ASCII bytes; A-Z to a-z; the rest to blanks.
 WORD_BYTES = bytes(
@@ -85,36 +89,54 @@ class Scanner:
         for piece, where in found.items():
             self.seeds.add_word(piece, (len(piece), where))
         self.seeds.make_automaton()
+        self.answers = Memo(self.best, ANSWERS)
 
     def base(self, padded: str) -> list[tuple[int, str]]:
         """(first word, label) of each place of a phrase in blank-padded words."""
         places = []
         for phrase, label in self.phrases:
+            word = seen = 0
             at = padded.find(phrase)
             while at >= 0:
-                places.append((padded.count(" ", 0, at), label))
+                word += padded.count(" ", seen, at)
+                seen = at
+                places.append((word, label))
                 at = padded.find(phrase, at + 1)
         return places
 
+    def best(self, key: tuple[int, str]) -> tuple[int, int, int] | None:
+        """(first character, end, edits) of the best match of a notice in a short window."""
+        hit = self.exact[key[0]].search(key[1])
+        return None if hit is None else (hit.start(), hit.end(), sum(hit.fuzzy_counts))
+
     def fuzzy(self, words: str) -> list[tuple[str, int, int, int, int]]:
-        """(label, first character, end, edits, notice length) of verified places, best of overlapping ones per notice."""
-        windows: dict[int, list[tuple[int, int]]] = {}
+        """(label, first character, end, edits, notice length) of verified places, best of overlapping ones per notice.
+
+        Each seed opens a window that holds the whole notice with all its edits,
+        and no more, so the work grows with the seeds, however long the text is.
+        """
+        starts: dict[int, array] = {}
         for end, (size, where) in self.seeds.iter(words):
             for i, offset in where:
-                n = self.notices[i]
-                start = end + 1 - size - offset
-                windows.setdefault(i, []).append((max(0, start - n.edits), start + len(n.text) + n.edits))
+                starts.setdefault(i, array("q")).append(end + 1 - size - offset)
         out = []
-        for i, spans in windows.items():
-            merged: list[list[int]] = []
-            for a, b in sorted(spans):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                else:
-                    merged.append([a, b])
-            for a, b in merged:
-                for hit in self.exact[i].finditer(words, a, min(b, len(words))):
-                    out.append((self.notices[i].label, hit.start(), hit.end(), sum(hit.fuzzy_counts), len(self.notices[i].text)))
+        for i, firsts in starts.items():
+            n = self.notices[i]
+            last = None
+            for start in np.unique(np.frombuffer(firsts, dtype=np.int64)).tolist():
+                low = max(0, start - n.edits)
+                hit = self.answers[i, words[low : start + len(n.text) + n.edits]]
+                if hit is None:
+                    continue
+                found = (low + hit[0], low + hit[1], hit[2])
+                if last is not None and found[0] < last[1]:
+                    last = found if found[2] < last[2] else last
+                    continue
+                if last is not None:
+                    out.append((n.label, *last, len(n.text)))
+                last = found
+            if last is not None:
+                out.append((n.label, *last, len(n.text)))
         return sorted(out, key=lambda x: x[1:])
 
     def scan(self, text: bytes) -> tuple[int, list, list]:
@@ -140,7 +162,8 @@ def scan_licenses(
     """One row per document: id, words, places of base phrases, verified spans.
 
     Spans count characters of the text's words in lower case, joined by one
-    blank. Null and empty texts give no words and no places; repeated rows give
+    blank. Null and empty texts give no words and no places; a very long text is
+    scanned whole, in time that grows with its length; repeated rows give
     repeated results; a null id is kept; an empty table gives an empty result.
     """
     known = make_notices(NOTICES if notices is None else notices, chars_per_edit)

@@ -113,6 +113,65 @@ def test_quality_learns_shapes(spark):
     assert ((got.quality_score >= 0.7) == (got.doc_id % 4 != 0)).mean() > 0.98
 
 
+def fewest_edits(pattern, text):
+    """Edits between a pattern and the nearest part of a text, by the plain table."""
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern, 1):
+        last, row = row, [i] + [0] * len(text)
+        for j, c in enumerate(text, 1):
+            row[j] = min(last[j - 1] + (p != c), last[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def test_license_places_equal_a_plain_scan():
+    scanner = licenses.Scanner(licenses.make_notices(licenses.NOTICES, 9), licenses.PHRASES)
+    rng = np.random.default_rng(4)
+    pool = ["mit", "license", "cc", "by", "apache", "GNU", "general", "public", "License,", "x", "permitlicense", "under", "the", "released"]
+    for _ in range(300):
+        text = " ".join(rng.choice(pool, int(rng.integers(0, 40))))
+        parts = text.encode().translate(licenses.WORD_BYTES).decode().split()
+        n, base, _ = scanner.scan(text.encode())
+        want = []
+        for phrase, label in licenses.PHRASES.items():
+            own = phrase.split()
+            want += [(i, label) for i in range(len(parts)) if parts[i : i + len(own)] == own]
+        assert n == len(parts) and sorted(base) == sorted(want)
+
+
+def test_fuzzy_notices_equal_plain_edit_distance():
+    notices = licenses.make_notices(licenses.NOTICES, 9)
+    scanner = licenses.Scanner(notices, licenses.PHRASES)
+    rng = np.random.default_rng(5)
+    found = 0
+    for turn in range(60):
+        own = list(notices[turn % len(notices)].text)
+        for _ in range(int(rng.integers(0, notices[turn % len(notices)].edits + 3))):
+            at = int(rng.integers(0, len(own)))
+            own[at : at + int(rng.integers(0, 2))] = list(rng.choice(list("abet "), int(rng.integers(0, 2))))
+        text = " ".join(f"some words before {''.join(own)} and after".split())
+        spans = scanner.fuzzy(text)
+        for n in notices:
+            want = fewest_edits(n.text, text)
+            hits = [s for s in spans if s[0] == n.label and s[4] == len(n.text)]
+            same = [m for m in notices if m.label == n.label and len(m.text) == len(n.text)]
+            if len(same) == 1:
+                assert bool(hits) == (want <= n.edits)
+                assert not hits or min(s[3] for s in hits) == want
+                found += bool(hits)
+            for s in hits:
+                assert any(fewest_edits(m.text, text[s[1] : s[2]]) <= s[3] for m in same)
+    assert found > 40
+
+
+def test_every_place_of_a_notice_in_a_long_text():
+    """2 MB of repeated places: each is reported, in time that grows with the text."""
+    scanner = licenses.Scanner(licenses.make_notices(licenses.NOTICES, 9), licenses.PHRASES)
+    line = b"all rights reserved. Some Mit License here; mozila public license "
+    n, base, spans = scanner.scan(line * 30_000)
+    assert n == 30_000 * 10 and len(base) == 30_000 and base[-1][0] == 10 * 30_000 - 6
+    assert sum(s[0] == "mpl" for s in spans) == 30_000 and sum(s[0] == "all-rights-reserved" for s in spans) == 30_000
+
+
 def test_licenses(spark):
     texts = ["Under the Apache  License!", "licensd under the apache license", "cc by cc by", "nothing", "cc-by", "ccby", "MIT-license"]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
@@ -299,6 +358,122 @@ def test_language_model(spark):
     assert got[~got.learned].bits_per_byte.mean() < 3
 
 
+def log_half_sum(a, b):
+    return max(a, b) + math.log1p(math.exp(-abs(a - b))) - math.log(2)
+
+
+class PlainTree:
+    """Context-tree weighting by its recursion, node by node, over the places of a few texts."""
+
+    DEPTHS = (0, 1, 2, 3, 4, 6)
+
+    def __init__(self, texts):
+        bytes_in = b"".join(texts) + b"\xff" * len(texts)
+        self.byte_counts = np.bincount(np.frombuffer(bytes_in, dtype=np.uint8), minlength=256)
+        self.symbols = ctw.symbol_map(self.byte_counts).tolist()
+        self.counts, self.children = {}, {}
+        for text in texts:
+            for context, symbol, _ in self.places(text):
+                for level, depth in enumerate(self.DEPTHS):
+                    for z, bit in self.decisions(symbol, 5):
+                        own = self.counts.setdefault((context[6 - depth :], z), [0, 0])
+                        own[bit] += 1
+                        if level + 1 < len(self.DEPTHS):
+                            longer = context[6 - self.DEPTHS[level + 1] :]
+                            self.children.setdefault((context[6 - depth :], z), set()).add((longer, z))
+        self.weights = {}
+
+    def places(self, text):
+        line = [self.symbols[b] for b in b"\xff" * 6 + text + b"\xff"]
+        for i, byte in enumerate(text + b"\xff"):
+            yield tuple(line[i : i + 6]), line[i + 6], byte
+
+    @staticmethod
+    def decisions(symbol, bits):
+        z = 1
+        for k in range(bits - 1, -1, -1):
+            bit = symbol >> k & 1
+            yield z, bit
+            z = 2 * z + bit
+
+    def own(self, node):
+        zeros, ones = self.counts[node]
+        return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
+
+    def weight(self, node):
+        if node not in self.weights:
+            longer = self.children.get(node)
+            below = sum(map(self.weight, longer)) if longer else None
+            self.weights[node] = self.own(node) if below is None else log_half_sum(self.own(node), below)
+        return self.weights[node]
+
+    def one(self, context, z):
+        """Probability of a one, from the longest context that was met to the root."""
+        p = None
+        for depth in reversed(self.DEPTHS):
+            node = (context[6 - depth :], z)
+            if node not in self.counts:
+                continue
+            zeros, ones = self.counts[node]
+            estimate = (ones + 0.5) / (zeros + ones + 1)
+            if p is None:
+                p = estimate
+                continue
+            below = sum(map(self.weight, self.children[node]))
+            share = 1 / (1 + math.exp(min(below - self.own(node), 700)))
+            p = share * estimate + (1 - share) * p
+        return 0.5 if p is None else p
+
+    def bits(self, text):
+        total = 0.0
+        for context, symbol, byte in self.places(text):
+            for z, bit in self.decisions(symbol, 5):
+                total -= math.log2(self.one(context, z) if bit else 1 - self.one(context, z))
+            if symbol == ctw.OTHER:
+                rest = [n if s == ctw.OTHER else 0 for n, s in zip(self.byte_counts, self.symbols, strict=True)]
+                low, high = 0, 256
+                for k in range(7, -1, -1):
+                    middle = (low + high) // 2
+                    zeros, ones = sum(rest[low:middle]), sum(rest[middle:high])
+                    bit = byte >> k & 1
+                    total -= math.log2(((ones if bit else zeros) + 0.5) / (zeros + ones + 1))
+                    low, high = (middle, high) if bit else (low, middle)
+        return total
+
+
+@pytest.mark.parametrize("kept", [None, 40])
+def test_score_equals_the_recursive_tree(spark, monkeypatch, kept):
+    if kept is not None:
+        monkeypatch.setattr(ctw, "KEPT", kept)
+    texts = [f"{words(i % 3, 6)} tail{i} \u00e9\u00fc{chr(0x4E00 + i)}" for i in range(14)] + ["", "zzzz zzzz zzzz", "Quite 0+1=! NEW"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    tree = PlainTree([t.lower().encode() for i, t in enumerate(texts) if i % 5])
+    for r in ctw.lm_scores(docs, F.col("doc_id") % 5 != 0).collect():
+        body = texts[r["doc_id"]].lower().encode()
+        want = tree.bits(body)
+        got = -r["score"] / math.log10(2)
+        # each symbol's length, and that of an uncommon byte, is rounded up to a step
+        assert -1e-6 <= got - want <= 2 * (len(body) + 1) / ctw.STEPS + 1e-6
+
+
+def test_code_lengths_have_no_ceiling():
+    """One context with 5e7 (1e12) equal decisions: the other symbol costs what its counts say."""
+    for n in (5e7, 1e12):
+        ones = np.full((1, ctw.SYMBOLS), 0.5 / (n + 1))
+        exact = ctw.code_lengths(ones)[0]
+        got = ctw.steps_of(ctw.in_steps(ones))[0] / ctw.STEPS
+        assert exact.max() > 128 and (got >= exact - 1e-9).all() and (got - exact <= ctw.COARSE / ctw.STEPS).all()
+
+
+def test_places_of_keys():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 30, 5000).astype(np.int32))
+    asked = np.concatenate([keys[::3], rng.integers(0, 1 << 30, 5000).astype(np.int32)])
+    where = {k: i for i, k in enumerate(keys.tolist())}
+    assert ctw.Places(keys).find(asked).tolist() == [where.get(k, -1) for k in asked.tolist()]
+    assert ctw.Places(keys[:0]).find(asked[:4]).tolist() == [-1] * 4
+
+
 def test_contexts_that_are_not_sent_score_alike(spark, monkeypatch):
     docs = [(i, f"{words(i % 7, 20)} X{i} {words(60 + i, 9)}", "en", "s", 1) for i in range(120)] + [(500, None, None, None, None)]
     docs = spark.createDataFrame(docs, SCHEMA)
