@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from termloom.frame import SparseFrame, number_terms, subset_rows_cells
 from termloom.operators.columns import keep_columns, remove_columns, remove_stop_words, term_table
+from termloom.operators.grouped import REPORT_SCHEMA, grouped_trim_cycle
 from termloom.operators.lookups import lookup_join
 from termloom.operators.ranking import dense_rank_of_index, upper_median
 from termloom.operators.scale import tfidf
@@ -23,6 +24,8 @@ CLUSTER_SCHEMA = "cluster string, rank int, idx int, value double"
 DESCRIBED_TERMS = 60
 LDA_MIN_ROWS = 10
 SECOND_TIER_MIN_ROWS = 50
+#: Between the parts of a composed key.
+GROUP_MARK = "\u001f"
 VECTOR_SCHEMA = T.StructType(
     [
         T.StructField("row_id", T.StringType()),
@@ -188,9 +191,7 @@ def trim_cycle(frame: SparseFrame, method: str, settings: CycleSettings, target:
             break
         removed |= wide
     if not reports:
-        return spark.createDataFrame(
-            [], "target string, iteration int, cluster string, rank int, term string, value double"
-        )
+        return spark.createDataFrame([], REPORT_SCHEMA)
     out = reports[0]
     for more in reports[1:]:
         out = out.unionByName(more)
@@ -207,24 +208,28 @@ def lda_trim_cycle(frame: SparseFrame, settings: CycleSettings = CycleSettings()
 
 
 def cycle_by_target(frame: SparseFrame, method: str, settings: CycleSettings) -> DataFrame:
-    """Run a cycle per label.
+    """Run a cycle per label; without labels the report is empty.
 
-    The loop runs over the label dictionary; each label's fit is itself a
-    distributed job over the label's partition of one written table, so a label
-    with a third of all rows needs no single task.
+    k-means goes through all labels together. LDA loops over the label
+    dictionary; each label's fit is itself a distributed job over the label's
+    partition of one written table, so a label with a third of all rows needs
+    no single task.
     """
+    if method == "kmeans":
+        weighted = tfidf(remove_stop_words(frame, settings.stop_words), ["target"])
+        return _grouped(weighted.cells.where("value <> 0"), settings)
     rows = publish(frame.rows.select("row_id", "target"), "rows", ["target"])
     cells = publish(frame.cells.select("row_id", "term", "value", "target"), "cells", ["target"])
-    cycle = kmeans_trim_cycle if method == "kmeans" else lda_trim_cycle
-    reports = []
+    out = frame.spark.createDataFrame([], REPORT_SCHEMA)
     for label in [r["target"] for r in rows.select("target").distinct().orderBy("target").collect()]:
-        reports.append(cycle(subset_rows_cells(rows, cells, label), settings, label))
-    out = reports[0]
-    for more in reports[1:]:
-        out = out.unionByName(more)
+        out = out.unionByName(lda_trim_cycle(subset_rows_cells(rows, cells, label), settings, label))
     return out
 
 
+def _grouped(cells: DataFrame, settings: CycleSettings) -> DataFrame:
+    return grouped_trim_cycle(cells, settings.k, settings.iterations, settings.top_terms, settings.spread, settings.max_rounds)
+
+
 def reduce_by_clustering(frame: SparseFrame, settings: CycleSettings = CycleSettings()) -> SparseFrame:
     """Keep the terms that either method reports."""
     found = kmeans_trim_cycle(frame, settings).unionByName(lda_trim_cycle(frame, settings))
@@ -240,21 +245,22 @@ def reduce_by_clustering_by_target(frame: SparseFrame, settings: CycleSettings =
 def second_tier_clusters(
     frame: SparseFrame, phrases: DataFrame, k: int = 2, top_terms: int = 10, min_rows: int = SECOND_TIER_MIN_ROWS
 ) -> DataFrame:
-    """Cluster again, without recursion, the sentences mined from each cluster."""
-    mined = publish(phrases.select("cluster_target", "cluster", "row_id").distinct(), "mined", ["cluster_target", "cluster"])
-    counts = mined.groupBy("cluster_target", "cluster").agg(F.count("*").alias("n")).where(F.col("n") > min_rows)
-    out = frame.spark.createDataFrame(
-        [], "target string, parent string, cluster string, rank int, term string, value double"
+    """Cluster again, without recursion, the sentences mined from each cluster: all clusters together.
+
+    A sentence mined from several clusters takes part in each of them.
+    """
+    group = F.concat_ws(GROUP_MARK, "cluster_target", "cluster")
+    mined = publish(phrases.select(group.alias("_group"), "row_id").distinct(), "mined")
+    large = mined.groupBy("_group").agg(F.count("*").alias("_n")).where(F.col("_n") > min_rows)
+    members = publish(lookup_join(mined, large, ["_group"]).select("_group", "row_id"), "members")
+    own = F.concat_ws(GROUP_MARK, "_group", "row_id").alias("row_id")
+    rows = members.select(own, F.col("_group").alias("target"))
+    cells = frame.cells.select("row_id", "term", "value").join(members, "row_id").select(own, F.col("_group").alias("target"), "term", "value")
+    weighted = tfidf(frame.with_rows(rows, publish(cells, "cells")), ["target"])
+    report = _grouped(
+        weighted.cells.where("value <> 0"), CycleSettings(k=k, iterations=10, top_terms=top_terms, max_rounds=1)
+    )
+    return report.select(
+        F.regexp_replace("target", f"{GROUP_MARK}[^{GROUP_MARK}]*$", "").alias("target"),
+        F.substring_index("target", GROUP_MARK, -1).alias("parent"), "cluster", "rank", "term", "value",
     )
-    settings = CycleSettings(k=k, iterations=10, init_steps=2, top_terms=top_terms, max_rounds=1)
-    for group in counts.orderBy("cluster_target", "cluster").collect():
-        same = (F.col("cluster_target") == group["cluster_target"]) & (F.col("cluster") == group["cluster"])
-        ids = mined.where(same).select("row_id")
-        part = frame.with_rows(
-            frame.rows.join(ids, "row_id", "left_semi"), frame.cells.join(ids, "row_id", "left_semi")
-        )
-        report = kmeans_trim_cycle(part, settings, group["cluster_target"])
-        out = out.unionByName(
-            report.select("target", F.lit(group["cluster"]).alias("parent"), "cluster", "rank", "term", "value")
-        )
-    return out

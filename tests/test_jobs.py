@@ -1,10 +1,12 @@
 """Phrases, clusters, classification and assessments on small inputs."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from termloom.operators import assessment as A
-from termloom.operators import classify, clusters, phrases, ranking
+from termloom.operators import classify, clusters, grouped, phrases, ranking
 from tests.conftest import frame_of
 
 
@@ -150,3 +152,80 @@ def test_registered_cycles_have_no_round_cap(spark, monkeypatch):
         with pytest.raises(InterruptedError):
             QUERIES[name](spark, "/root/testdata/sf0.001")
     assert [x.max_rounds for x in asked] == [None] * len(names)
+
+
+def plain_kmeans(rows, starts, rounds):
+    """Lloyd's rounds over dense rows, the first of equally near centres."""
+    centres = [list(s) for s in starts]
+    for _ in range(rounds):
+        near = [min(range(len(centres)), key=lambda j: (sum((a - b) ** 2 for a, b in zip(r, centres[j], strict=True)), j)) for r in rows]
+        for j in range(len(centres)):
+            own = [r for r, n in zip(rows, near, strict=True) if n == j]
+            if own:
+                centres[j] = [sum(x) / len(own) for x in zip(*own, strict=True)]
+    return centres
+
+
+def test_kmeans_of_all_labels_equals_each_label_alone(spark):
+    rng = random.Random(3)
+    terms = ["a", "b", "c", "d"]
+    data = {t: [[float(rng.randint(0, 6)) for _ in terms] for _ in range(n)] for t, n in (("X", 40), ("Y", 25), ("Z", 3))}
+    cells = [(f"{t}{i}", t, w, v) for t, rows in data.items() for i, r in enumerate(rows) for w, v in zip(terms, r, strict=True) if v]
+    table = spark.createDataFrame(cells, "row_id string, target string, term string, value double")
+    starts = {t: [r for r in rows if any(r)][:3] for t, rows in data.items()}
+    first = [(t, j, w, v) for t, s in starts.items() for j, r in enumerate(s) for w, v in zip(terms, r, strict=True) if v]
+    got = grouped.grouped_kmeans(table, 3, 30, starts=spark.createDataFrame(first, grouped.CENTRES_SCHEMA)).collect()
+    found = {(r["target"], r["cluster"], r["term"]): r["value"] for r in got}
+    for t, rows in data.items():
+        for j, centre in enumerate(plain_kmeans([r for r in rows if any(r)], starts[t], 30)):
+            for w, v in zip(terms, centre, strict=True):
+                assert found.get((t, j, w), 0.0) == pytest.approx(v, abs=1e-9)
+
+
+def test_starts_are_distinct_rows(spark, two_topics):
+    cells = two_topics.cells.unionByName(spark.createDataFrame([("s1", "same", "x", 1.0), ("s2", "same", "x", 1.0)], two_topics.cells.schema))
+    starts = grouped.spread_starts(cells, 3).groupBy("target", "cluster").agg(F.sort_array(F.collect_list(F.struct("term", "value"))).alias("row")).collect()
+    by_label = {t: [r["row"] for r in starts if r["target"] == t] for t in ("beach", "work", "same")}
+    assert {t: len(rows) for t, rows in by_label.items()} == {"beach": 3, "work": 3, "same": 1}
+    assert all(len({str(r) for r in rows}) == len(rows) for rows in by_label.values())
+
+
+def test_cycle_of_all_labels(spark, two_topics):
+    settings = clusters.CycleSettings(k=2, iterations=5, top_terms=3, spread=0)
+    report = clusters.cycle_by_target(two_topics, "kmeans", settings).collect()
+    own = {t: {r["term"] for r in two_topics.cells.where(F.col("target") == t).select("term").distinct().collect()} for t in ("beach", "work")}
+    assert all(r["term"] in own[r["target"]] for r in report)
+    for t in own:
+        rounds = sorted({r["iteration"] for r in report if r["target"] == t})
+        assert rounds == list(range(len(rounds)))
+        for i in rounds:
+            terms = [r["term"] for r in report if r["target"] == t and r["iteration"] == i]
+            wide = {w for w in terms if terms.count(w) > 1}
+            assert bool(wide) == (i < rounds[-1])
+            assert not wide & {r["term"] for r in report if r["target"] == t and r["iteration"] > i}
+    empty = two_topics.with_rows(two_topics.rows.limit(0), two_topics.cells.limit(0))
+    assert clusters.cycle_by_target(empty, "kmeans", settings).count() == 0
+    assert clusters.cycle_by_target(empty, "lda", settings).count() == 0
+
+
+def test_second_tier_takes_every_cluster(spark, two_topics):
+    mined = [("ALL", "0", f"r{i}") for i in range(30)] + [("beach", "1", f"r{i}") for i in range(8, 32)] + [("work", "0", "r2")]
+    phrases_found = spark.createDataFrame(mined, "cluster_target string, cluster string, row_id string")
+    report = clusters.second_tier_clusters(two_topics, phrases_found, min_rows=10).collect()
+    assert {(r["target"], r["parent"]) for r in report} == {("ALL", "0"), ("beach", "1")}
+    # a word that all sentences of a group hold weighs nothing there
+    assert {r["term"] for r in report} == {"sun", "sea", "sand", "code", "test", "bug"}
+
+
+def test_jobs_do_not_grow_with_the_labels(spark):
+    def jobs(labels):
+        cells = [(f"{t}-{i}", f"t{t}", w, float(1 + (i * 7 + j) % 5)) for t in range(labels) for i in range(6) for j, w in enumerate("abc")]
+        table = spark.createDataFrame(cells, "row_id string, target string, term string, value double")
+        spark.sparkContext.setJobGroup(f"labels-{labels}", "")
+        grouped.grouped_kmeans(table, 2, 1).collect()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"labels-{labels}"))
+
+    try:
+        assert abs(jobs(40) - jobs(4)) <= 3
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")

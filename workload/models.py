@@ -8,10 +8,13 @@ from termloom.frame import SparseFrame, document_frame, order_frame, table
 from termloom.operators import classify as M
 from termloom.operators import clusters as K
 from termloom.operators.columns import keep_columns, remove_by_proportion
+from termloom.operators.grouped import nearest
 from termloom.operators.lookups import lookup_join, measured
 from termloom.operators.phrases import last_iteration_terms, row_names, term_pair_sentences, term_pairs, top_terms_per_cluster
+from termloom.operators.ranking import top_per_group
+from termloom.scratch import publish
 from workload.fixtures import cluster_report, once
-from workload.registry import query
+from workload.registry import ORDERS, query
 
 SMALL = K.CycleSettings(k=4, iterations=5, init_steps=2, top_terms=5, spread=2)
 
@@ -74,6 +77,27 @@ def _(spark, d):
     return K.cycle_by_target(order_frame(spark, d), "kmeans", K.CycleSettings(4, 5, 2, 5, 2))
 
 
+@query("kmeans_round_by_target", f"""WITH {ORDERS},
+    start AS (SELECT target, row_id, row_number() OVER (PARTITION BY target ORDER BY CAST(row_id AS BIGINT)) - 1 AS cluster FROM (SELECT DISTINCT row_id, target FROM cells)),
+    centre AS (SELECT target, cluster, term, value FROM cells JOIN (SELECT * FROM start WHERE cluster < 3) USING (target, row_id)),
+    norm AS (SELECT target, cluster, sum(value * value) AS n FROM centre GROUP BY ALL),
+    own AS (SELECT target, row_id, sum(value * value) AS n FROM cells GROUP BY ALL),
+    dot AS (SELECT c.target, c.row_id, e.cluster, sum(c.value * e.value) AS d FROM cells c JOIN centre e ON c.target = e.target AND c.term = e.term GROUP BY ALL),
+    dist AS (SELECT own.target, own.row_id, norm.cluster, own.n + norm.n - 2 * coalesce(d, 0) AS apart
+             FROM own JOIN norm ON own.target = norm.target
+             LEFT JOIN dot ON dot.target = own.target AND dot.row_id = own.row_id AND dot.cluster = norm.cluster),
+    near AS (SELECT *, row_number() OVER (PARTITION BY target, row_id ORDER BY apart, cluster) AS rn FROM dist)
+    SELECT target, cluster, count(*) AS n_rows, CAST(sum(apart) AS DOUBLE) AS apart FROM near WHERE rn = 1 GROUP BY target, cluster""")
+def _(spark, d):
+    """One round from fixed starts, all labels together: sizes and squared distances."""
+    cells = publish(order_frame(spark, d).cells, "cells")
+    ids = cells.select("target", "row_id").distinct()
+    first = top_per_group(ids, ["target"], [F.col("row_id").cast("long")], 3)
+    starts = lookup_join(cells, first, ["target", "row_id"]).select("target", (F.col("rank") - 1).cast("int").alias("cluster"), "term", "value")
+    found = nearest(cells, starts, 3)
+    return found.groupBy("target", F.col("cluster").cast("long").alias("cluster")).agg(F.count("*").alias("n_rows"), F.sum("apart").alias("apart"))
+
+
 @query("lda_by_target")
 def _(spark, d):
     return K.cycle_by_target(order_frame(spark, d), "lda", K.CycleSettings(3, 3, 2, 5, 2))
