@@ -43,7 +43,7 @@ B_IDS = 1 << 16
 COMMON_PAIRS = 1 << 18
 #: Longer stretches are aligned anew each time; a task remembers up to twice so many shorter ones, and aligns so many new ones at once.
 MEMO_CHARS = 64
-MEMO_STRETCHES = 200_000
+MEMO_STRETCHES = 100_000
 TOGETHER = 4_096
 
 BORDER = regex.compile(r"(?s)(?<=\S)(?= .)")
