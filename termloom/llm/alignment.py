@@ -13,7 +13,7 @@ space. Neither
 tokenizer's tokens cross such a place if no entry of B holds a space after
 another character (looked up in the model; a model with such entries gets whole
 texts), so all tokens end there and the alignment of a text is the sequence of
-the alignments of its stretches; common stretches are aligned once per task.
+the alignments of its stretches; common stretches are aligned once per Python worker.
 
 Corpus-wide counts of id pairs are taken from the written links. Scoring joins
 the links with the commonest pairs, a table of bounded size that is broadcast,
@@ -23,11 +23,12 @@ and the rest by a shuffle, in which no pair is frequent.
 from __future__ import annotations
 
 import json
+import re
+from functools import lru_cache
 from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,8 @@ MEMO_CHARS = 64
 MEMO_STRETCHES = 200_000
 TOGETHER = 4_096
 
-BORDER = regex.compile(r"(?s)(?<=\S)(?= .)")
+#: The space before a stretch; stretches are kept without it.
+BORDER = re.compile(r"(?s) (?<=\S )(?=.)")
 MARK = "▁"
 
 
@@ -115,8 +117,9 @@ class Aligner:
             return bytes([int(piece[3:5], 16)])
         return piece.replace(MARK, " ").encode()
 
-    def tokens(self, spaced: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-        """(A ids, A ends, B ids, B ends) of a stretch that begins with a space; None if the bytes do not come back."""
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """(A ids, A ends, B ids, B ends) of space + text; None if the bytes do not come back."""
+        spaced = " " + text
         raw = spaced.encode()
         made = self.a.encode(spaced, add_special_tokens=False)
         a, offsets = made.ids, made.offsets
@@ -126,7 +129,7 @@ class Aligner:
         starts = np.flatnonzero((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)
         spans = np.fromiter(chain.from_iterable(offsets), dtype=np.int64, count=2 * len(a)).reshape(-1, 2)
         a_ends = token_ends(spans, np.append(starts, len(raw)), sizes_of(parts))
-        pieces = self.b.encode(spaced[1:], return_type="proto").pieces
+        pieces = self.b.encode(text, return_type="proto").pieces
         b = [p.id for p in pieces]
         unknown = self.b.unk_id()
         parts = list(map(self.b_bytes.__getitem__, b))
@@ -142,10 +145,10 @@ class Aligner:
     def align(self, stretches: list[str]) -> list[tuple | bool]:
         """Per stretch (A tokens, B tokens, groups, links, groups as text, links; with spans A ends and B ends), False if the bytes do not come back; lists are int32 bytes.
 
-        Stretches that may stand one after the other are aligned as one text and
-        taken apart at their borders.
+        Stretches that may stand one after the other, a space before each, are
+        aligned as one text and taken apart at their borders.
         """
-        made = self.tokens("".join(stretches))
+        made = self.tokens(" ".join(stretches))
         if made is None:
             return [False] if len(stretches) == 1 else [x for s in stretches for x in self.align([s])]
         a, a_ends, b, b_ends = made
@@ -164,7 +167,7 @@ class Aligner:
         named[np.arange(len(b)) + a_upto[b_group]] = b + 2 * B_IDS * b_last
         text = self.names[named].tobytes().replace(b"\0", b"")
         text_upto = np.concatenate([[0], np.cumsum(self.name_sizes[named])])
-        borders = np.cumsum([len(s.encode()) for s in stretches])
+        borders = np.cumsum([len(s.encode()) + 1 for s in stretches])
         a_at, b_at, g_at = (np.concatenate([[0], np.searchsorted(e, borders) + 1]) for e in (a_ends, b_ends, cuts))
         edges = np.stack([a_at, b_at, g_at, np.concatenate([[0], upto])[a_at], text_upto[a_at + b_at]], axis=1).tolist()
         made = [
@@ -180,7 +183,7 @@ class Aligner:
 
     def learn(self, texts: list[list[str]]) -> None:
         """Align the stretches of these texts that are short and new, many at once."""
-        wanted = {s for s in set().union(*texts) if len(s) <= MEMO_CHARS and not s[-1].isspace()}
+        wanted = {s for s in set().union(*texts) if len(s) <= MEMO_CHARS and not s[-1:].isspace()}
         if len(self.seen) > MEMO_STRETCHES:
             self.seen, self.older = {}, self.seen
         new = wanted - self.seen.keys()
@@ -192,7 +195,7 @@ class Aligner:
 
     def texts(self, texts: list[str]) -> list[tuple]:
         """The alignments of whole texts; zeros and empty lists if some bytes do not come back."""
-        cut = [[] if not t else BORDER.split(" " + t) if self.separable else [" " + t] for t in texts]
+        cut = [[] if not t else BORDER.split(t) if self.separable else [t] for t in texts]
         self.learn(cut)
         return list(map(self.joined, cut))
 
@@ -204,7 +207,7 @@ class Aligner:
             return (0, 0, 0, 0, b"", b"", *([b"", b""] if self.spans else []))
         a, b, groups, links, names, codes, *ends = zip(*made, strict=True)
         if self.spans:
-            starts = np.cumsum([0, *(len(s.encode()) for s in stretches[:-1])])
+            starts = np.cumsum([0, *(len(s.encode()) + 1 for s in stretches[:-1])])
             ends = [
                 (np.frombuffer(b"".join(part), dtype="<i4") + np.repeat(starts, counts)).astype("<i4").tobytes()
                 for part, counts in zip(ends, (a, b), strict=True)
@@ -212,6 +215,12 @@ class Aligner:
         return sum(a), sum(b), sum(groups), sum(links), b";".join(names), b"".join(codes), *ends
 
 
+@lru_cache(maxsize=1)
+def worker_aligner(a_json: bytes, b_model: bytes, spans: bool) -> Aligner:
+    """The tokenizers of a Python worker with the stretches it remembers; its next task finds both ready."""
+    return Aligner(a_json, b_model, spans)
+
+
 def align_tokenizers(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_path: str = BYTE_BPE, b_path: str = PIECE_BPE, spans: bool = False
 ) -> DataFrame:
@@ -231,7 +240,7 @@ def align_tokenizers(
     names = ["n_a", "n_b", "n_groups", "n_links", "groups", "links", *(["a_ends", "b_ends"] if spans else [])]
 
     def make():
-        aligner = Aligner(a_json.value, b_model.value, spans)
+        aligner = worker_aligner(a_json.value, b_model.value, spans)
 
         def work(rows: dict) -> dict:
             with growing():
