@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from termloom.frame import SparseFrame, document_frame, order_frame, table
 from termloom.operators import classify as M
 from termloom.operators import clusters as K
-from termloom.operators.columns import keep_columns, remove_by_proportion
+from termloom.operators.columns import keep_columns
 from termloom.operators.grouped import nearest
 from termloom.operators.lookups import lookup_join, measured
 from termloom.operators.phrases import last_iteration_terms, row_names, term_pair_sentences, term_pairs, top_terms_per_cluster
@@ -16,7 +16,7 @@ from termloom.scratch import publish
 from workload.fixtures import cluster_report, once
 from workload.registry import ORDERS, query
 
-SMALL = K.CycleSettings(k=4, iterations=5, init_steps=2, top_terms=5, spread=2)
+SMALL = K.CycleSettings(k=4, top_terms=5)
 
 
 @once
@@ -26,8 +26,8 @@ def order_vectors(spark, d):
 
 @once
 def document_words(spark, d):
-    """Documents by language over the words of a tenth to a half of them."""
-    return remove_by_proportion(document_frame(spark, d, "lang").materialise(), 0.1, 0.5).materialise()
+    """Documents by language over all their words."""
+    return document_frame(spark, d, "lang").materialise()
 
 
 @once
@@ -38,7 +38,7 @@ def document_vectors(spark, d):
 @query("kmeans_fit")
 def _(spark, d):
     data = order_vectors(spark, d)
-    model = K.kmeans_fit(data, 5, 10, 2)
+    model = K.kmeans_fit(data, 5)
     cost = model.summary.trainingCost
     sizes = model.transform(data.rows).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n_rows"))
     return sizes.withColumn("within_set_squared_error", F.lit(cost))
@@ -46,20 +46,20 @@ def _(spark, d):
 
 @query("lda_fit")
 def _(spark, d):
-    model = K.lda_fit(order_vectors(spark, d), 4, 5)
+    model = K.lda_fit(order_vectors(spark, d), 4)
     return model.transform(order_vectors(spark, d).rows).select("row_id", "target", F.col("topicDistribution").cast("string"))
 
 
 @query("top_topic_terms")
 def _(spark, d):
     data = order_vectors(spark, d)
-    return K.top_topic_terms(K.lda_fit(data, 4, 5), data.columns, 6)
+    return K.top_topic_terms(K.lda_fit(data, 4), data.columns, 6)
 
 
 @query("top_center_terms")
 def _(spark, d):
     data = order_vectors(spark, d)
-    return K.top_center_terms(spark, K.kmeans_fit(data, 5, 10, 2), data.columns, 6)
+    return K.top_center_terms(spark, K.kmeans_fit(data, 5), data.columns, 6)
 
 
 @query("kmeans_trim_cycle")
@@ -74,7 +74,7 @@ def _(spark, d):
 
 @query("kmeans_by_target")
 def _(spark, d):
-    return K.cycle_by_target(order_frame(spark, d), "kmeans", K.CycleSettings(4, 5, 2, 5, 2))
+    return K.cycle_by_target(order_frame(spark, d), "kmeans", K.CycleSettings(k=4, top_terms=5))
 
 
 @query("kmeans_round_by_target", f"""WITH {ORDERS},
@@ -100,17 +100,17 @@ def _(spark, d):
 
 @query("lda_by_target")
 def _(spark, d):
-    return K.cycle_by_target(order_frame(spark, d), "lda", K.CycleSettings(3, 3, 2, 5, 2))
+    return K.cycle_by_target(order_frame(spark, d), "lda", K.CycleSettings(k=3, top_terms=5))
 
 
 @query("reduce_by_clustering")
 def _(spark, d):
-    return K.reduce_by_clustering(order_frame(spark, d), K.CycleSettings(3, 5, 2, 4, 2)).cells
+    return K.reduce_by_clustering(order_frame(spark, d), K.CycleSettings(k=3, top_terms=4)).cells
 
 
 @query("reduce_by_clustering_by_target")
 def _(spark, d):
-    return K.reduce_by_clustering_by_target(order_frame(spark, d), K.CycleSettings(2, 3, 2, 4, 2)).cells
+    return K.reduce_by_clustering_by_target(order_frame(spark, d), K.CycleSettings(k=2, top_terms=4)).cells
 
 
 @query("second_tier_clusters")
@@ -122,7 +122,7 @@ def _(spark, d):
 
 @once
 def svm_models(spark, d):
-    return M.svm_one_vs_rest(document_words(spark, d), 20)
+    return M.svm_one_vs_rest(document_words(spark, d))
 
 
 @query("svm_one_vs_rest")
@@ -144,7 +144,7 @@ def _(spark, d):
     """Learn languages from documents, then name the language of pages by url and title."""
     data = document_vectors(spark, d)
     train, labels = M.labelled(data)
-    model = M.mlp_fit(train, data.columns.count(), labels.count(), 30)
+    model = M.mlp_fit(train, data.columns.count(), labels.count())
     cells = M.page_tokens(table(spark, d, "pages")).withColumn("target", F.lit("page"))
     known = keep_columns(SparseFrame(cells.select("row_id", "target").distinct(), cells), data.columns)
     pages = K.pack_vectors(known.cells, measured(data.columns))
@@ -157,7 +157,7 @@ def _(spark, d):
     data = document_vectors(spark, d)
     rows, labels = M.labelled(data)
     train, test = M.split_by_hash(rows, 0.9)
-    model = M.mlp_fit(train, data.columns.count(), labels.count(), 30)
+    model = M.mlp_fit(train, data.columns.count(), labels.count())
     return M.evaluate_multiclass(model.transform(test).select("label", "prediction"))
 
 
@@ -165,7 +165,7 @@ def _(spark, d):
 def _(spark, d):
     rows, _ = M.labelled(document_vectors(spark, d))
     train, test = M.split_by_hash(rows, 0.7)
-    model = M.random_forest_fit(train, 10)
+    model = M.random_forest_fit(train)
     return M.test_error(model.transform(test).select("label", "prediction"))
 
 
@@ -173,7 +173,7 @@ def _(spark, d):
 def _(spark, d):
     rows, labels = M.labelled(document_vectors(spark, d))
     train, test = M.split_by_hash(rows, 0.7)
-    scored = M.random_forest_fit(train, 10).transform(test).select("row_id", F.col("prediction").alias("label"))
+    scored = M.random_forest_fit(train).transform(test).select("row_id", F.col("prediction").alias("label"))
     return lookup_join(scored, labels, ["label"]).select("row_id", "target")
 
 
