@@ -1,7 +1,7 @@
 """Quality by logistic regression over hashed word n-grams, learned with FTRL.
 
-Features are unigrams of words and n-grams of word shapes, hashed to a fixed
-number of slots. A shape keeps the case, digits and marks of a word, and says
+Features are n-grams of words and, beside them, n-grams of word shapes, hashed to
+a fixed number of slots. A shape keeps the case, digits and marks of a word, and says
 whether the word repeats the one before, so a habit seen with one word (all
 capitals, trailing symbols, stuttering) carries over to words never seen.
 Weights are updated by follow-the-regularised-leader, which leaves most of them
@@ -34,8 +34,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class FTRLParams:
     sample: int = 8_000  #: labelled documents learned from, at most
-    bits: int = 18  #: 2**bits slots
-    grams: int = 3  #: longest n-gram of shapes
+    bits: int = 20  #: 2**bits slots
+    grams: int = 3  #: longest n-gram of words and of shapes
     scale: float = 4.0  #: value of an n-gram that starts at every word
     epochs: int = 3
     alpha: float = 0.3
@@ -68,10 +68,12 @@ class Features:
         word, gram = codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)
         gram <<= np.uint64(1)
         gram[1:] |= word[1:] == word[:-1]
-        shapes, groups = gram, [word + np.uint64(1 << 40), gram + np.uint64(1 << 50)]
-        for n in range(2, min(self.params.grams, len(words)) + 1):
-            gram = gram[:-1] * MIX + shapes[n - 1 :]
-            groups.append(gram + np.uint64(n << 50))
+        groups = []
+        for kind, single in enumerate((word, gram)):
+            several = single
+            for n in range(1, min(self.params.grams, len(words)) + 1):
+                several = single if n == 1 else several[:-1] * MIX + single[n - 1 :]
+                groups.append(several + np.uint64(n << 40 + 10 * kind))
         return self.slots(np.concatenate(groups)), len(words)
 
     def of(self, body: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from termloom.llm import ctw, knn, licenses, neardup, trie
+from termloom.llm import ctw, knn, licenses, neardup, quality, toxicity, trie
 from termloom.llm import tokens as tk
 from termloom.llm.components import connected_components
 from termloom.llm.decontaminate import benchmark_hits, decontaminate, myers
@@ -123,6 +123,104 @@ def fewest_edits(pattern, text):
     return min(row)
 
 
+def test_factorization_machine_equals_the_sum_over_pairs():
+    """Linear weights and the dot products of all pairs of a text's slots, one by one."""
+    params = toxicity.FMParams(slots=64, factors=3)
+    rng = np.random.default_rng(4)
+    slots = np.array(sorted(rng.choice(64, 40, replace=False)))
+    machine = toxicity.FactorizationMachine(params, slots, -0.3, np.append(rng.normal(size=40), 0), np.vstack([rng.normal(size=(40, 3)), np.zeros((1, 3))]))
+    texts = [b"", b"one", b"you are one of them", b"Them them THEM and you", words(3, 30).encode(), b"one two, three! two"]
+    for text, found in zip(texts, machine.scorer()(texts), strict=True):
+        terms = set(text.translate(toxicity.TERM_BYTES).split())
+        held = {int(h) for w in terms for h in toxicity.word_slots(w, params)}
+        ids = [i for i, s in enumerate(slots) if int(s) in held]
+        raw = machine.bias + sum(machine.weight[i] for i in ids)
+        for a, i in enumerate(ids):
+            for j in ids[a + 1 :]:
+                raw += sum(machine.factor[i][f] * machine.factor[j][f] for f in range(3))
+        assert found == pytest.approx(1 / (1 + math.exp(-raw)), abs=1e-9)
+
+
+def plain_grams(text, params):
+    """Value of each slot of a text, gram by gram: words in lower case, and their shapes."""
+    mask, found = (1 << 64) - 1, {}
+    codes = [quality.word_codes(w) for w in text.split()]
+    word = [c >> 32 for c in codes]
+    shape = [(c & 0xFFFFFFFF) << 1 | (i > 0 and word[i] == word[i - 1]) for i, c in enumerate(codes)]
+    for shift, row in ((40, word), (50, shape)):
+        for n in range(1, params.grams + 1):
+            for at in range(len(row) - n + 1):
+                gram = row[at]
+                for one in row[at + 1 : at + n]:
+                    gram = (gram * int(quality.MIX) + one) & mask
+                slot = ((gram + (n << shift)) * int(quality.MIX) & mask) >> 64 - params.bits
+                found[slot] = found.get(slot, 0) + params.scale / len(row)
+    found[0] = found.get(0, 0) + 1.0
+    return found
+
+
+def test_quality_equals_plain_ftrl():
+    """Features, learned weights and scores against one gram and one weight at a time."""
+    params = quality.FTRLParams(bits=12, epochs=2)
+    texts = [words(i, 12).encode() + (b" BUY NOW!!! BUY NOW!!!" if i % 3 else b"") for i in range(24)] + [b"", b"one", b"one one"]
+    labels = np.array([float(i % 3 == 0) for i in range(len(texts))])
+    features = quality.Features(params)
+    model = quality.Ftrl.fit(params, [features.of(t) for t in texts], labels)
+    plain = [plain_grams(t, params) for t in texts]
+    for text, want in zip(texts, plain, strict=True):
+        ids, values = features.of(text)
+        assert dict(zip(ids.tolist(), values.tolist(), strict=True)) == pytest.approx(want)
+    z, n, rng = {}, {}, np.random.default_rng(params.seed)
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= params.l1:
+            return 0.0
+        rate = (params.beta + math.sqrt(n[i])) / params.alpha + params.l2
+        return -(z[i] - math.copysign(params.l1, z[i])) / rate
+
+    for _ in range(params.epochs):
+        for k in rng.permutation(len(texts)):
+            old = {i: weight(i) for i in plain[k]}
+            guess = 1 / (1 + math.exp(-sum(old[i] * x for i, x in plain[k].items())))
+            for i, x in plain[k].items():
+                g, before = (guess - labels[k]) * x, n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / params.alpha * old[i]
+                n[i] = before + g * g
+    score = model.scorer()
+    for text, x in zip(texts, plain, strict=True):
+        assert score(text) == pytest.approx(1 / (1 + math.exp(-sum(weight(i) * v for i, v in x.items()))), abs=1e-5)
+
+
+def test_benchmark_hits_equal_all_items_against_all_places(spark):
+    """A hit is an item some stretch of the text comes near to, by the whole table of edit distances."""
+    rng = np.random.default_rng(9)
+    items = [(i, " ".join("".join(rng.choice(list("abc"), 4)) for _ in range(6 + i % 3))) for i in range(12)]
+    texts = []
+    for i in range(40):
+        body = list(items[i % 12][1])
+        for _ in range(i % 6):
+            body[rng.integers(len(body))] = "x"
+        texts.append(words(i, 8) + " " + "".join(body).upper() + "  " + words(i + 50, 8) + (" " + items[(i + 5) % 12][1] if i % 4 == 0 else ""))
+    texts += ["", " ", items[0][1][:-1], items[1][1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    per_edit = 9
+    got = {(r.doc_id, r.item_id): r.distance for r in benchmark_hits(docs, spark.createDataFrame(items, "item_id long, text string"), per_edit).collect()}
+    want = {}
+    for d, text in enumerate(texts):
+        plain = " ".join(text.lower().split())
+        for number, item in items:
+            row = list(range(len(item) + 1))
+            best = row[-1]
+            for c in plain:
+                new = [0]
+                for j, p in enumerate(item, 1):
+                    new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (p != c)))
+                row, best = new, min(best, new[-1])
+            if best <= len(item) // per_edit:
+                want[d, number] = best
+    assert got == want and len(want) > 30
+
+
 def test_license_places_equal_a_plain_scan():
     scanner = licenses.Scanner(licenses.make_notices(licenses.NOTICES, 9), licenses.PHRASES)
     rng = np.random.default_rng(4)
