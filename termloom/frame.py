@@ -24,12 +24,15 @@ class SparseFrame:
 
     ``rows`` is kept beside ``cells`` because a row that loses all its cells
     still counts in denominators. The dictionaries are built on first need.
+    ``frequent`` lists terms that a step took away as too frequent, for all
+    labels or for some: clustering steps take them as stop words.
     """
 
     rows: DataFrame
     cells: DataFrame
     columns: DataFrame | None = None
     targets: DataFrame | None = None
+    frequent: DataFrame | None = None
 
     @property
     def spark(self) -> SparkSession:

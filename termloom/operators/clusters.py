@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.frame import SparseFrame, number_terms, subset_rows_cells
-from termloom.operators.columns import keep_columns, remove_columns, remove_stop_words, term_table
+from termloom.operators.columns import keep_columns, remove_columns, remove_stop_words, term_table, without_frequent
 from termloom.operators.grouped import REPORT_SCHEMA, grouped_trim_cycle
 from termloom.operators.lookups import lookup_join
 from termloom.operators.ranking import dense_rank_of_index, upper_median
@@ -162,6 +162,11 @@ def _one_round(frame: SparseFrame, method: str, settings: CycleSettings) -> Data
     return None if topics is None else top_topic_terms(topics, data.columns, settings.top_terms)
 
 
+def without_stop_words(frame: SparseFrame, settings: CycleSettings) -> SparseFrame:
+    """A frame less the stop words of the settings and the terms that earlier steps found too frequent."""
+    return without_frequent(remove_stop_words(frame, settings.stop_words))
+
+
 def trim_cycle(frame: SparseFrame, method: str, settings: CycleSettings, target: str = "ALL") -> DataFrame:
     """Fit, report, remove terms spread over too many clusters, and fit again.
 
@@ -199,12 +204,12 @@ def trim_cycle(frame: SparseFrame, method: str, settings: CycleSettings, target:
 
 
 def kmeans_trim_cycle(frame: SparseFrame, settings: CycleSettings = CycleSettings(), target: str = "ALL") -> DataFrame:
-    weighted = tfidf(remove_stop_words(frame, settings.stop_words))
+    weighted = tfidf(without_stop_words(frame, settings))
     return trim_cycle(weighted.with_cells(weighted.cells.where("value <> 0")), "kmeans", settings, target)
 
 
 def lda_trim_cycle(frame: SparseFrame, settings: CycleSettings = CycleSettings(), target: str = "ALL") -> DataFrame:
-    return trim_cycle(frame, "lda", settings, target)
+    return trim_cycle(without_stop_words(frame, settings), "lda", settings, target)
 
 
 def cycle_by_target(frame: SparseFrame, method: str, settings: CycleSettings) -> DataFrame:
@@ -216,8 +221,9 @@ def cycle_by_target(frame: SparseFrame, method: str, settings: CycleSettings) ->
     no single task.
     """
     if method == "kmeans":
-        weighted = tfidf(remove_stop_words(frame, settings.stop_words), ["target"])
+        weighted = tfidf(without_stop_words(frame, settings), ["target"])
         return _grouped(weighted.cells.where("value <> 0"), settings)
+    frame = without_stop_words(frame, settings)
     rows = publish(frame.rows.select("row_id", "target"), "rows", ["target"])
     cells = publish(frame.cells.select("row_id", "term", "value", "target"), "cells", ["target"])
     out = frame.spark.createDataFrame([], REPORT_SCHEMA)
@@ -255,7 +261,7 @@ def second_tier_clusters(
     members = publish(lookup_join(mined, large, ["_group"]).select("_group", "row_id"), "members")
     own = F.concat_ws(GROUP_MARK, "_group", "row_id").alias("row_id")
     rows = members.select(own, F.col("_group").alias("target"))
-    cells = frame.cells.select("row_id", "term", "value").join(members, "row_id").select(own, F.col("_group").alias("target"), "term", "value")
+    cells = without_frequent(frame).cells.select("row_id", "term", "value").join(members, "row_id").select(own, F.col("_group").alias("target"), "term", "value")
     weighted = tfidf(frame.with_rows(rows, publish(cells, "cells")), ["target"])
     report = _grouped(
         weighted.cells.where("value <> 0"), CycleSettings(k=k, iterations=10, top_terms=top_terms, max_rounds=1)

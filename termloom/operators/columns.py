@@ -8,6 +8,7 @@ is one plan and not one job chain per label.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def _restrict_terms(frame: SparseFrame, terms: DataFrame, how: str, by: Sequence
     if frame.columns is None or by:
         return out
     columns = frame.columns.join(keys.table, "term", how)
-    return SparseFrame(out.rows, out.cells, columns, out.targets)
+    return replace(out, columns=columns)
 
 
 def remove_columns(frame: SparseFrame, terms: DataFrame, by: Sequence[str] = ()) -> SparseFrame:
@@ -149,7 +150,15 @@ def high_frequency_terms(frame: SparseFrame, percent: float = 99.5, by: Sequence
 
 
 def remove_high_frequency(frame: SparseFrame, percent: float = 99.5, by: Sequence[str] = ()) -> SparseFrame:
-    return remove_columns(frame, high_frequency_terms(frame, percent, by), by)
+    """Drop the terms of too large a share of rows, and list them as stop words of later clustering steps."""
+    high = publish(high_frequency_terms(frame, percent, by).select(*by, "term"), "frequent")
+    terms = high.select("term") if frame.frequent is None else union_terms(frame.frequent, high)
+    return replace(remove_columns(frame, high, by), frequent=terms.distinct())
+
+
+def without_frequent(frame: SparseFrame) -> SparseFrame:
+    """A frame less the terms that earlier steps listed as too frequent, whatever label they were too frequent in."""
+    return frame if frame.frequent is None else remove_columns(frame, frame.frequent)
 
 
 def remove_by_proportion(

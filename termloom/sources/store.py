@@ -31,6 +31,8 @@ DATA_SCHEMA = (
     "row_id string, target string, indices array<int>, values array<double>, "
     "row_hash string, ts timestamp, batch_id string"
 )
+#: Bytes of a row group of the postings: what a search for one term reads at least.
+POSTINGS_GROUP = 8 << 20
 INDEX_SCHEMA = "term string, row_id string, ts timestamp, batch_id string"
 ID_MAP_SCHEMA = "old_id double, row_id string, ts timestamp, batch_id string"
 IDENTITY_SCHEMA = "store string, store_uuid string"
@@ -203,13 +205,37 @@ def scan_schema(store: Store) -> tuple[DataFrame, DataFrame]:
 
 
 def scan_store_where(store: Store, terms: list[str], target: str | None = None) -> DataFrame:
-    """Stored rows that contain all the terms, found through the term index."""
-    hits = scan(store, "index").where(F.col("term").isin(*terms))
-    counted = hits.groupBy("row_id").agg(F.countDistinct("term").alias("_n")).where(F.col("_n") == len(set(terms)))
+    """Stored rows that contain all the terms, found through the sorted postings; without terms none.
+
+    Postings are counted first, from the term column alone. The rarest list is
+    then cut down by the next rarest and so on; each read skips the row groups
+    and pages of other terms.
+    """
     data = scan(store, "data")
     if target is not None:
         data = data.where(F.col("target") == target)
-    return data.join(counted.select("row_id"), "row_id", "left_semi")
+    wanted = sorted(set(terms))
+    sizes = posting_sizes(store, wanted)
+    if not wanted or len(sizes) < len(wanted):
+        return data.where(F.lit(False))
+    rarest, *others = sorted(wanted, key=lambda term: (sizes[term], term))
+    found = postings(store, rarest)
+    for term in others:
+        found = found.join(postings(store, term), "row_id", "left_semi")
+    return data.join(found, "row_id", "left_semi")
+
+
+def postings(store: Store, term: str) -> DataFrame:
+    """Ids of the rows that hold a term."""
+    return scan(store, "index").where(F.col("term") == term).select("row_id")
+
+
+def posting_sizes(store: Store, terms: list[str]) -> dict[str, int]:
+    """How many postings each of these terms has; those without any are left out."""
+    if not terms:
+        return {}
+    hits = scan(store, "index").where(F.col("term").isin(*terms))
+    return {r["term"]: r["n"] for r in hits.groupBy("term").agg(F.count("*").alias("n")).collect()}
 
 
 def new_terms(incoming: DataFrame, known: DataFrame, key: str = "term") -> DataFrame:
@@ -341,6 +367,15 @@ def inverted_index(data: DataFrame, columns: DataFrame | Written) -> DataFrame:
     return lookup_join(exploded, columns, ["idx"]).select("term", "row_id", "ts", "batch_id")
 
 
+def write_postings(index: DataFrame, path: str) -> None:
+    """Write postings so that a term's stand together: ranges of (term, row), sorted, in small row groups.
+
+    Ranges are cut by the row too, so a term of a third of all rows is dealt over many tasks.
+    """
+    dealt = index.repartitionByRange("term", "row_id").sortWithinPartitions("batch_id", "term", "row_id")
+    dealt.write.option("parquet.block.size", POSTINGS_GROUP).partitionBy("batch_id").parquet(path)
+
+
 def id_map_rows(data: DataFrame, uid_index: Column) -> DataFrame:
     """Old numeric id, read from the uid column's cell, beside the row id."""
     old = value_at(F.col("indices"), F.col("values"), uid_index)
@@ -436,7 +471,7 @@ def append_batch(
     if not validate_realigned(cleaned.cells, named_cells(data, all_columns)).isEmpty():
         folders.drop(store.spark, stage)
         return {"status": "failed", "error": "Rows changed in the numbering of the store"}
-    inverted_index(data, all_columns).write.partitionBy("batch_id").parquet(f"{rows}/index")
+    write_postings(inverted_index(data, all_columns), f"{rows}/index")
     uid = all_columns.table.where(F.col("term") == store.config.uid_column).agg(F.min("idx").alias("i"))
     id_map_rows(data, uid.scalar()).write.partitionBy("batch_id").parquet(f"{rows}/id_map")
     for table in ROW_TABLES:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from termloom.operators import assessment as A
 from termloom.operators import classify, clusters, grouped, phrases, ranking
+from termloom.operators.columns import remove_columns, remove_high_frequency, term_table
 from tests.conftest import frame_of
 
 
@@ -36,6 +37,24 @@ def test_vectors_hold_the_cells(two_topics):
     assert {(names[int(i)], v) for i, v in zip(row["features"].indices, row["features"].values)} == want
 
 
+@pytest.mark.parametrize("method", ["kmeans", "lda"])
+def test_frequent_terms_of_one_label_are_stop_words_for_all(two_topics, method):
+    """A term too frequent under one label goes there, and no clustering reports it, whatever the label."""
+    cells = two_topics.cells.union(two_topics.spark.sql(
+        "SELECT concat('r', id) AS row_id, if(id % 2 = 1, 'beach', 'work') AS target, 'mixed' AS term, 9D AS value FROM range(40) WHERE id % 2 = 1 OR id % 8 = 0"
+    ))
+    frame = two_topics.with_cells(cells.where("term <> 'common'"))
+    less = remove_high_frequency(remove_high_frequency(frame, 70, ["target"]), 100)
+    frequent = {r["term"] for r in less.frequent.collect()}
+    held = {(r["target"], r["term"]) for r in less.cells.select("target", "term").distinct().collect()}
+    gone = {t for t in frequent if any(term == t for _, term in held)}
+    assert gone == {t for t in frequent if t == "mixed"} and remove_columns(less, term_table(frame.spark, ["sun"])).frequent is less.frequent
+    settings = clusters.CycleSettings(k=2, iterations=3, init_steps=2, top_terms=8, max_rounds=1)
+    whole = (clusters.kmeans_trim_cycle if method == "kmeans" else clusters.lda_trim_cycle)(less, settings)
+    reported = {r["term"] for r in whole.union(clusters.cycle_by_target(less, method, settings)).collect()}
+    assert reported and not reported & frequent
+
+
 def test_trim_cycle_reports_known_terms(two_topics):
     settings = clusters.CycleSettings(k=2, iterations=5, init_steps=2, top_terms=3, spread=0, max_rounds=3)
     report = clusters.kmeans_trim_cycle(two_topics, settings)

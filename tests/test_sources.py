@@ -1,5 +1,8 @@
 """Round trips through files, the store and its gates."""
 
+import glob
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +127,45 @@ def test_second_batch_keeps_old_numbers(spark, small):
     assert {t: new[t] for t in old} == old and new["new"] == 4 and "X" not in new
 
 
+def test_postings_stand_together_and_are_pruned(spark, monkeypatch):
+    """Files are sorted ranges of terms, row groups of other terms are skipped, and the rows are those of a plain search."""
+    monkeypatch.setattr(S, "POSTINGS_GROUP", 4_096)
+    some = spark.range(6_000).selectExpr("concat('r', id) AS row_id", "if(id % 2 = 0, 'A', 'B') AS target", "id")
+    terms = "explode(array('hot', concat('t', id % 7), concat('u', id % 300), concat('v', id))) AS term"
+    wide = frame_of(spark, [])
+    wide = wide.with_rows(some.select("row_id", "target"), some.selectExpr("row_id", "target", terms, "1D AS value"))
+    store = new_store(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert S.append_batch(store, wide, "b1", now())["status"] == "persisted"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = glob.glob(f"{store.path('index')}/batch_id=b1/*.parquet")
+    ranges, overlapping, groups = [], 0, 0
+    for file in files:
+        part = pq.read_table(file, columns=["term", "row_id"]).to_pydict()
+        pairs = list(zip(part["term"], part["row_id"], strict=True))
+        assert pairs == sorted(pairs)
+        ranges.append((pairs[0], pairs[-1]))
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(0).statistics
+            groups += 1
+            overlapping += stats.min <= "u17" <= stats.max
+    ranges.sort()
+    assert len(files) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    assert groups > 8 and overlapping <= 2
+    plan = S.postings(store, "u17")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(term,u17)" in plan
+    for wanted, label in ((["hot", "t3"], None), (["u17", "hot", "t3"], "b"), (["v5"], None), (["hot", "nowhere"], None), ([], None)):
+        found = {r["row_id"] for r in S.scan_store_where(store, wanted, label).collect()}
+        rows = {
+            f"r{i}" for i in range(6_000)
+            if wanted and {"hot", f"t{i % 7}", f"u{i % 300}", f"v{i}"} >= set(wanted) and label in (None, "ab"[i % 2])
+        }
+        assert found == rows
+
+
 def test_duplicate_gate_rejects_before_writing(spark, small):
     store = new_store(spark, permitted_duplicates=0.5)
     assert S.append_batch(store, small, "b1", now())["status"] == "persisted"
