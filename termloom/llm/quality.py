@@ -16,6 +16,8 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,7 +109,7 @@ class Ftrl:
 
         for _ in range(params.epochs):
             for i in rng.permutation(len(docs)):
-                ids, x = docs[i]
+                ids, x = docs[i][0], docs[i][1].astype(float)
                 w = weights(ids)
                 g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - labels[i]) * x
                 z[ids] += g - (np.sqrt(n[ids] + g * g) - np.sqrt(n[ids])) / params.alpha * w
@@ -125,6 +127,15 @@ class Ftrl:
         return score
 
 
+def list_views(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of an Arrow column as views into its buffers: a sample stands in memory once."""
+    views = []
+    for chunk in column.chunks:
+        flat, ends = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        views += [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return views
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -149,9 +160,11 @@ def fit_quality(
 
     kind = dict(sample.dtypes)["id"]
     made = map_batches(sample.select("id", "y", "body"), f"id {kind}, y int, slots array<int>, values array<float>", make)
-    rows = made.dropDuplicates(["id"]).toPandas().sort_values("id")  # at most params.sample
-    pairs = [(np.asarray(s, dtype=np.int64), np.asarray(v, dtype=float)) for s, v in zip(rows["slots"], rows["values"], strict=True)]
-    truth = rows["y"].to_numpy(dtype=float)
+    rows = made.dropDuplicates(["id"]).toArrow()  # at most params.sample
+    order = pc.sort_indices(rows["id"]).to_numpy()
+    slots, values = list_views(rows["slots"]), list_views(rows["values"])
+    pairs = [(slots[i], values[i]) for i in order]
+    truth = rows["y"].to_numpy().astype(float)[order]
     model = Ftrl.fit(params, pairs, truth)
     model.shift = log_odds_shift(truth, odds) if len(truth) else 0.0
     return model
