@@ -102,3 +102,18 @@ def test_first_in_hash_order_is_exact(spark, monkeypatch):
     for n in (0, 1, 40, 499, 10_000):
         got = [r["k"] for r in ranking.bottom_by_hash(df, F.col("k"), n, "s").collect()]
         assert sorted(got) == sorted(order[:n])
+
+
+def test_large_lookup_is_not_broadcast_and_its_copies_are_bounded(spark, monkeypatch):
+    """Spark would broadcast all copies on the size of a file that holds one; a side of many rows has no copies."""
+    big = spark.range(2000).selectExpr("cast(id % 700 as string) AS k", "id AS i")
+    table = spark.range(600).selectExpr("cast(id as string) AS k", "id AS s")
+    plain = sorted(map(tuple, lookups.lookup_join(big, table, ["k"]).collect()))
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
+    for bound in (2_000_000, 1200, 1):
+        monkeypatch.setattr(lookups, "REPEATED_ROWS", bound)
+        assert lookups.salts_for(600) * 600 <= max(bound, 600)
+        joined = lookups.lookup_join(big, table, ["k"])
+        plan = joined._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" not in plan and ("_salt" in plan) == (bound > 600)
+        assert sorted(map(tuple, joined.collect())) == plain
