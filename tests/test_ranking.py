@@ -117,3 +117,15 @@ def test_large_lookup_is_not_broadcast_and_its_copies_are_bounded(spark, monkeyp
         plan = joined._jdf.queryExecution().toString()
         assert "BroadcastHashJoin" not in plan and ("_salt" in plan) == (bound > 600)
         assert sorted(map(tuple, joined.collect())) == plain
+
+
+def test_duplicate_share_repeats_no_hashes(spark, monkeypatch):
+    from termloom.sources.store import duplicate_share
+
+    stored = spark.createDataFrame([("hot",)] * 40 + [("a",), ("b",)], "row_hash string")
+    incoming = spark.createDataFrame([("hot",)] * 5 + [("b",), ("c",), ("c",)], "row_hash string")
+    plain = duplicate_share(incoming, stored).collect()
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
+    shared = duplicate_share(incoming, stored)
+    assert "_salt" not in shared._jdf.queryExecution().toString()
+    assert shared.collect() == plain and plain[0]["n_known"] == 6
