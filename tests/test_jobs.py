@@ -248,3 +248,73 @@ def test_jobs_do_not_grow_with_the_labels(spark):
         assert abs(jobs(40) - jobs(4)) <= 3
     finally:
         spark.sparkContext.setJobGroup("tests", "")
+
+
+def _gini_tree(rows, depth):
+    """Plain recursion: [(level, term, cut)] over rows of ({term: value}, label)."""
+    def impurity(part):
+        return 1 - sum((sum(1 for _, y in part if y == k) / len(part)) ** 2 for k in {y for _, y in part})
+
+    def grow(part, level):
+        if level == depth or impurity(part) == 0:
+            return []
+        found = []
+        for term in sorted({t for x, _ in part for t in x}):
+            for cut in sorted({x[term] for x, _ in part if term in x}):
+                right = [p for p in part if p[0].get(term, 0) >= cut]
+                left = [p for p in part if p[0].get(term, 0) < cut]
+                if left and right:
+                    gain = len(part) * impurity(part) - len(left) * impurity(left) - len(right) * impurity(right)
+                    found.append((round(gain, 9), -term, -cut, left, right))
+        if not found or (best := max(found, key=lambda f: f[:3]))[0] <= 0:
+            return []
+        return [(level, -best[1], -best[2]), *grow(best[3], level + 1), *grow(best[4], level + 1)]
+
+    return sorted(grow(rows, 0))
+
+
+def _random_rows(n, size, labels):
+    import random
+
+    r = random.Random(3)
+    rows = []
+    for _ in range(n):
+        x = {t: float(r.randint(1, 4)) for t in r.sample(range(size), 4)}
+        rows.append((x, (2 * (x.get(1, 0) > 2) + (2 in x) + (r.random() < 0.1)) % labels))
+    return rows
+
+
+def _as_train(spark, rows, size):
+    from pyspark.ml.linalg import Vectors
+
+    data = [(str(i), Vectors.sparse(size, sorted(x.items())), float(y)) for i, (x, y) in enumerate(rows)]
+    return spark.createDataFrame(data, ["row_id", "features", "label"])
+
+
+def test_decision_tree_equals_a_plain_one_over_a_huge_vocabulary(spark):
+    """As wide as all words of a corpus: no array of that width is held anywhere."""
+    rows, size = _random_rows(300, 12, 3), 2_000_000_000
+    train = _as_train(spark, rows, size).repartition(5)
+    model = classify.decision_tree_fit(train, 4)
+    found = []
+    level = [(0, 0)]
+    while level:
+        at, node = level.pop()
+        if model.term[node] >= 0:
+            found.append((at, int(model.term[node]), float(model.cut[node])))
+            level += [(at + 1, int(model.left[node])), (at + 1, int(model.right[node]))]
+    assert sorted(found) == _gini_tree(rows, 4)
+    wrong = classify.test_error(model.transform(train).select("label", "prediction")).first()
+    assert wrong["n_rows"] == 300 and wrong["n_wrong"] == 300 - sum(max(c) for c, t in zip(model.counts, model.term) if t < 0)
+
+
+def test_forest_learns_and_bins_bound_the_cuts(spark):
+    from termloom.operators import forest
+
+    rows = _random_rows(400, 12, 2)
+    train = _as_train(spark, rows, 12)
+    model = classify.random_forest_fit(train, 8)
+    assert len(model.roots) == 8 and abs(model.counts[model.roots].sum() / 8 - 400) < 30
+    assert classify.test_error(model.transform(train).select("label", "prediction")).first()["error"] < 0.2
+    many = _as_train(spark, [({0: i + 1.0}, i % 2) for i in range(100)], 3).select(F.lit(1).cast("long").alias("id"), F.col("label").cast("int").alias("label"), "features")
+    assert 25 <= len(forest.bin_starts(many, 32)[0]) <= 31 and forest.bin_starts(many, 101) == {}
