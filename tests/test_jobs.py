@@ -318,3 +318,48 @@ def test_forest_learns_and_bins_bound_the_cuts(spark):
     assert classify.test_error(model.transform(train).select("label", "prediction")).first()["error"] < 0.2
     many = _as_train(spark, [({0: i + 1.0}, i % 2) for i in range(100)], 3).select(F.lit(1).cast("long").alias("id"), F.col("label").cast("int").alias("label"), "features")
     assert 25 <= len(forest.bin_starts(many, 32)[0]) <= 31 and forest.bin_starts(many, 101) == {}
+
+
+def test_perceptron_steps_equal_a_plain_one_and_hold_no_weights_per_term_on_the_driver(spark):
+    """Two steps over 2 * 10^9 terms, of which Spark's own would keep 24 weights each on the driver."""
+    import numpy as np
+
+    from termloom.operators import perceptron
+
+    size, units, hidden, labels = 2 * 10**9, 5, 3, 3
+    rows = _random_rows(60, 12, labels)
+    terms = [7, 1999999999, *range(1000, 1010)]
+    table = spark.createDataFrame(
+        [(f"r{i}", float(label), (0, size, [sorted(terms)[t] for t, _ in sorted(cells.items())], [v for _, v in sorted(cells.items())])) for i, (cells, label) in enumerate(rows) if cells],
+        "row_id string, label double, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>",
+    )
+    model = perceptron.fit(table, size, (units, hidden), labels, 2, 0.0, 5)
+    x = np.array([[cells.get(t, 0.0) for t in range(12)] for cells, _ in rows if cells])
+    y = np.array([label for cells, label in rows if cells], dtype=np.int64)
+    start = perceptron.fit(table, size, (units, hidden), labels, 0, 0.0, 5)
+    w, upper = perceptron.uniform(np.array(sorted(terms)), units, size, 5), start.upper
+    old = None
+    for _ in range(2):
+        def at(step, w=w, upper=upper, way=None):
+            moved = perceptron.Upper(upper.sizes, upper.weights + step * way[1])
+            loss, back, by = moved.backward(x @ (w + step * way[0]), y)
+            return loss / len(y), (x.T @ back / len(y) * way[0]).sum() + by @ way[1] / len(y)
+
+        loss, back, by = upper.backward(x @ w, y)
+        g = (x.T @ back / len(y), by / len(y))
+        gg = (g[0] ** 2).sum() + g[1] @ g[1]
+        turn = 0.0 if old is None else max(0.0, (gg - (g[0] * old[0][0]).sum() - g[1] @ old[0][1]) / old[1])
+        way = tuple(-a if old is None else turn * b - a for a, b in zip(g, way if old else g))
+        slope = (g[0] * way[0]).sum() + g[1] @ way[1]
+        guess = 1 / np.sqrt(gg) if old is None else old[2] * old[3] / slope
+        step, _ = perceptron.searched(lambda steps: np.array([at(s, way=way) for s in steps]), guess, loss / len(y), slope)
+        w, upper = w + step * way[0], perceptron.Upper(upper.sizes, upper.weights + step * way[1])
+        old = (g, gg, step, slope)
+    assert np.allclose(model.upper.weights, upper.weights, atol=1e-9)
+    told = {r["term"]: [r[f"w{k}"] for k in range(units)] for r in model.first.collect()}
+    first = perceptron.uniform(np.array(sorted(terms)), units, size, 5)
+    assert all(np.allclose(first[i] + told[t], w[i], atol=1e-9) for i, t in enumerate(sorted(terms)) if t in told)
+    found = {r["row_id"]: r["prediction"] for r in model.transform(table).collect()}
+    want = np.argmax(upper.outputs(x @ w)[-1], axis=1)
+    names = [f"r{i}" for i, (cells, _) in enumerate(rows) if cells]
+    assert [found[n] for n in names] == want.tolist()
