@@ -24,13 +24,15 @@ from termloom.llm.common import as_bytes, map_batches
 from termloom.llm.components import connected_components
 from termloom.llm.simhash import majority, shingle_hashes
 from termloom.llm.substrings import LAST_ID, marked, marks_of
-from termloom.llm.trie import trie_links, trie_meetings
+from termloom.llm.trie import Forest, trie_links, trie_meetings
 from termloom.scratch import publish
 
 #: Tables of 32 bits, the Hamming budget in each, and the budget in the check word of 64.
 #: A pair at similarity 0.8 is met in a table with probability 0.12, so in one of 24 with 0.95; at 0.9 with 0.99.
 TABLES, BUDGET, CHECK_BUDGET = 24, 2, 19
 WORDS = TABLES // 2 + 1
+#: Of them so many are linked first; of the others only links between what those leave apart are made.
+FIRST_TABLES = 4
 #: Texts of so few shingles meet their partners by shared shingles: ties make their SimHash bits differ more.
 FEW = 40
 #: Texts of a family in one block, and their bytes, about, when its pairs are judged.
@@ -117,10 +119,11 @@ def few_meetings(keyed: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def block_links(asked: DataFrame, blocks: DataFrame, bodies: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Links (a, b) between the nodes asked for and the similar texts of other roots in the block they ask, one per root.
+    """Links (a, b) that connect the nodes asked for with the similar texts of other roots in the block they ask.
 
     Nodes of one block that ask the same block are judged together: a text
-    travels once per pair of blocks, and a task holds two blocks at most.
+    travels once per pair of blocks, and a task holds two blocks at most. Of
+    their links those are told that join what others of them leave apart.
     """
     own = blocks.select("node", F.col("block").alias("own"))
     placed = publish(asked.join(own, "node").select(F.xxhash64("own", "block").alias("cell"), "node", "block"), "placed")
@@ -136,7 +139,9 @@ def block_links(asked: DataFrame, blocks: DataFrame, bodies: DataFrame, size: in
         sizes = np.array(list(map(len, sets)))
         node, root = pdf["node"].to_numpy(), pdf["root"].to_numpy()
         held = np.flatnonzero(pdf["held"].to_numpy() & (sizes > 0))
-        found: list[tuple[int, int]] = []
+        forest = Forest(len(node))
+        _, first, of = np.unique(root, return_index=True, return_inverse=True)
+        forest.parent = first[of].tolist()
         if len(held):
             hashes = np.concatenate([sets[i] for i in held])
             owner = np.repeat(held, sizes[held])
@@ -150,8 +155,9 @@ def block_links(asked: DataFrame, blocks: DataFrame, bodies: DataFrame, size: in
                 near = np.flatnonzero((both > 0) & (root != root[i]) & (both >= similarity * (sizes + sizes[i] - both)))
                 if len(near):
                     _, one = np.unique(root[near], return_index=True)
-                    found += [(node[i], node[j]) for j in near[one].tolist()]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                    forest.add(np.full(len(one), i), near[one])
+        ends = np.array(forest.links, dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": node[ends[:, 0]], "b": node[ends[:, 1]]}, dtype="int64")
 
     return sent.groupBy("cell").applyInPandas(judge, "a long, b long")
 
@@ -172,13 +178,26 @@ def tables_of(nodes: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def all_links(nodes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all nodes (node, sig) that meet in some table.
+
+    A group of n near copies would make up to n - 1 links in every table; those of
+    the first few connect most of it, and the other tables add what they leave apart.
+    """
+    strings = publish(tables_of(nodes), "strings")
+    some = publish(trie_links(strings.filter(F.col("t") < FIRST_TABLES), BUDGET, GROUP_STRINGS, 1, CHECK_BUDGET), "links")
+    known = nodes.select("node", "sig").join(connected_components(some), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    others = publish(tables_of(known, "root").filter(F.col("t") >= FIRST_TABLES), "strings")
+    rest = trie_links(others, BUDGET, GROUP_STRINGS, 1, CHECK_BUDGET, rooted=True)
+    return publish(some.union(rest).distinct(), "links")
+
+
 def near_duplicate_groups(base: DataFrame, size: int, similarity: float) -> DataFrame:
     """(ord, md5, times, root): the distinct (ord, text) of ``base`` (ord, body), how often each stands, its group."""
     rows = publish(signatures(base, size, similarity).withColumn("row", F.monotonically_increasing_id()), "signatures")
     texts = publish(rows.groupBy("md5").agg(F.min("row").alias("node")), "texts")
     nodes = publish(rows.select(F.col("row").alias("node"), "md5", "sig", "few", "bytes").join(texts.select("node"), "node", "left_semi"), "nodes")
-    strings = tables_of(nodes)
-    links = publish(trie_links(publish(strings, "strings"), BUDGET, GROUP_STRINGS, 1, CHECK_BUDGET), "links")
+    links = all_links(nodes)
     sigs = nodes.select("node", "sig")
     met = links.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
     met = met.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")

@@ -202,7 +202,7 @@ def dealt(strings: DataFrame, more: list[str], budget: int, limit: int, least: i
     return spread, nodes_of
 
 
-def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least: int = LEAST_BITS, check_budget: int | None = None) -> DataFrame:
+def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least: int = LEAST_BITS, check_budget: int | None = None, rooted: bool = False) -> DataFrame:
     """Links (a, b) between nodes whose strings differ in at most ``budget`` bits.
 
     ``strings``: (t int, bits long, node long), and (check long) if
@@ -211,10 +211,12 @@ def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least:
     two linked nodes stay connected, and a dense group of n makes n - 1 links.
     With a check word, a pair must also keep to ``check_budget`` in it, and of
     rows with equal bits only leaders go on: a row within that budget of an
-    earlier leader is linked to it.
+    earlier leader is linked to it. ``rooted`` strings also have (root long): nodes
+    of one root are connected already, and links between them are left out.
     """
     checked = check_budget is not None
-    spread, nodes_of = dealt(strings, ["check"] if checked else [], budget, limit, least)
+    more = [c for c, wanted in (("check", checked), ("root", rooted)) if wanted]
+    spread, nodes_of = dealt(strings, more, budget, limit, least)
 
     def solve(pdf):
         import pandas as pd
@@ -225,6 +227,9 @@ def trie_links(strings: DataFrame, budget: int, limit: int = GROUP_ROWS, least:
         order = np.lexsort((pdf["node"].to_numpy(), bits, pdf["side"].to_numpy()))
         bits, node, side = bits[order], pdf["node"].to_numpy()[order], pdf["side"].to_numpy()[order]
         forest = Forest(len(bits))
+        if rooted:
+            _, first, of = np.unique(pdf["root"].to_numpy()[order], return_index=True, return_inverse=True)
+            forest.parent = first[of].tolist()
         lead = np.ones(len(bits), dtype=bool)
         if checked:
             check = check[order]

@@ -1,5 +1,6 @@
 """The training-data operators against brute force, and on awkward inputs."""
 
+import random
 import hashlib
 import math
 import zlib
@@ -598,6 +599,24 @@ def test_edits_equal_a_fresh_count(spark):
     assert got.n_encoded[len(texts) - 1] < 200
 
 
+def test_links_between_near_copies_grow_with_the_texts(spark, monkeypatch):
+    """A family of near copies is connected by few links a text, not by one in each table and to each text of a block."""
+    from termloom.llm import neardup
+
+    r, plain = random.Random(4), [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(300):
+        words = list(plain)
+        words[r.randrange(120)] = f"x{i}"
+        texts.append(" ".join(words))
+    seen = []
+    whole = neardup.connected_components
+    monkeypatch.setattr(neardup, "connected_components", lambda links, *more: seen.append(links.count()) or whole(links, *more))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [row["doc_id"] for row in drop_near_duplicates(docs).collect()] == [0]
+    assert max(seen) <= 8 * len(texts)
+
+
 def test_near_duplicates(spark):
     text = words(20, 200).split()
     near = [*text[:100], "changed", *text[101:]]
