@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from termloom.frame import SparseFrame
 from termloom.functions.text import file_safe
 from termloom.operators.lookups import lookup_join
-from termloom.scratch import write_table
+from termloom.scratch import publish, write_table
 
 OUTPUT_DECIMALS = 6
 
@@ -47,7 +47,7 @@ def read_target_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_libsvm(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split text lines (row_id, value) into good rows and rejects."""
+    """Split text lines (row_id, value) into good rows and rejects. Lines are parsed once and written, as several passes read them."""
     parts = F.split(F.trim("value"), r"\s+")
     cells = F.transform(
         F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))),
@@ -61,7 +61,8 @@ def parse_libsvm(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     bad_cell = F.exists("cells", lambda c: c["idx"].isNull() | c["value"].isNull())
     bad = F.coalesce(F.col("label").isNull() | bad_cell, F.lit(True))
-    return parsed.where(~bad).drop("value"), parsed.where(bad).select("row_id", F.col("value").alias("line"))
+    judged = publish(parsed.select("row_id", F.when(bad, F.col("value")).alias("line"), "label", "cells"), "parsed")
+    return judged.where("line is null").drop("line"), judged.where("line is not null").select("row_id", "line")
 
 
 def _read_lines(spark: SparkSession, path: str) -> DataFrame:

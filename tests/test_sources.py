@@ -345,3 +345,11 @@ def test_merge_takes_the_first_of_two_values_and_labels(spark):
     sets = [frame_of(spark, [("r", "A", "x", 1.0)]), frame_of(spark, [("r", "B", "x", 5.0), ("r", "B", "y", 2.0)])]
     merged = L.merge_sparse_batches(sets)
     assert cells(merged.cells) == {("r", "A", "x"): 1.0, ("r", "A", "y"): 2.0} and merged.rows.count() == 1
+
+
+def test_triplet_lines_are_parsed_once(spark, tmp_path):
+    """Good lines and rejects are read back from a written table, however many passes go over them."""
+    spark.createDataFrame([("1 3:2.5",), ("bad",)], "value string").write.text(f"{tmp_path}/lines")
+    good, bad = L.parse_libsvm(spark.read.text(f"{tmp_path}/lines").withColumn("row_id", F.lit("r")))
+    assert (good.count(), bad.first()["line"]) == (1, "bad")
+    assert not [f for part in (good, bad) for f in part.inputFiles() if f"{tmp_path}/lines" in f]
