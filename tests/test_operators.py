@@ -139,3 +139,14 @@ def test_stop_words_ignore_case_and_unknown(small):
 def test_exact_sample_is_exact(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("k"))
     assert R.exact_sample(df, "k", 137, "s").count() == 137
+
+
+def test_texts_are_dealt_by_their_size(spark, monkeypatch):
+    """A task's part of the texts keeps its size when there are more of them, whatever the number of shuffle partitions."""
+    from termloom import frame
+
+    monkeypatch.setattr(frame, "TEXT_PART", 50)
+    texts = spark.range(400).selectExpr("id", "'a' AS label", "concat('some words of text ', id) AS body")
+    cells = frame.text_frame(texts, "id", "label", "body").cells
+    assert cells.select(F.spark_partition_id()).distinct().count() > 50
+    assert cells.count() == 3 * 400
