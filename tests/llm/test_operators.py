@@ -320,6 +320,18 @@ def test_components_of_a_long_chain(spark):
     assert {roots[i] for i in range(300)} == {0} and roots[1001] == 1000
 
 
+def test_links_of_a_star_are_joined_once(spark, monkeypatch):
+    """What a group of copies leaves to later rounds are links between trees, not all its links in each round."""
+    from termloom.llm import components
+
+    tables, whole = [], components.publish
+    monkeypatch.setattr(components, "publish", lambda df, label, *more: tables.append(whole(df, label, *more)) or tables[-1])
+    star = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(1, 40)] + [(500, 501), (501, 502)]
+    roots = dict(connected_components(spark.createDataFrame(star, "a long, b long")).collect())
+    assert roots == {**dict.fromkeys(range(400), 0), 500: 500, 501: 500, 502: 500}
+    assert sum(t.count() for t in tables) <= 3 * len(star)
+
+
 def brute_fingerprint(text):
     w = (text or "").encode().lower().split()
     shingles = [b" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
