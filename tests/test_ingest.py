@@ -63,6 +63,23 @@ def test_names_that_collide_or_vanish_are_refused(spark, stored):
     assert ("r8", "a", "q", 3.0) in cells_of(stored)
 
 
+def test_cells_of_a_batch_are_shuffled_once_to_be_stored(spark, stored, monkeypatch):
+    """Sums, numbers, arrays and hashes of a row are made where its cells were dealt to, in parts of bounded size."""
+    plans, whole = [], S.store_rows
+    monkeypatch.setattr("termloom.frame.CELLS_PART", 2)
+
+    def seen(*given):
+        made = whole(*given)
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    monkeypatch.setattr(S, "store_rows", seen)
+    frame = frame_of(spark, [("r4", "A", "x", 1.0), ("r4", "A", "X", 2.0), *((f"s{i}", "B", "w", 2.0) for i in range(20))])
+    assert S.append_batch(stored, frame, "b4", now())["status"] == "persisted"
+    assert plans and "ENSURE_REQUIREMENTS" not in plans[0] and plans[0].count("REPARTITION_BY_NUM") == 2
+    assert {("r4", "a", "x", 3.0), ("s9", "b", "w", 2.0)} <= set(cells_of(stored))
+
+
 def test_signed_difference_keeps_multiplicities(spark):
     old = spark.createDataFrame([("r", "a"), ("r", "a"), ("r", "b"), ("s", "c")], "row_id string, term string")
     new = spark.createDataFrame([("r", "A"), ("s", "c"), ("s", "d"), ("s", "d")], "row_id string, term string")
