@@ -101,10 +101,48 @@ def prefix_keys(nodes: DataFrame, similarity: float) -> DataFrame:
     return publish(kept.filter("k.times > 1").select(F.col("k.key").alias("key"), "node", "root"), "prefixes")
 
 
-def blocks_of(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, root, bytes, block): the nodes of connected families, dealt into blocks of bounded texts and bytes."""
+def families_of(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root, bytes, family): the nodes of connected families that aren't one root yet."""
     families = connected_components(links).withColumnRenamed("root", "family")
     known = publish(nodes.select("node", "root", "bytes").join(families, "node"), "families")
+    roots = known.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return known.join(roots.select("family"), "family", "left_semi")
+
+
+def linkable(families: DataFrame, bodies: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The rows of ``families`` whose text may be similar to another of its family.
+
+    A text with more than 1 - similarity of its shingles in no other text of the
+    family can't be. Without it others may stand alone, so this is told again
+    while it still drops an eighth of what is left.
+    """
+
+    def make():
+        def work(rows: dict) -> dict:
+            sets = [np.unique(shingle_hashes(body, size)).view(np.int64) for body in rows["body"]]
+            sizes = np.array(list(map(len, sets)), dtype=np.int64)
+            each = {c: np.repeat(np.array(rows[c], dtype=np.int64), sizes) for c in ("node", "family")}
+            return {**each, "n": np.repeat(sizes, sizes), "key": np.concatenate(sets)}
+
+        return work
+
+    texts = families.select("node", "family").join(bodies, "node")
+    shingles = publish(map_batches(texts, "node long, family long, n long, key long", make), "shingles")
+    left, gone = families, None
+    while True:
+        before = left.count()
+        rest = shingles if gone is None else shingles.join(gone, "node", "left_anti")
+        held = rest.groupBy("family", "key").agg(F.count("*").alias("texts"), F.min("node").alias("node"), F.min("n").alias("n"))
+        own = held.filter("texts = 1").groupBy("node", "n").agg(F.count("*").alias("own"))
+        fresh = own.filter(F.col("n") - F.col("own") < F.col("n") * F.lit(similarity) - F.lit(1e-9)).select("node")
+        gone = publish(fresh if gone is None else gone.union(fresh), "alone")
+        left = families.join(gone, "node", "left_anti")
+        if (before - left.count()) * 8 <= before:
+            return left
+
+
+def blocks_of(known: DataFrame) -> DataFrame:
+    """(node, root, bytes, block): the rows of (node, root, bytes, family), dealt into blocks of bounded texts and bytes."""
     parts = known.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("bytes") / BLOCK_BYTES)).alias("n"))
     block = F.xxhash64("family", F.expr("pmod(xxhash64(node, 1), n)"))
     return publish(known.join(parts, "family").select("node", "root", "bytes", block.alias("block")), "blocks")
@@ -210,12 +248,13 @@ def near_duplicate_groups(base: DataFrame, size: int, similarity: float) -> Data
     rooted = publish(rooted, "rooted")
     keyed = prefix_keys(rooted, similarity)
     stars = keyed.join(keyed.groupBy("key").agg(F.min("node").alias("a")), "key").select("a", F.col("node").alias("b")).filter("a <> b")
-    blocks = blocks_of(links.select("a", "b").unionByName(stars), rooted)
+    families = publish(families_of(links.select("a", "b").unionByName(stars), rooted), "families")
+    bodies = bodies_of(base, nodes, families)
+    blocks = blocks_of(linkable(families, bodies, size, similarity))
     strings = tables_of(nodes.select("node", "sig").join(blocks.select("node", "root", "block"), "node"), "root", "block")
     asked = trie_meetings(strings, BUDGET, CHECK_BUDGET, GROUP_STRINGS, 1).union(few_meetings(keyed, blocks))
     asked = publish(asked.distinct(), "asked")
-    needed = asked.select("node").union(asked.select("block").distinct().join(blocks, "block").select("node"))
-    held = publish(block_links(asked, blocks, bodies_of(base, nodes, needed), size, similarity), "held")
+    held = publish(block_links(asked, blocks, bodies, size, similarity), "held")
     groups = connected_components(first.unionByName(held))
     ends = texts.join(groups, "node", "left").select("md5", F.coalesce("root", "node").alias("root"))
     return rows.groupBy("ord", "md5").agg(F.count("*").alias("times")).join(ends, "md5")

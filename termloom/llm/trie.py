@@ -314,23 +314,34 @@ def trie_pairs(strings: DataFrame, budget: int, check_budget: int, limit: int =
 def trie_meetings(strings: DataFrame, budget: int, check_budget: int, limit: int = GROUP_ROWS, least: int = LEAST_BITS) -> DataFrame:
     """(node, block): for every pair of ``trie_pairs`` its smaller node and the ``block`` of the other, each once.
 
-    ``strings`` also has (block long). Where a node meets many of a block, one
-    row says so, so rows grow with the blocks of a family and not with its pairs.
+    ``strings`` also has (block long). A group of the walk tells a pair of blocks
+    in one row with the nodes that met, however often they met; a node that met a
+    block in many tables is told once before it is a row of its own.
     """
     spread, nodes_of = dealt(strings, ["check", "root", "block"], budget, limit, least)
 
+    def lists(told: np.ndarray) -> pa.RecordBatch:
+        new = np.ones(len(told), dtype=bool)
+        new[1:] = (told[1:, :2] != told[:-1, :2]).any(axis=1)
+        first = np.flatnonzero(new)
+        nodes = pa.ListArray.from_arrays(pa.array(np.append(first, len(told)), type=pa.int32()), pa.array(told[:, 2]))
+        return pa.RecordBatch.from_arrays([pa.array(told[first, 0]), pa.array(told[first, 1]), nodes], names=["own", "block", "nodes"])
+
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches))
         column = {c: rows.column(c).to_numpy() for c in rows.column_names}
-        told = np.zeros((0, 2), dtype=np.int64)
+        told = np.zeros((0, 3), dtype=np.int64)
         for x, y in met_pairs(column, nodes_of.value[int(column["g"][0])], budget, check_budget):
             swap = column["node"][x] > column["node"][y]
             x, y = np.where(swap, y, x), np.where(swap, x, y)
-            told = np.unique(np.concatenate([told, np.stack([column["node"][x], column["block"][y]], axis=1)]), axis=0)
+            fresh = np.stack([column["block"][x], column["block"][y], column["node"][x]], axis=1)
+            told = np.unique(np.concatenate([told, fresh]), axis=0)
             if len(told) > GROUP_ROWS:
-                yield pa.RecordBatch.from_arrays([pa.array(told[:, 0]), pa.array(told[:, 1])], names=["node", "block"])
+                yield lists(told)
                 told = told[:0]
         if len(told):
-            yield pa.RecordBatch.from_arrays([pa.array(told[:, 0]), pa.array(told[:, 1])], names=["node", "block"])
+            yield lists(told)
 
-    return spread.groupBy("g").applyInArrow(solve, "node long, block long").distinct()
+    told = spread.groupBy("g").applyInArrow(solve, "own long, block long, nodes array<long>")
+    once = told.groupBy("own", "block").agg(F.array_distinct(F.flatten(F.collect_list("nodes"))).alias("nodes"))
+    return once.select(F.explode("nodes").alias("node"), "block")

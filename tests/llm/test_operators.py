@@ -681,6 +681,32 @@ def test_rows_asked_grow_with_blocks_and_not_with_pairs(spark, monkeypatch):
         assert asked["n"] <= n * (n // neardup.BLOCK_TEXTS + 1)
 
 
+def test_meetings_are_told_by_pairs_of_blocks(spark, monkeypatch):
+    """80 strings of four blocks that all meet in six tables: rows by pairs of blocks, not by nodes, and each (node, block) once."""
+    from pyspark.sql.group import GroupedData
+
+    told, apply = [], GroupedData.applyInArrow
+    monkeypatch.setattr(GroupedData, "applyInArrow", lambda self, *more: told.append(apply(self, *more)) or told[-1])
+    rows = [(t, 0, node, 0, node, node % 4) for t in range(6) for node in range(80)]
+    strings = spark.createDataFrame(rows, "t int, bits long, node long, check long, root long, block long")
+    got = [(r["node"], r["block"]) for r in trie.trie_meetings(strings, 2, 0).collect()]
+    assert sorted(got) == sorted({(a, b % 4) for a in range(80) for b in range(a + 1, 80)})
+    assert told[0].count() == 6 * 4 * 4
+
+
+def test_texts_with_too_many_shingles_of_their_own_ask_nothing(spark, monkeypatch):
+    """Pages that share a body meet in the tables, but a fifth and more of each is its own: none can be similar to another."""
+    asked = {}
+    held = neardup.block_links
+    monkeypatch.setattr(neardup, "block_links", lambda a, *more: asked.update(n=a.count()) or held(a, *more))
+    body = words(51, 250)
+    texts = [f"{body} {words(7000 + i, 66)}" for i in range(120)]
+    copies = [f"{body} {words(6000, 20)} copy{i}" for i in range(4)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate([*texts, *copies])], SCHEMA)
+    assert {r["doc_id"] for r in drop_near_duplicates(docs).collect()} == set(range(121))
+    assert asked["n"] <= 4
+
+
 def test_short_texts_meet_exactly(spark):
     """Texts of four to ten shingles, each with a partner of one more word: similarity 0.8 and more."""
     texts = [words(3000 + i, 8 + i % 7) for i in range(150)]
