@@ -353,3 +353,23 @@ def test_triplet_lines_are_parsed_once(spark, tmp_path):
     good, bad = L.parse_libsvm(spark.read.text(f"{tmp_path}/lines").withColumn("row_id", F.lit("r")))
     assert (good.count(), bad.first()["line"]) == (1, "bad")
     assert not [f for part in (good, bad) for f in part.inputFiles() if f"{tmp_path}/lines" in f]
+
+
+def test_the_order_store_shuffles_its_cells_once(spark, monkeypatch):
+    """Lines, orders and status are dealt by row; the cells made of them stay where they are until they are written."""
+    from termloom import frame
+    from workload import fixtures
+
+    monkeypatch.setattr(frame, "CELLS_PART", 1000)
+    plans = {}
+
+    def noted(df, label, *more):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()  # the last one: cells
+        return publish(df, label, *more)
+
+    monkeypatch.setattr(fixtures, "publish", noted)
+    store = fixtures.order_store.__wrapped__(spark, "/root/testdata/sf0.001")
+    assert plans["by-status"].count("Exchange hashpartitioning(") == 3
+    assert {r["batch_id"] for r in S.scan(store, "data").select("batch_id").distinct().collect()} == {"batch-f", "batch-op"}
+    cells = S.scan_store(store).cells
+    assert cells.where("term = 'a_uid'").count() == S.scan(store, "data").count()
