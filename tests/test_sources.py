@@ -373,3 +373,27 @@ def test_the_order_store_shuffles_its_cells_once(spark, monkeypatch):
     assert {r["batch_id"] for r in S.scan(store, "data").select("batch_id").distinct().collect()} == {"batch-f", "batch-op"}
     cells = S.scan_store(store).cells
     assert cells.where("term = 'a_uid'").count() == S.scan(store, "data").count()
+
+
+def test_streamed_order_cells_are_shuffled_once(spark, monkeypatch):
+    """Nothing above the union of cells and ids deals them out again to learn their batch."""
+    from pyspark.sql import DataFrameWriter
+
+    from termloom import frame
+    from workload import streams
+
+    class Noted(Exception):
+        pass
+
+    def noted(self, path, *more):
+        raise Noted(self._df._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(frame, "CELLS_PART", 1000)
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(Noted) as told:
+            streams.streamed.__wrapped__(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Union" in str(told.value) and "Exchange" not in str(told.value).split("Union")[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from termloom.frame import SparseFrame, document_frame, empty_frame, order_frame, table
+from termloom.frame import SparseFrame, cell_parts, document_frame, empty_frame, order_frame, table
 from termloom.operators import columns as C
 from termloom.operators import scale as X
 from termloom.operators.clusters import CycleSettings
@@ -17,7 +17,7 @@ from termloom.sources.batches import list_files
 from termloom.sources.tables import read_header_csv
 from termloom.streaming import ingest, metrics, receive
 from workload.columns import cells_out
-from workload.fixtures import STORE_UUID, document_supplement, now, once, order_frame_with_uid, order_supplement
+from workload.fixtures import STORE_UUID, document_supplement, now, once, order_frame_with_uid, order_supplement, uid_cells
 from workload.registry import CELLS_OUT, DOCS, ORDERS, doc_ctes, legacy_cut, median_cut, query
 from workload.rows import HASH_LABELS, MERGED, hash_labels
 from workload.store import CODED, STORE_CELLS, coded_csv
@@ -85,10 +85,14 @@ def _(spark, d):
 @once
 def streamed(spark, d):
     """Order cells announced as batches by order status, ingested from a stream, with ledger and query."""
-    frame = order_frame_with_uid(spark, d)
+    frame = order_frame(spark, d)
     status = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("row_id"), F.concat(F.lit("st-"), "o_orderstatus").alias("batch_id"))
+    parts = cell_parts(table(spark, d, "lineitem").count())
+    dealt = status.repartition(parts, "row_id")
+    # cells stay where they were dealt by row; only the rows, for their ids, are dealt beside them
+    uid = uid_cells(frame.rows.repartition(parts, "row_id").join(dealt, "row_id"), "batch_id")
     drop = new_folder(spark, "drop")
-    frame.cells.join(status, "row_id").select("batch_id", "row_id", "target", "term", "value").write.parquet(drop)
+    frame.cells.join(dealt, "row_id").unionByName(uid).select("batch_id", "row_id", "target", "term", "value").write.parquet(drop)
     store = S.Store(spark, new_folder(spark, "store"), "staging", S.StoreConfig(permitted_duplicates=0.9))
     book = new_folder(spark, "ledger")
     query_ = ingest.stream_ingest(ingest.stream_cells(spark, drop), store, STORE_UUID, book, new_folder(spark, "ingest-state"), now())
