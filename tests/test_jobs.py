@@ -363,3 +363,40 @@ def test_perceptron_steps_equal_a_plain_one_and_hold_no_weights_per_term_on_the_
     want = np.argmax(upper.outputs(x @ w)[-1], axis=1)
     names = [f"r{i}" for i, (cells, _) in enumerate(rows) if cells]
     assert [found[n] for n in names] == want.tolist()
+
+
+def test_perceptron_steps_leave_out_terms_of_a_single_row(spark):
+    """A term that no second row has adds to its row's own squares and is not sent; sums by row and by term are plain ones."""
+    import numpy as np
+
+    from termloom.operators import perceptron
+
+    rng = np.random.default_rng(2)
+    rows = [(f"r{i}", float(i % 2), (0, 99, [*sorted(rng.choice(8, 3, replace=False).tolist()), 10 + i], [*rng.integers(1, 5, 3).astype(float).tolist(), 2.5])) for i in range(40)]
+    schema = "row_id string, label double, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    table = spark.createDataFrame(rows, schema).withColumn("label", F.col("label").cast("int"))
+    blocks = perceptron.packed(table, ["row_id", "label"], "label").collect()
+    assert sum(len({r["label"] for r in b["kept"]}) > 1 for b in blocks) <= 1
+    shared = {b["block"]: b.asDict() for b in perceptron.shared(perceptron.packed(table, ["row_id", "label"], "label")).collect()}
+    values = {r[0]: dict(zip(r[2][2], r[2][3], strict=True)) for r in rows}
+    for b in blocks:
+        found = shared[b["block"]]
+        terms = np.frombuffer(found["terms"], dtype=np.int32)
+        x = np.array([[values[r["row_id"]].get(t, 0.0) for t in terms] for r in b["kept"]])
+        assert terms.max() < 8 and np.allclose(np.frombuffer(found["own"]), 2.5**2)
+        w, g = rng.normal(size=(len(terms), 3)), rng.normal(size=(len(x), 3))
+        assert np.allclose(perceptron.Layout.read(found, "r_").added(w), x @ w)
+        assert np.allclose(perceptron.Layout.read(found, "t_").added(g), x.T @ g)
+
+
+def test_packed_vectors_merge_rows_and_sort_cells(spark):
+    """Rows of an id and a label stand once, with cells by index, also without an id; as many tasks as cells need."""
+    from termloom.operators.lookups import measured
+
+    cells = [(None, "A", "b", 2.0), (None, "A", "a", 1.0), ("r1", "A", "b", 3.0), ("r1", "B", "a", 4.0), ("r1", "A", "a", 5.0), ("r2", "B", "zz", 1.0)]
+    columns = measured(spark.createDataFrame([("a", 0), ("b", 1)], "term string, idx int"))
+    before = spark.conf.get(clusters.HASHED_GROUPS)
+    found = clusters.pack_vectors(spark.createDataFrame(cells, "row_id string, target string, term string, value double"), columns)
+    got = {(r["row_id"], r["target"]): (r["features"].size, r["features"].indices.tolist(), r["features"].values.tolist()) for r in found.collect()}
+    assert got == {(None, "A"): (2, [0, 1], [1.0, 2.0]), ("r1", "A"): (2, [0, 1], [5.0, 3.0]), ("r1", "B"): (2, [0], [4.0])}
+    assert spark.conf.get(clusters.HASHED_GROUPS) == before
