@@ -391,12 +391,39 @@ def test_perceptron_steps_leave_out_terms_of_a_single_row(spark):
 
 def test_packed_vectors_merge_rows_and_sort_cells(spark):
     """Rows of an id and a label stand once, with cells by index, also without an id; as many tasks as cells need."""
+    from termloom import scratch
     from termloom.operators.lookups import measured
 
     cells = [(None, "A", "b", 2.0), (None, "A", "a", 1.0), ("r1", "A", "b", 3.0), ("r1", "B", "a", 4.0), ("r1", "A", "a", 5.0), ("r2", "B", "zz", 1.0)]
     columns = measured(spark.createDataFrame([("a", 0), ("b", 1)], "term string, idx int"))
-    before = spark.conf.get(clusters.HASHED_GROUPS)
+    before = spark.conf.get(scratch.HASHED_GROUPS)
     found = clusters.pack_vectors(spark.createDataFrame(cells, "row_id string, target string, term string, value double"), columns)
     got = {(r["row_id"], r["target"]): (r["features"].size, r["features"].indices.tolist(), r["features"].values.tolist()) for r in found.collect()}
     assert got == {(None, "A"): (2, [0, 1], [1.0, 2.0]), ("r1", "A"): (2, [0, 1], [5.0, 3.0]), ("r1", "B"): (2, [0], [4.0])}
-    assert spark.conf.get(clusters.HASHED_GROUPS) == before
+    assert spark.conf.get(scratch.HASHED_GROUPS) == before
+
+
+def test_kmeans_by_matrix_equals_that_by_joins(spark, monkeypatch):
+    """Same draws and centres, also for rows without a label or an id; a step by matrix is a few jobs."""
+    rng = random.Random(7)
+    cells = [(f"{t}{i}" if i else None, t, w, float(rng.randint(1, 9))) for t, n in (("X", 30), ("Y", 9), (None, 4)) for i in range(n) for w in rng.sample("abcdef", 3)]
+    table = spark.createDataFrame(cells, "row_id string, target string, term string, value double")
+
+    def centres():
+        return {(r["target"], r["cluster"], r["term"]): r["value"] for r in grouped.grouped_kmeans(table, 3, 20).collect()}
+
+    def jobs(iterations):
+        spark.sparkContext.setJobGroup(f"steps-{iterations}", "")
+        grouped.grouped_kmeans(table, 3, iterations).collect()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"steps-{iterations}"))
+
+    monkeypatch.setattr(grouped, "STILL", 0.0)
+    try:
+        assert jobs(2) - jobs(1) <= 4
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
+    by_matrix = centres()
+    monkeypatch.setattr(grouped, "MATRIX", 0)
+    by_joins = {at: v for at, v in centres().items() if v}
+    assert by_matrix.keys() == by_joins.keys()
+    assert all(v == pytest.approx(by_joins[at], abs=1e-9) for at, v in by_matrix.items())
