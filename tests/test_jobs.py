@@ -427,3 +427,15 @@ def test_kmeans_by_matrix_equals_that_by_joins(spark, monkeypatch):
     by_joins = {at: v for at, v in centres().items() if v}
     assert by_matrix.keys() == by_joins.keys()
     assert all(v == pytest.approx(by_joins[at], abs=1e-9) for at, v in by_matrix.items())
+
+
+def test_svms_are_fitted_at_once_within_the_drivers_memory(spark, two_topics, monkeypatch):
+    """Several small fits at a time, each over one part per core at most, one after the other where terms are many."""
+    assert classify.fits_at_once(750 << 20, 1_000, 4) == 4
+    assert classify.fits_at_once(750 << 20, 652_185, 4) == 2
+    assert classify.fits_at_once(750 << 20, 5_000_000, 4) == 1
+    parts, fit = [], classify.LinearSVC.fit
+    monkeypatch.setattr(classify.LinearSVC, "fit", lambda self, train: (parts.append(train.rdd.getNumPartitions()), fit(self, train))[1])
+    models = classify.svm_one_vs_rest(two_topics, 3)
+    assert list(models) == ["beach", "work"] and len(set(models.values())) == 2
+    assert len(parts) == 2 and max(parts) <= spark.sparkContext.defaultParallelism
